@@ -80,25 +80,26 @@ def sustained_alerts(df: DataFrame, rules: Sequence[AlertRule] = ALERT_RULES,
     ).withColumns({"_head": F.col("started_at") == F.col("_first"),
                    "_tail": F.col("ended_at") == F.col("_last")})
 
-    border = spells.filter("_head OR _tail")
-    bw = Window.partitionBy(*group).orderBy("started_at")
+    # Border spells of a series share one lane, the others stay in their chunk's own lane.
+    lane = F.when(~F.col("_head") & ~F.col("_tail"), F.col("_chunk"))
+    spells = spells.withColumn("_lane", lane)
+    lanes = [*group, "_lane"]
+    bw = Window.partitionBy(*lanes).orderBy("started_at")
     continues = (
         F.col("_head") & F.lag("_tail").over(bw)
         & (F.col("started_at") - F.lag("ended_at").over(bw) <= gap)
         & (F.lag("_chunk").over(bw) != F.col("_chunk"))
     )
     joined = (
-        border.withColumn("_new", (~F.coalesce(continues, F.lit(False))).cast("int"))
+        spells.withColumn("_new", (~F.coalesce(continues, F.lit(False))).cast("int"))
         .withColumn("_run", F.sum("_new").over(bw.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*group, "_run")
+        .groupBy(*lanes, "_run")
         .agg(F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"),
              F.max("peak").alias("peak"), F.sum("samples").alias("samples"))
     )
-    out = [*group, "started_at", "ended_at", "peak", "samples"]
-    inner = spells.filter("NOT _head AND NOT _tail").select(*out)
     minutes = F.expr("timestampdiff(SECOND, started_at, ended_at)") / 60.0
     return (
-        inner.unionByName(joined.select(*out))
+        joined.select(*group, "started_at", "ended_at", "peak", "samples")
         .withColumn("minutes", minutes)
         .filter(F.col("minutes") >= F.col("_need")).drop("_need")
     )

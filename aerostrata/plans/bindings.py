@@ -19,7 +19,18 @@ def _with_k(events: DataFrame) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as sensor readings: one station per event type, measures from value and props."""
-    e = _with_k(table(spark, sf_dir, "events"))
+    return readings_from(table(spark, sf_dir, "events"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table as a file stream, with its time as a timestamp for the watermark."""
+    schema = table(spark, sf_dir, "events").schema
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return readings_from(raw).withColumn("event_time", F.col("ts").cast("timestamp"))
+
+
+def readings_from(events: DataFrame) -> DataFrame:
+    e = _with_k(events)
     cents = F.col("value").cast("decimal(18,2)")
     eid, uid, k = F.col("event_id"), F.col("user_id"), F.col("k")
     factor = F.expr("CASE day(ts) % 4 WHEN 0 THEN 0.25 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 5 END")

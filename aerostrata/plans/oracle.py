@@ -300,6 +300,20 @@ def _spells(name: str, col: str, limit: str, need: int, severity: str) -> str:
     HAVING date_diff('second', min(window_start), max(window_start)) / 60e0 >= {need}"""
 
 
+def _fired(name: str, col: str, limit: str, need: int, severity: str) -> str:
+    """First sample of each long enough spell, over the windows the watermark has closed."""
+    return f"""
+    SELECT station_id, '{name}' AS rule, '{severity}' AS severity, started_at, window_start AS fired_at, {col} AS value
+    FROM (SELECT *, min(window_start) OVER (PARTITION BY station_id, island) AS started_at FROM (
+      SELECT *, sum(brk) OVER (PARTITION BY station_id ORDER BY window_start) AS island FROM (
+        SELECT *, CASE WHEN coalesce(lag({col} > {limit}) OVER w, FALSE)
+                      AND window_start - lag(window_start) OVER w <= INTERVAL 15 MINUTE THEN 0 ELSE 1 END AS brk
+        FROM windows WHERE window_end <= (SELECT max(ts) FROM valid) - INTERVAL 10 MINUTE
+        WINDOW w AS (PARTITION BY station_id ORDER BY window_start))) WHERE {col} > {limit})
+    WHERE window_start - started_at >= INTERVAL {need} MINUTE
+    QUALIFY row_number() OVER (PARTITION BY station_id, island ORDER BY window_start) = 1"""
+
+
 _removed = []
 _steps_so_far = "TRUE"
 _all_steps = [("any_present", f"coalesce({', '.join(POLLUTANTS)}) IS NOT NULL")] + [
@@ -527,6 +541,13 @@ ORACLES: dict[str, str] = {
     "run_counters": """SELECT (SELECT count(*) FROM indexed) AS csv_rows, (SELECT count(*) FROM clean) AS after_clean,
         (SELECT count(*) FROM daily) AS daily_rows, (SELECT max(ispu) FROM clean) AS max_ispu""",
 
+    "raw_stream": "SELECT event_id, station_id, ts AS event_time, pm25, co FROM readings",
+    "stream_sliding_agg": "SELECT * FROM windows",
+    "stream_alerts": " UNION ALL ".join([
+        _fired("ISPUCritical", "ispu_avg", "200", 30, "critical"),
+        _fired("ISPUWarning", "ispu_avg", "100", 60, "warning"),
+        _fired("HighPM25", "pm25_avg", "55.4", 60, "warning")]),
+
     "weekend_ttest": f"""WITH s AS (SELECT station_id,
           count(ispu) FILTER (isodow(date) >= 6) AS weekend_n, count(ispu) FILTER (isodow(date) < 6) AS weekday_n,
           avg(ispu) FILTER (isodow(date) >= 6) AS m1, avg(ispu) FILTER (isodow(date) < 6) AS m2,

@@ -24,11 +24,15 @@ from aerostrata.schema import (
     INDEX_STEPS, LAGS, POLLUTANTS, ROLLINGS, WEATHER_FIELDS, WORST_STEPS, RangeRule,
     CLUSTER_MEASURES,
 )
-from aerostrata.session import run_path
+from aerostrata.ml import models as md
+from aerostrata.session import materialized, run_path
 from aerostrata.sinks import tables as sk
 from aerostrata.sources import logs as lg
 from aerostrata.sources import nested as ns
 from aerostrata.sources import readings as rd
+from aerostrata.streaming import alerts as sa
+from aerostrata.streaming import scoring as ss
+from aerostrata.streaming import windows as sw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,8 +66,14 @@ def windows(spark, sf):
     return ag.window_agg(valid(spark, sf))
 
 
+def stored_windows(spark, sf):
+    """Windowed table as stored, for operators that read it more than once."""
+    return materialized(windows(spark, sf))
+
+
 def long_daily(spark, sf):
-    return bd.daily_series(spark, sf).withColumn("aqi_category", ix.category(F.col("ispu")))
+    d = bd.daily_series(spark, sf).withColumn("aqi_category", ix.category(F.col("ispu")))
+    return materialized(d)
 
 
 # --- index and scalar functions ----------------------------------------------------
@@ -560,17 +570,17 @@ def ordinal_encode(spark, sf):
 
 @query
 def batch_features(spark, sf):
-    return fe.batch_features(bd.daily_series(spark, sf))
+    return fe.batch_features(materialized(bd.daily_series(spark, sf)))
 
 
 @query
 def batch_features_scoring(spark, sf):
-    return fe.batch_features(bd.daily_series(spark, sf), impute=False)
+    return fe.batch_features(materialized(bd.daily_series(spark, sf)), impute=False)
 
 
 @query
 def stream_features(spark, sf):
-    return fe.stream_features(windows(spark, sf))
+    return fe.stream_features(stored_windows(spark, sf))
 
 
 @query
@@ -745,5 +755,118 @@ def idw_grid(spark, sf):
     return ag.idw_grid(points, "pm25", 1.0, 2)
 
 
+# --- streams -----------------------------------------------------------------------
+
+def _run(q):
+    q.awaitTermination()
+
+
+def _ntz(df, *columns):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+def _valid_stream(spark, sf):
+    return ql.validate_rows(ix.composite_index(bd.events_stream(spark, sf)))[0]
+
+
+@query
+def raw_stream(spark, sf):
+    """Readings appended by a stream and read back as a table."""
+    path = run_path(spark, "raw")
+    rows = bd.events_stream(spark, sf).select("event_id", "station_id", "event_time", "pm25", "co")
+    _run(sw.append_rows(rows, path, run_path(spark, "raw-state"), every=None))
+    return _ntz(spark.read.parquet(path), "event_time")
+
+
+@query
+def stream_sliding_agg(spark, sf):
+    """Sliding windows kept up to date by a stream; the newest version of each window."""
+    path = run_path(spark, "windows")
+    agg = sw.windowed(_valid_stream(spark, sf))
+    _run(sw.upsert_windows(agg, path, run_path(spark, "windows-state"), every=None))
+    return _ntz(sw.read_windows(spark, path).drop("batch_id"), "window_start", "window_end")
+
+
+@query
+def stream_alerts(spark, sf):
+    """Alerts raised by a stream over its own closed windows."""
+    closed, path = run_path(spark, "closed"), run_path(spark, "alerts")
+    agg = sw.windowed(_valid_stream(spark, sf))
+    _run(sw.append_rows(agg, closed, run_path(spark, "closed-state"), every=None))
+    fired = sa.alert_stream(spark.readStream.schema(agg.schema).parquet(closed), max_gap="15 minutes")
+    _run(sw.append_rows(fired, path, run_path(spark, "alerts-state"), every=None))
+    return _ntz(spark.read.parquet(path), "started_at", "fired_at")
+
+
+# --- models ------------------------------------------------------------------------
+
+def _trained(spark, sf):
+    """Daily features split by time, and a forest fitted on the older part."""
+    split = materialized(fe.temporal_split(fe.batch_features(long_daily(spark, sf), encode=False)))
+    base = run_path(spark, "models")
+    model = md.train_classifier(split.filter("split = 'train'").drop("split"), f"{base}/1",
+                                search=False, trees=20, depth=8)
+    return split, model, base
+
+
+@query
+def train_classifier(spark, sf):
+    split, model, _ = _trained(spark, sf)
+    scored = md.score(split.filter("split = 'test'"), model)
+    return mm.classification_metrics(scored, "aqi_category", "predicted_label")
+
+
+@query
+def training_summary(spark, sf):
+    split, model, _ = _trained(spark, sf)
+    metrics = mm.classification_metrics(
+        md.score(split.filter("split = 'test'"), model), "aqi_category", "predicted_label")
+    summary = md.training_summary(split, metrics, _clusters(spark, sf))
+    return summary
+
+
+@query
+def batch_scores(spark, sf):
+    """Newest day of every station scored with the stored model."""
+    _, model, base = _trained(spark, sf)
+    md.register_model(spark, base, 1, "Production", f"{base}/1", {})
+    rows = fe.batch_features(long_daily(spark, sf), impute=False, encode=False)
+    newest = jn.latest(rows, ["station_id"], [F.desc("date")])
+    return md.score(newest, md.load_model(spark, base)).select(
+        "station_id", "date", "pm25_avg", "pm10_avg", "predicted_label", "confidence")
+
+
+def _station_means(spark, sf):
+    return materialized(fe.station_means(daily_agg_volume(spark, sf), CLUSTER_MEASURES))
+
+
+def _clusters(spark, sf):
+    return md.cluster_stations(_station_means(spark, sf))
+
+
+@query
+def station_clusters(spark, sf):
+    return _clusters(spark, sf).select("station_id", "ispu", "cluster")
+
+
+@query
+def cluster_pca(spark, sf):
+    return md.cluster_projection(_clusters(spark, sf))
+
+
+@query
+def stream_scores(spark, sf):
+    """Windows of a stream scored in its micro-batches with a model trained on the batch table."""
+    train = fe.stream_features(stored_windows(spark, sf)).withColumn("aqi_category", ix.category(F.col("ispu_avg")))
+    train = materialized(train.dropna(subset=["aqi_category", *fe.feature_columns(train)]))
+    base = run_path(spark, "stream-models")
+    md.train_classifier(train, f"{base}/1", order=["window_start"], search=False, trees=10, depth=6)
+    md.register_model(spark, base, 1, "Production", f"{base}/1", {})
+    stored, scores = run_path(spark, "windows"), run_path(spark, "scores")
+    agg = sw.windowed(_valid_stream(spark, sf))
+    _run(ss.score_stream(agg, stored, scores, base, run_path(spark, "score-state"), every=None))
+    return _ntz(sw.read_windows(spark, scores).drop("batch_id", "created_at"), "window_start", "window_end")
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_queries)

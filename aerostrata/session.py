@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -42,3 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
 def run_path(spark: SparkSession, name: str) -> str:
     """A path of its own for one run, below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """The frame as a reliable checkpoint, for results that several passes read."""
+    spark = df.sparkSession
+    if not spark.conf.get(CHECKPOINT_KEY, None):
+        shared_dir(spark)
+    return df.checkpoint()
