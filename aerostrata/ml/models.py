@@ -46,7 +46,7 @@ def classifier(train: DataFrame, label: str, features: Sequence[str],
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="_label", weightCol="weight", predictionCol="_prediction",
         probabilityCol="_probability", rawPredictionCol="_raw",
-        numTrees=trees, maxDepth=depth, maxBins=64, seed=SEED)
+        numTrees=trees, maxDepth=depth, maxBins=32, seed=SEED)
     names = IndexToString(inputCol="_prediction", outputCol="predicted_label",
                           labels=list(fitted.labels) + ["__unknown"])
     assembler = VectorAssembler(inputCols=[*features, "station_encoded"], outputCol="_features")
@@ -56,7 +56,8 @@ def classifier(train: DataFrame, label: str, features: Sequence[str],
 def train_classifier(train: DataFrame, path: str, label: str = "aqi_category",
                      station: str = "station_id", order: Sequence[str] = ("date",),
                      search: bool = True, min_rows: int = 10, parallelism: int = 4,
-                     trees: int = 100, depth: int = 10) -> PipelineModel | None:
+                     trees: int = 100, depth: int = 10,
+                     partitions: int | None = None) -> PipelineModel | None:
     """Fit the forest, with the grid search unless told otherwise, and store it at `path`.
 
     Folds are a hash of the row's key, so they are the same on every run.  Returns the
@@ -67,7 +68,9 @@ def train_classifier(train: DataFrame, path: str, label: str = "aqi_category",
     features = [c for c in feature_columns(train) if c not in ("split", "station_encoded")]
     rows = with_weights(train, label).withColumn(
         "fold", F.pmod(F.xxhash64(station, *order), F.lit(FOLDS)).cast("int"))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # The trees read the rows once per level: keep them, spread over every core.
+    rows = rows.repartition(partitions or train.sparkSession.sparkContext.defaultParallelism,
+                            station, *order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stages = classifier(rows, label, features, station, trees, depth)
         if search:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostrata.schema import AIR_FIELDS, WEATHER_FIELDS, hourly_response
@@ -26,16 +26,13 @@ def explode_hourly(air: DataFrame, weather: DataFrame, keys: Sequence[str],
     """
     a = air.select(*keys, F.col("hourly").alias("_a")).filter(F.size("_a.time") > 0)
     b = weather.select(*keys, F.col("hourly").alias("_b")).filter(F.size("_b.time") > 0)
-    rows = a.join(b, list(keys)).select(*keys, "_a", "_b", F.posexplode("_a.time").alias("_i", "tanggal"))
-
-    def at(field: str) -> Column:
-        return F.get(F.col(field), F.col("_i"))
-
-    return rows.select(
-        *keys, "tanggal",
-        *[at(f"_a.{f}").alias(n) for f, n in air_fields.items()],
-        *[at(f"_b.{f}").alias(n) for f, n in weather_fields.items()],
-    )
+    none = F.array().cast("array<double>")
+    arrays = [F.coalesce(F.col(f"_a.{f}"), none) for f in air_fields]
+    arrays += [F.coalesce(F.col(f"_b.{f}"), none) for f in weather_fields]
+    names = ["tanggal", *air_fields.values(), *weather_fields.values()]
+    # Zipping pads to the longest array, hence the cut; only the keys ride along the rows.
+    hours = F.slice(F.arrays_zip("_a.time", *arrays), F.lit(1), F.size("_a.time"))
+    return a.join(b, list(keys)).select(*keys, F.inline(hours).alias(*names))
 
 
 def current_values(df: DataFrame, keys: Sequence[str], fields: dict[str, str]) -> DataFrame:
