@@ -23,9 +23,7 @@ from aerostrata.operators.features import feature_columns, has_rows, with_weight
 from aerostrata.schema import CLUSTER_MEASURES
 
 # Search grid, folds and seed.  Spark's deepest tree is 30 levels.
-TREES = [100, 200]
-DEPTHS = [10, 20, 30]
-MIN_LEAF = [1, 2]
+GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2]}
 FOLDS = 3
 SEED = 42
 CLUSTERS = 3
@@ -56,8 +54,8 @@ def classifier(train: DataFrame, label: str, features: Sequence[str],
 def train_classifier(train: DataFrame, path: str, label: str = "aqi_category",
                      station: str = "station_id", order: Sequence[str] = ("date",),
                      search: bool = True, min_rows: int = 10, parallelism: int = 4,
-                     trees: int = 100, depth: int = 10,
-                     partitions: int | None = None) -> PipelineModel | None:
+                     trees: int = 100, depth: int = 10, partitions: int | None = None,
+                     grid: dict[str, Sequence[int]] = GRID) -> PipelineModel | None:
     """Fit the forest, with the grid search unless told otherwise, and store it at `path`.
 
     Folds are a hash of the row's key, so they are the same on every run.  Returns the
@@ -75,13 +73,13 @@ def train_classifier(train: DataFrame, path: str, label: str = "aqi_category",
         stages = classifier(rows, label, features, station, trees, depth)
         if search:
             forest = stages.getStages()[3]
-            grid = (
-                ParamGridBuilder().addGrid(forest.numTrees, TREES)
-                .addGrid(forest.maxDepth, DEPTHS).addGrid(forest.minInstancesPerNode, MIN_LEAF).build())
+            points = ParamGridBuilder()
+            for name, values in grid.items():
+                points = points.addGrid(forest.getParam(name), list(values))
             judge = MulticlassClassificationEvaluator(
                 labelCol="_label", predictionCol="_prediction", metricName="f1")
             search_cv = CrossValidator(
-                estimator=stages, estimatorParamMaps=grid, evaluator=judge, numFolds=FOLDS,
+                estimator=stages, estimatorParamMaps=points.build(), evaluator=judge, numFolds=FOLDS,
                 foldCol="fold", parallelism=parallelism, seed=SEED)
             model = search_cv.fit(rows).bestModel
         else:

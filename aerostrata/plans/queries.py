@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -390,7 +391,7 @@ def _station_dim(spark, sf):
 
 @query
 def latest_map(spark, sf):
-    newest = jn.at_latest(daily(spark, sf), "date")
+    newest = jn.at_latest(materialized(daily(spark, sf)), "date")
     return jn.with_dimension(newest, _station_dim(spark, sf), ["station_id"]).select(
         "latitude", "longitude", sc.round_half_up(F.col("ispu"), 1).alias("ispu"),
         "station_id", "aqi_category")
@@ -413,7 +414,7 @@ def merge_feeds(spark, sf):
 @query
 def insert_if_absent(spark, sf):
     """A stored table holding the first half of the month receives the whole month."""
-    d = daily(spark, sf).select("station_id", "date", "ispu")
+    d = materialized(daily(spark, sf).select("station_id", "date", "ispu"))
     stored = d.filter(F.col("date") < F.lit("2024-01-16").cast("date"))
     new = d.withColumn("ispu", F.col("ispu") + 1)
     added = jn.insert_if_absent(new, stored, ["station_id", "date"], [F.asc("ispu")])
@@ -425,7 +426,7 @@ def insert_if_absent(spark, sf):
 def stored_daily(spark, sf):
     """Daily table written partitioned by date, appended to, and read back with pruning."""
     path = run_path(spark, "daily")
-    d = daily(spark, sf).select("station_id", "date", "ispu", "record_count")
+    d = materialized(daily(spark, sf).select("station_id", "date", "ispu", "record_count"))
     sk.write_partitioned(d.filter(F.col("date") < F.lit("2024-01-20").cast("date")), path)
     sk.append_absent(d.withColumn("ispu", F.col("ispu") + 1), path, ["station_id", "date"], [F.asc("ispu")])
     return spark.read.parquet(path).filter(F.col("date") >= F.lit("2024-01-15").cast("date")).select(
@@ -869,4 +870,14 @@ def stream_scores(spark, sf):
 
 
 def all_queries() -> dict[str, Query]:
-    return dict(_queries)
+    """The registered queries; each first pins the session to UTC, the zone all times are in."""
+
+    def in_utc(fn: Query) -> Query:
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        return run
+
+    return {name: in_utc(fn) for name, fn in _queries.items()}

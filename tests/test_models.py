@@ -39,6 +39,15 @@ def test_train_store_load_score(spark, tmp_path):
     assert md.model_runs(spark, base).count() == 1
 
 
+def test_grid_search(spark, tmp_path):
+    rows = [("ab"[i % 2], i, float(i % 3), "LMH"[i % 3]) for i in range(90)]
+    df = spark.createDataFrame(rows, "station_id string, date int, v double, aqi_category string")
+    model = md.train_classifier(df, str(tmp_path / "m"), grid={"numTrees": [2], "maxDepth": [1, 3]})
+    forest = model.stages[3]
+    assert forest.getMaxDepth() == 3
+    assert all(r.predicted_label == r.aqi_category for r in md.score(df, model).collect())
+
+
 def test_clusters_are_ranked_by_index(spark):
     rows = [(f"s{i}", float(100 * (i % 3) + i % 2), float(i % 3)) for i in range(12)]
     means = spark.createDataFrame(rows, "station_id string, ispu double, pm25_avg double")
