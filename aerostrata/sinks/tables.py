@@ -49,10 +49,13 @@ def jdbc_options(url: str, table: str, **extra: str) -> dict[str, str]:
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, writers: int = 16, **extra: str) -> bool:
-    """Append to a database table with a bounded number of connections; empty input is skipped."""
+    """Append to a database table with a bounded number of connections; empty input is skipped.
+
+    The rows are shuffled to the writers, so computing them keeps its own parallelism.
+    """
     if df.isEmpty():
         return False
-    df.coalesce(writers).write.format("jdbc").options(**jdbc_options(url, table, **extra)) \
+    df.repartition(writers).write.format("jdbc").options(**jdbc_options(url, table, **extra)) \
         .mode("append").save()
     return True
 

@@ -54,36 +54,35 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _last(value: Column, hit: Column) -> Column:
-    return F.max_by(F.when(hit, value), F.when(hit, F.col("pos")))
+def _last(column: str) -> Column:
+    """Value of the last line that has one."""
+    value = F.col(column)
+    return F.max_by(value, F.when(value.isNotNull(), F.col("pos"))).alias(column)
 
 
 def extract_log_metrics(logs: DataFrame, patterns: list[LogPattern],
                         marks: tuple[str, str] | None = None) -> DataFrame:
     """One row per file: each pattern's last value, start and end time, success, warnings.
 
-    `logs` has `file`, `pos` and `text`.  Maxima by position combine map-side, so one very
-    long log costs no more than many short ones.
+    `logs` has `file`, `pos` and `text`.  Every line is matched once, before the
+    aggregation, and maxima by position combine map-side, so one very long log costs no
+    more than many short ones.
     """
     text = F.col("text")
-    aggs = [
-        _last(F.regexp_extract(text, p.pattern, p.group), F.regexp_like(text, F.lit(p.pattern)))
-        .try_cast(p.dtype).alias(p.metric)
-        for p in patterns
-    ]
-    aggs.append(F.count_if(text.contains("WARNING")).alias("warnings"))
+    found = {p.metric: F.regexp_extract(text, p.pattern, p.group).try_cast(p.dtype) for p in patterns}
     if marks:
-        stamp = F.regexp_extract(text, TIMESTAMP, 1)
-        aggs += [
-            _last(stamp, text.contains(mark)).try_cast("timestamp_ntz").alias(name)
-            for name, mark in zip(("started_at", "ended_at"), marks)
-        ]
-        aggs.append(F.max(text.contains(marks[1])).alias("ok"))
-    # Lines that can contribute; the rest only has to keep its file in the result.
-    out = logs.groupBy("file").agg(*aggs)
-    if marks:
-        out = out.withColumn("seconds", F.expr("timestampdiff(SECOND, started_at, ended_at)"))
-    return out
+        stamp = F.regexp_extract(text, TIMESTAMP, 1).try_cast("timestamp_ntz")
+        found |= {name: F.when(text.contains(mark), stamp)
+                  for name, mark in zip(("started_at", "ended_at"), marks)}
+        found["ok"] = text.contains(marks[1])
+    lines = logs.select("file", "pos", text.contains("WARNING").alias("warning"),
+                        *[c.alias(n) for n, c in found.items()])
+    aggs = [_last(n) for n in found if n != "ok"]
+    aggs.append(F.count_if("warning").alias("warnings"))
+    if not marks:
+        return lines.groupBy("file").agg(*aggs)
+    return lines.groupBy("file").agg(*aggs, F.max("ok").alias("ok")).withColumn(
+        "seconds", F.expr("timestampdiff(SECOND, started_at, ended_at)"))
 
 
 def parse_metric_lines(logs: DataFrame, schema: T.StructType, pick: str = "first",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,11 +33,11 @@ def latest_versions(versions: DataFrame, keys: Sequence[str] = WINDOW_KEYS) -> D
     return latest(versions, keys, [F.desc("batch_id")])
 
 
-def read_windows(spark, path: str) -> DataFrame:
+def read_windows(spark: SparkSession, path: str) -> DataFrame:
     return latest_versions(spark.read.parquet(path))
 
 
-def compact(spark, path: str, target: str) -> None:
+def compact(spark: SparkSession, path: str, target: str) -> None:
     """Rewrite a versioned table with its newest versions only."""
     read_windows(spark, path).write.mode("overwrite").partitionBy("batch_id").parquet(target)
 
@@ -69,3 +69,12 @@ def append_rows(df: DataFrame, path: str, checkpoint: str,
     writer = df.writeStream.format("parquet").outputMode("append") \
         .option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def await_any(spark: SparkSession) -> None:
+    """Wait until any running stream ends, stop the others, and raise its error if it had one."""
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for query in spark.streams.active:
+            query.stop()

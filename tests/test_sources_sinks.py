@@ -157,3 +157,11 @@ def test_report_without_data(spark):
     preds = spark.createDataFrame([], "station_id string, predicted_label string, confidence double, created_at timestamp")
     rows = station_report(daily, preds, F.lit("2024-01-01").cast("date"), {"a": "b"}).collect()
     assert len(rows) == 1 and rows[0].station_id is None
+
+
+def test_predictions_are_appended_with_version(spark, tmp_path):
+    df = spark.createDataFrame([("A", "Baik", 0.9)], "station_id string, predicted_label string, confidence double")
+    for v in ("1", "2"):
+        sk.write_predictions(df, str(tmp_path / "p"), v)
+    rows = spark.read.parquet(str(tmp_path / "p")).collect()
+    assert sorted(r.model_version for r in rows) == ["1", "2"] and all(r.created_at for r in rows)
