@@ -81,7 +81,9 @@ def label_midpoint(label: Column) -> Column:
 def decode_label(label: Column) -> Column:
     """Category name for an alphabetical class code; other text passes through."""
     codes = F.create_map(*[F.lit(x) for pair in enumerate(sorted(CATEGORIES)) for x in pair])
-    code = label.try_cast("double").try_cast("int")
+    # Only text that starts like a number is parsed; a failing parse costs an exception.
+    numeric = F.when(label.rlike(r"^\s*[-+]?[.\d]"), label)
+    code = numeric.try_cast("double").try_cast("int")
     return F.coalesce(F.try_element_at(codes, code), label)
 
 

@@ -21,9 +21,8 @@ from aerostrata.operators import quality as ql
 from aerostrata.operators import series as se
 from aerostrata.plans import bindings as bd
 from aerostrata.schema import (
-    AIR_FIELDS, BREAKPOINTS, CLEANING_RULES, COUNT_STEPS, COVERAGE_STEPS, DAILY_MEASURES,
-    INDEX_STEPS, LAGS, POLLUTANTS, ROLLINGS, WEATHER_FIELDS, WORST_STEPS, RangeRule,
-    CLUSTER_MEASURES,
+    BREAKPOINTS, CLUSTER_MEASURES, COUNT_STEPS, COVERAGE_STEPS, INDEX_STEPS, LAGS, POLLUTANTS,
+    ROLLINGS, WORST_STEPS, RangeRule,
 )
 from aerostrata.ml import models as md
 from aerostrata.session import materialized, run_path

@@ -54,6 +54,11 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _match(text: Column, pattern: str, group: int) -> Column:
+    """The pattern's group, null without a match: parsing an empty string is slow to fail."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+
+
 def _last(column: str) -> Column:
     """Value of the last line that has one."""
     value = F.col(column)
@@ -69,9 +74,9 @@ def extract_log_metrics(logs: DataFrame, patterns: list[LogPattern],
     more than many short ones.
     """
     text = F.col("text")
-    found = {p.metric: F.regexp_extract(text, p.pattern, p.group).try_cast(p.dtype) for p in patterns}
+    found = {p.metric: _match(text, p.pattern, p.group).try_cast(p.dtype) for p in patterns}
     if marks:
-        stamp = F.regexp_extract(text, TIMESTAMP, 1).try_cast("timestamp_ntz")
+        stamp = _match(text, TIMESTAMP, 1).try_cast("timestamp_ntz")
         found |= {name: F.when(text.contains(mark), stamp)
                   for name, mark in zip(("started_at", "ended_at"), marks)}
         found["ok"] = text.contains(marks[1])
@@ -85,8 +90,8 @@ def extract_log_metrics(logs: DataFrame, patterns: list[LogPattern],
         "seconds", F.expr("timestampdiff(SECOND, started_at, ended_at)"))
 
 
-def parse_metric_lines(logs: DataFrame, schema: T.StructType, pick: str = "first",
-                       strict: bool = True) -> DataFrame:
+def parse_metric_lines(logs: DataFrame, schema: T.StructType,
+                       pick: str = "first") -> DataFrame:
     """The first or last well-formed metric line of each file, parsed; others are skipped."""
     found = logs.filter(F.startswith(F.col("text"), F.lit(METRICS_PREFIX)))
     body = F.substr(F.col("text"), F.lit(len(METRICS_PREFIX) + 1))
