@@ -91,5 +91,5 @@ def threshold_step(value: Column, steps: Sequence[tuple[float | None, str]]) ->
     """Name of the highest step whose inclusive lower bound the value reaches."""
     out = F
     for bound, name in sorted(steps[1:], key=lambda s: s[0], reverse=True):
-        out = out.when(value >= float(bound), F.lit(name))
+        out = out.when((value >= float(bound)) & ~F.isnan(value), F.lit(name))
     return out.otherwise(F.lit(steps[0][1]))

@@ -24,20 +24,25 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.floor(value * scale + 0.5) / scale
 
 
-def exact_sum(value: Column, digits: int = 4) -> Column:
-    """Sum that does not depend on task order for values of at most `digits` decimals.
+def total(value: Column, digits: int | None = None) -> Column:
+    """Sum of the values as they are.  With `digits` they are first rounded to that many decimals
+    and summed as whole numbers, which makes the last digits independent of the task order.
 
-    Values are summed as whole numbers held in doubles: exact up to 2**53, ordinary
-    double precision beyond, never an overflow error.
+    Whole numbers are held in doubles: exact up to 2**53, ordinary double precision beyond,
+    never an overflow error.
     """
+    if digits is None:
+        return F.sum(value)
     scale = 10.0 ** digits
     return F.sum(F.rint(value * scale)) / scale
 
 
-def exact_mean(value: Column, digits: int = 4) -> Column:
-    """Mean on top of `exact_sum`; null when there is no non-null value."""
+def mean(value: Column, digits: int | None = None) -> Column:
+    """Mean, over rounded values when `digits` is given; null when there is no non-null value."""
+    if digits is None:
+        return F.avg(value)
     n = F.count(value)
-    return exact_sum(value, digits) / F.when(n > 0, n)
+    return total(value, digits) / F.when(n > 0, n)
 
 
 def parse_day(text: Column) -> Column:
@@ -50,11 +55,6 @@ def parse_ts(text: Column) -> Column:
     return text.try_cast("timestamp")
 
 
-def local_date(ts: Column, tz: str) -> Column:
-    """Calendar date of a UTC timestamp in another time zone."""
-    return F.to_date(F.from_utc_timestamp(ts, tz))
-
-
 def calendar_parts(ts: Column, hour: bool = False) -> dict[str, Column]:
     """Month or hour, weekday with Monday 0, weekend flag and day of month."""
     day = F.weekday(ts)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -16,10 +17,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 from pyspark.storagelevel import StorageLevel
 
 from aerostrata.operators.features import feature_columns, has_rows, with_weights
+from aerostrata.operators.series import ordinal_codes
+from aerostrata.sinks.tables import read_or_none
 from aerostrata.schema import CLUSTER_MEASURES
 
 # Search grid, folds and seed.  Spark's deepest tree is 30 levels.
@@ -27,74 +29,117 @@ GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode":
 FOLDS = 3
 SEED = 42
 CLUSTERS = 3
+ROWS_A_PART = 4000
 
 
-def classifier(train: DataFrame, label: str, features: Sequence[str],
-               station: str = "station_id", trees: int = 100, depth: int = 10) -> Pipeline:
-    """Station code, assembled features, weighted forest and readable prediction.
+class StoredModel(NamedTuple):
+    """A forest with what scoring needs beside it: station codes and the medians of its training rows."""
 
-    Label and station codes are alphabetical and part of the stored pipeline, so scoring
-    never refits them on whatever rows it happens to see.
+    pipeline: PipelineModel
+    codes: DataFrame
+    medians: DataFrame | None
+    version: str
+
+
+def classifier(train: DataFrame, label: str, features: Sequence[str], trees: int = 100,
+               depth: int = 10) -> Pipeline:
+    """Assembled features, weighted forest and readable prediction; labels are in alphabetical order.
+
+    The station code is a plain number among the features, so any number of stations will do.
     """
     labels = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc",
                            handleInvalid="keep")
     fitted = labels.fit(train)
-    stations = StringIndexer(inputCol=station, outputCol="station_encoded",
-                             stringOrderType="alphabetAsc", handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=[*features, "station_encoded"], outputCol="_features",
+                                handleInvalid="keep")
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="_label", weightCol="weight", predictionCol="_prediction",
         probabilityCol="_probability", rawPredictionCol="_raw",
         numTrees=trees, maxDepth=depth, maxBins=32, seed=SEED)
     names = IndexToString(inputCol="_prediction", outputCol="predicted_label",
                           labels=list(fitted.labels) + ["__unknown"])
-    assembler = VectorAssembler(inputCols=[*features, "station_encoded"], outputCol="_features")
-    return Pipeline(stages=[fitted, stations, assembler, forest, names])
+    return Pipeline(stages=[fitted, assembler, forest, names])
 
 
 def train_classifier(train: DataFrame, path: str, label: str = "aqi_category",
                      station: str = "station_id", order: Sequence[str] = ("date",),
-                     search: bool = True, min_rows: int = 10, parallelism: int = 4,
+                     search: bool = True, min_rows: int = 10, parallelism: int = 8,
                      trees: int = 100, depth: int = 10, partitions: int | None = None,
-                     grid: dict[str, Sequence[int]] = GRID) -> PipelineModel | None:
-    """Fit the forest, with the grid search unless told otherwise, and store it at `path`.
-
-    Folds are a hash of the row's key, so they are the same on every run.  Returns the
-    stored model read back, or None when there are too few rows to train on.
+                     grid: dict[str, Sequence[int]] = GRID, max_rows: int = 50_000,
+                     medians: DataFrame | None = None, version: str = "1") -> StoredModel | None:
+    """Fit the forest, with the grid search unless told otherwise, and store it below `path`.
+
+    The forest is fitted on about `max_rows` labelled rows at most, chosen by a hash of their
+    key; folds are another hash, so both are the same on every run.  Stored beside the model are
+    the code of every station, the `medians` its features were imputed with, and a summary of
+    the fit.  Returns the stored model read back, or None when there are too few rows.
     """
     if not has_rows(train, min_rows):
         return None
+    spark = train.sparkSession
     features = [c for c in feature_columns(train) if c not in ("split", "station_encoded")]
-    rows = with_weights(train, label).withColumn(
+    ordinal_codes(train, station, "station_encoded").write.mode("overwrite").parquet(f"{path}/codes")
+    codes = spark.read.parquet(f"{path}/codes")
+    if medians is not None:
+        medians.write.mode("overwrite").parquet(f"{path}/medians")
+    total = train.count()
+    share = int(min(1.0, max_rows / total) * (1 << 30))
+    picked = train.filter(F.pmod(F.xxhash64(F.lit("rows"), station, *order), F.lit(1 << 30)) < share)
+    rows = with_weights(picked, label).join(codes, station).withColumn(
         "fold", F.pmod(F.xxhash64(station, *order), F.lit(FOLDS)).cast("int"))
-    # The trees read the rows once per level: keep them, spread over every core.
-    rows = rows.repartition(partitions or train.sparkSession.sparkContext.defaultParallelism,
-                            station, *order).persist(StorageLevel.MEMORY_AND_DISK)
+    # The trees read the rows once per level: keep them, in as many parts as they fill.
+    parts = partitions or max(1, min(spark.sparkContext.defaultParallelism, min(total, max_rows) // ROWS_A_PART))
+    rows = rows.repartition(parts, station, *order).persist(StorageLevel.MEMORY_AND_DISK)
+    summary = {"features": len(features) + 1, "mode": "grid" if search else "single", "rows": rows.count()}
     try:
-        stages = classifier(rows, label, features, station, trees, depth)
+        stages = classifier(rows, label, features, trees, depth)
         if search:
-            forest = stages.getStages()[3]
+            forest = stages.getStages()[2]
             points = ParamGridBuilder()
             for name, values in grid.items():
                 points = points.addGrid(forest.getParam(name), list(values))
             judge = MulticlassClassificationEvaluator(
                 labelCol="_label", predictionCol="_prediction", metricName="f1")
-            search_cv = CrossValidator(
+            found = CrossValidator(
                 estimator=stages, estimatorParamMaps=points.build(), evaluator=judge, numFolds=FOLDS,
-                foldCol="fold", parallelism=parallelism, seed=SEED)
-            model = search_cv.fit(rows).bestModel
+                foldCol="fold", parallelism=parallelism, seed=SEED).fit(rows)
+            model, scores = found.bestModel, list(found.avgMetrics)
+            best = found.getEstimatorParamMaps()[scores.index(max(scores))]
+            summary |= {"best": {p.name: v for p, v in best.items()}, "fold_f1": scores}
         else:
             model = stages.fit(rows)
-        model.write().overwrite().save(path)
+            summary |= {"best": {"numTrees": trees, "maxDepth": depth}, "fold_f1": []}
+        model.write().overwrite().save(f"{path}/model")
     finally:
         rows.unpersist()
-    return PipelineModel.load(path)
+    spark.createDataFrame([(json.dumps(summary),)], "summary string").write.mode("overwrite").parquet(f"{path}/summary")
+    return read_model(spark, path, version)
+
+
+def read_model(spark: SparkSession, path: str, version: str) -> StoredModel:
+    return StoredModel(PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/codes"),
+                       read_or_none(spark, f"{path}/medians"), version)
+
 
+def read_summary(spark: SparkSession, path: str) -> dict:
+    """What was fitted: rows, features, mode, best parameters and the mean F1 of every grid point."""
+    return json.loads(spark.read.parquet(f"{path}/summary").first()["summary"])
 
-def score(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Add predicted label and confidence, the highest class probability."""
-    keep = [F.col(c) for c in df.columns]
+
+def score(df: DataFrame, model: StoredModel, station: str = "station_id") -> DataFrame:
+    """Add predicted label and confidence, the highest class probability.
+
+    A station that the model has not seen gets the code -1; remaining nulls count as 0.
+    """
+    coded = df.drop("station_encoded").join(model.codes, station, "left").fillna(-1, subset=["station_encoded"])
+    inputs = model.pipeline.stages[1].getInputCols()
+    filled = coded.withColumns({f"_own_{c}": F.col(c) for c in inputs if c in df.columns}).fillna(0, subset=inputs)
     confidence = F.array_max(vector_to_array("_probability"))
-    return model.transform(df).select(*keep, "predicted_label", confidence.alias("confidence"))
+    scored = model.pipeline.transform(filled)
+    own = [F.col(f"_own_{c}").alias(c) if c in inputs else F.col(c) for c in df.columns if c != "station_encoded"]
+    own += [F.col("station_encoded")] if "station_encoded" in df.columns else []
+    return scored.select(*own, "predicted_label", confidence.alias("confidence")).select(
+        *df.columns, "predicted_label", "confidence")
 
 
 # --- model store -------------------------------------------------------------------
@@ -112,17 +157,20 @@ def register_model(spark: SparkSession, base: str, version: int, stage: str, pat
 
 def model_runs(spark: SparkSession, base: str) -> DataFrame:
     """Training history: one row per stored model with its summary."""
-    try:
-        return spark.read.schema(MANIFEST).parquet(f"{base}/manifest")
-    except AnalysisException:
-        return spark.createDataFrame([], MANIFEST)
+    found = read_or_none(spark, f"{base}/manifest")
+    return spark.createDataFrame([], MANIFEST) if found is None else found
 
 
-def load_model(spark: SparkSession, base: str, stage: str = "Production") -> PipelineModel | None:
-    """Newest model of the stage, else the newest of any stage, else None."""
+def newest_model(spark: SparkSession, base: str, stage: str = "Production") -> tuple[str, str] | None:
+    """Version and path of the newest model of the stage, else of any stage, else None."""
     wanted = (F.col("stage") == stage).desc()
     best = model_runs(spark, base).orderBy(wanted, F.desc("version"), F.desc("created_at")).first()
-    return PipelineModel.load(best["path"]) if best else None
+    return (str(best["version"]), best["path"]) if best else None
+
+
+def load_model(spark: SparkSession, base: str, stage: str = "Production") -> StoredModel | None:
+    best = newest_model(spark, base, stage)
+    return read_model(spark, best[1], best[0]) if best else None
 
 
 def training_summary(split: DataFrame, metrics: DataFrame, clusters: DataFrame | None = None) -> DataFrame:

@@ -9,39 +9,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostrata.functions.index import category
-from aerostrata.functions.scalars import exact_mean, exact_sum, round_half_up
+from aerostrata.functions.scalars import mean, round_half_up, total
 from aerostrata.schema import AVERAGED
 
 
-def _measures(df: DataFrame, index_name: str) -> list[Column]:
+def _measures(df: DataFrame, index_name: str, digits: int | None) -> list[Column]:
     out = []
     for c in AVERAGED:
         name = index_name if c == "ispu" else f"{c}_avg"
-        out.append(round_half_up(exact_mean(F.col(c)), 2).alias(name))
+        out.append(round_half_up(mean(F.col(c), digits), 2).alias(name))
     if "uv_index" in df.columns:
-        out.append(round_half_up(exact_mean(F.col("uv_index")), 2).alias("uv_index_avg"))
-    out.append(round_half_up(exact_sum(F.col("precipitation")), 2).alias("precipitation_sum"))
+        out.append(round_half_up(mean(F.col("uv_index"), digits), 2).alias("uv_index_avg"))
+    out.append(round_half_up(total(F.col("precipitation"), digits), 2).alias("precipitation_sum"))
     out.append(F.count(F.lit(1)).alias("record_count"))
     return out
 
 
-def daily_agg(df: DataFrame, keys: Sequence[str] = ("station_id", "date")) -> DataFrame:
-    """Rounded daily means per station, with the category of the rounded mean index."""
-    out = df.groupBy(*keys).agg(*_measures(df, "ispu"))
+def daily_agg(df: DataFrame, keys: Sequence[str] = ("station_id", "date"),
+              digits: int | None = None) -> DataFrame:
+    """Rounded daily means per station, with the category of the rounded mean index.
+
+    `digits` here and below: see `functions.scalars.total`.
+    """
+    out = df.groupBy(*keys).agg(*_measures(df, "ispu", digits))
     return out.withColumn("aqi_category", category(F.col("ispu")))
 
 
 def window_agg(df: DataFrame, time_col: str = "ts", window: str = "10 minutes",
-               slide: str | None = "5 minutes", key: str = "station_id") -> DataFrame:
+               slide: str | None = "5 minutes", key: str = "station_id",
+               digits: int | None = None) -> DataFrame:
     """Rounded means per station and event-time window; no slide makes it tumbling.
 
     In a batch a window that is a multiple of its slide is built from tumbling panes of
     the slide length, so each row is aggregated once instead of once per window.
     """
     if slide and not df.isStreaming and not pd.Timedelta(window) % pd.Timedelta(slide):
-        return _paned(df, time_col, window, slide, key)
+        return _paned(df, time_col, window, slide, key, digits)
     w = F.window(time_col, window, slide) if slide else F.window(time_col, window)
-    return df.groupBy(key, w.alias("w")).agg(*_measures(df, "ispu_avg")).select(
+    return df.groupBy(key, w.alias("w")).agg(*_measures(df, "ispu_avg", digits)).select(
         key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
         *[c for c in _measure_names(df)])
 
@@ -52,20 +57,25 @@ def _measure_names(df: DataFrame) -> list[str]:
         "precipitation_sum", "record_count"]
 
 
-def _paned(df: DataFrame, time_col: str, window: str, slide: str, key: str) -> DataFrame:
+def _paned(df: DataFrame, time_col: str, window: str, slide: str, key: str,
+           digits: int | None) -> DataFrame:
     measures = AVERAGED + (["uv_index"] if "uv_index" in df.columns else [])
-    scale = 10000.0
-    partial = [F.sum(F.rint(F.col(c) * scale)).alias(f"s_{c}") for c in measures]
+    scale = 1.0 if digits is None else 10.0 ** digits
+
+    def whole(c: str) -> Column:
+        return F.col(c) if digits is None else F.rint(F.col(c) * scale)
+
+    partial = [F.sum(whole(c)).alias(f"s_{c}") for c in measures]
     partial += [F.count(c).alias(f"n_{c}") for c in measures]
-    partial += [F.sum(F.rint(F.col("precipitation") * scale)).alias("s_precipitation"),
+    partial += [F.sum(whole("precipitation")).alias("s_precipitation"),
                 F.count(F.lit(1)).alias("n")]
     panes = df.groupBy(key, F.window(time_col, slide).alias("p")).agg(*partial)
     w = F.window(F.col("p.start"), window, slide)
     final = []
     for c in measures:
         n = F.sum(f"n_{c}")
-        mean = F.sum(f"s_{c}") / scale / F.when(n > 0, n)
-        final.append(round_half_up(mean, 2).alias("ispu_avg" if c == "ispu" else f"{c}_avg"))
+        average = F.sum(f"s_{c}") / scale / F.when(n > 0, n)
+        final.append(round_half_up(average, 2).alias("ispu_avg" if c == "ispu" else f"{c}_avg"))
     final.append(round_half_up(F.sum("s_precipitation") / scale, 2).alias("precipitation_sum"))
     final.append(F.sum("n").alias("record_count"))
     return panes.groupBy(key, w.alias("w")).agg(*final).select(
@@ -75,11 +85,17 @@ def _paned(df: DataFrame, time_col: str, window: str, slide: str, key: str) -> D
 
 # --- serving views -----------------------------------------------------------------
 
-def since(df: DataFrame, time_col: str, as_of: str, interval: str) -> DataFrame:
-    """Look-back filter against a literal instant, so it reaches the scan."""
+def since(df: DataFrame, time_col: str, as_of: str, interval: str,
+          until: str = "0 seconds") -> DataFrame:
+    """Look-back filter: from `interval` before the instant to `until` after it, both included.
+
+    Both ends are literals, so the filter reaches the scan of a stored column.  For readings
+    that feed windows, `until` is the window's length and the filter goes below the windowing.
+    """
     typ = df.schema[time_col].dataType.typeName()
-    return df.filter(F.col(time_col) >= F.expr(
-        f"CAST(timestamp_ntz '{as_of}' - interval {interval} AS {typ})"))
+    ends = [F.expr(f"CAST(timestamp_ntz '{as_of}' {part} AS {typ})")
+            for part in (f"- interval {interval}", f"+ interval {until}")]
+    return df.filter((F.col(time_col) >= ends[0]) & (F.col(time_col) <= ends[1]))
 
 
 def lookback(df: DataFrame, date_col: str, as_of: str, days: int) -> DataFrame:
@@ -88,8 +104,8 @@ def lookback(df: DataFrame, date_col: str, as_of: str, days: int) -> DataFrame:
              .filter(F.col(date_col) <= F.expr(f"date '{as_of}'"))
 
 
-def mean_value(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
-    return df.agg(round_half_up(exact_mean(F.col(column)), digits).alias("value"))
+def mean_value(df: DataFrame, column: str, places: int = 1, digits: int | None = None) -> DataFrame:
+    return df.agg(round_half_up(mean(F.col(column), digits), places).alias("value"))
 
 
 def worst(df: DataFrame, column: str, keys: Sequence[str], n: int = 1) -> DataFrame:
@@ -98,7 +114,8 @@ def worst(df: DataFrame, column: str, keys: Sequence[str], n: int = 1) -> DataFr
 
 
 def distinct_above(df: DataFrame, key: str, column: str, threshold: float) -> DataFrame:
-    return df.filter(F.col(column) > threshold).agg(F.count_distinct(key).alias("value"))
+    high = (F.col(column) > threshold) & ~F.isnan(column)
+    return df.filter(high).agg(F.count_distinct(key).alias("value"))
 
 
 def coverage_pct(df: DataFrame, time_col: str, hours: int = 24,
@@ -129,20 +146,21 @@ def long_series(df: DataFrame, time_col: str, series: dict[str, str],
 
 
 def series_reducers(df: DataFrame, column: str, order: Column,
-                    key: str = "station_id") -> DataFrame:
+                    key: str = "station_id", digits: int | None = None) -> DataFrame:
     """Mean, extremes, last and last non-null value per series."""
     v = F.col(column)
     return df.groupBy(key).agg(
-        round_half_up(exact_mean(v), 4).alias("mean"),
+        round_half_up(mean(v, digits), 4).alias("mean"),
         F.max(v).alias("max"), F.min(v).alias("min"),
         F.max_by(v, order).alias("last"),
         F.max_by(v, F.when(v.isNotNull(), order)).alias("last_not_null"),
     )
 
 
-def heatmap_hour_day(df: DataFrame, time_col: str, column: str) -> DataFrame:
+def heatmap_hour_day(df: DataFrame, time_col: str, column: str,
+                     digits: int | None = None) -> DataFrame:
     return df.groupBy(F.to_date(time_col).alias("day"), F.hour(time_col).alias("hour")).agg(
-        round_half_up(exact_mean(F.col(column)), 2).alias("mean_value"),
+        round_half_up(mean(F.col(column), digits), 2).alias("mean_value"),
         F.count(F.lit(1)).alias("n"))
 
 
@@ -165,13 +183,14 @@ def table_summary(df: DataFrame, time_col: str) -> DataFrame:
 
 # --- analyses ----------------------------------------------------------------------
 
-def weekend_ttest(df: DataFrame, date_col: str, column: str, by: Sequence[str] = ()) -> DataFrame:
+def weekend_ttest(df: DataFrame, date_col: str, column: str, by: Sequence[str] = (),
+                  digits: int | None = None) -> DataFrame:
     """Weekend against weekday means with Welch's t statistic and degrees of freedom."""
     v, weekend = F.col(column), F.weekday(date_col) >= 5
     aggs = []
     for name, cond in (("weekend", weekend), ("weekday", ~weekend)):
         x = F.when(cond, v)
-        aggs += [F.count(x).alias(f"{name}_n"), exact_mean(x).alias(f"{name}_mean"),
+        aggs += [F.count(x).alias(f"{name}_n"), mean(x, digits).alias(f"{name}_mean"),
                  F.var_samp(x).alias(f"{name}_var")]
     a, b = (F.col(f"{n}_var") / F.col(f"{n}_n") for n in ("weekend", "weekday"))
     n1, n2 = F.col("weekend_n"), F.col("weekday_n")
@@ -196,7 +215,7 @@ def correlations(df: DataFrame, column: str, others: Sequence[str],
 
 
 def idw_grid(points: DataFrame, value: str, cell: float, radius: int,
-             x: str = "longitude", y: str = "latitude") -> DataFrame:
+             x: str = "longitude", y: str = "latitude", digits: int | None = None) -> DataFrame:
     """Inverse-distance interpolation between stations on a regular grid.
 
     Each station writes its weight into the cells within `radius` of its own, then the
@@ -216,7 +235,7 @@ def idw_grid(points: DataFrame, value: str, cell: float, radius: int,
     # A station on a cell centre outweighs the rest instead of dividing by zero.
     w = 1.0 / F.greatest(d2, F.lit(1e-9))
     return spread.withColumn("w", w).groupBy("cell_x", "cell_y").agg(
-        round_half_up(exact_sum(F.col("w") * F.col(value), 9) / exact_sum(F.col("w"), 9), 2)
+        round_half_up(total(F.col("w") * F.col(value), digits) / total(F.col("w"), digits), 2)
         .alias("value"),
         F.count(F.lit(1)).alias("stations"),
     )

@@ -33,6 +33,16 @@ ALERT_RULES = [
 ]
 
 
+# Shortest length of the chunks a series may be cut into.
+CHUNK_LENGTHS = {"hour": pd.Timedelta(hours=1), "day": pd.Timedelta(days=1), "week": pd.Timedelta(days=7),
+                 "month": pd.Timedelta(days=28), "year": pd.Timedelta(days=365)}
+
+
+def exceeds(value: Column, threshold: float) -> Column:
+    """Whether a value is above the threshold; null and NaN are not."""
+    return F.coalesce((value > float(threshold)) & ~F.isnan(value), F.lit(False))
+
+
 def sustained_alerts(df: DataFrame, rules: Sequence[AlertRule] = ALERT_RULES,
                      key: str = "station_id", time: str = "window_start",
                      max_gap: str = "5 minutes", chunk: str = "day") -> DataFrame:
@@ -43,7 +53,7 @@ def sustained_alerts(df: DataFrame, rules: Sequence[AlertRule] = ALERT_RULES,
     that one shuffle.  Only spells touching a chunk's border can continue in the next
     chunk; at most two per chunk, they are joined up in a second, small step.
     """
-    if pd.Timedelta(max_gap) >= pd.Timedelta(1, chunk[0] if chunk != "hour" else "h"):
+    if pd.Timedelta(max_gap) >= CHUNK_LENGTHS[chunk]:
         raise ValueError("max_gap must be shorter than a chunk")
     gap = F.expr(f"interval {max_gap}")
     base = df.select(key, F.col(time).alias("_t"),
@@ -54,7 +64,7 @@ def sustained_alerts(df: DataFrame, rules: Sequence[AlertRule] = ALERT_RULES,
     flags = base.withColumns({
         "_prev": F.lag("_t").over(w),
         "_first": F.min("_t").over(whole), "_last": F.max("_t").over(whole),
-        **{f"_on_{i}": F.coalesce(F.col(r.column) > float(r.threshold), F.lit(False))
+        **{f"_on_{i}": exceeds(F.col(r.column), r.threshold)
            for i, r in enumerate(rules)},
     })
     paused = F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > gap)
@@ -105,6 +115,11 @@ def sustained_alerts(df: DataFrame, rules: Sequence[AlertRule] = ALERT_RULES,
     )
 
 
+# Texts of the report.
+TODAY, TOMORROW, INDEX_OPEN, SURE_OPEN, CLOSE = "Sekarang:", "Besok:", "(ISPU ", "(keyakinan ", ")"
+NO_READING = "Tidak ada data ISPU untuk hari ini."
+
+
 def station_report(daily: DataFrame, predictions: DataFrame, day: Column,
                    regions: dict[str, str], icons: dict[str, str] = CATEGORY_ICONS) -> DataFrame:
     """One text row per station with a reading on `day` and its newest prediction, or one
@@ -116,20 +131,20 @@ def station_report(daily: DataFrame, predictions: DataFrame, day: Column,
     today = daily.filter(F.col("date") == day).select(
         "station_id", "ispu", F.col("aqi_category").alias("category"))
     region = lookup(regions, F.col("station_id"), F.col("station_id"))
-    now_text = F.concat_ws(" ", F.lit("Sekarang:"), lookup(icons, F.col("category"), F.lit("")),
+    now_text = F.concat_ws(" ", F.lit(TODAY), lookup(icons, F.col("category"), F.lit("")),
                            F.col("category"),
-                           F.concat(F.lit("(ISPU "), round_half_up(F.col("ispu"), 0).cast("int"),
-                                    F.lit(")")))
+                           F.concat(F.lit(INDEX_OPEN), round_half_up(F.col("ispu"), 0).cast("int"),
+                                    F.lit(CLOSE)))
     next_text = F.when(F.col("predicted").isNotNull(), F.concat_ws(
-        " ", F.lit("Besok:"), lookup(icons, F.col("predicted"), F.lit("")), F.col("predicted"),
-        F.concat(F.lit("(keyakinan "), percent_text(F.col("confidence")), F.lit(")"))))
+        " ", F.lit(TOMORROW), lookup(icons, F.col("predicted"), F.lit("")), F.col("predicted"),
+        F.concat(F.lit(SURE_OPEN), percent_text(F.col("confidence")), F.lit(CLOSE))))
     report = today.join(newest, "station_id", "left").select(
         "station_id", region.alias("region"), "category", "ispu", "predicted", "confidence",
         F.concat_ws("\n", region, now_text, next_text).alias("text"))
     spark = daily.sparkSession
     none = spark.range(1).select(
         F.lit(None).cast("string").alias("station_id"),
-        F.lit("Tidak ada data ISPU untuk hari ini.").alias("text"),
+        F.lit(NO_READING).alias("text"),
     ).filter(~today.select(F.lit(1)).limit(1).exists())
     return report.unionByName(none, allowMissingColumns=True)
 

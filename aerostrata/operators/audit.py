@@ -16,7 +16,6 @@ AUDIT = T.StructType([
     T.StructField("records_out", T.LongType()), T.StructField("error_msg", T.StringType()),
     T.StructField("event_time", T.TimestampType()),
 ])
-STATUS_ORDER = {"RUNNING": 0, "FAILED": 1, "SUCCESS": 1}
 
 
 def audit_event(spark: SparkSession, dag_id: str, run_id: str, status: str,

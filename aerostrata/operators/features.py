@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerostrata.functions.scalars import exact_mean
+from aerostrata.functions.scalars import mean
 from aerostrata.operators.series import (
     calendar_features, chunk_window, drop_halo, group_medians, impute_columns,
     impute_rolling_median, lag_columns, ordinal_encode, rolling_columns, with_halo,
@@ -18,11 +18,12 @@ from aerostrata.schema import (
 
 
 def batch_features(df: DataFrame, impute: bool = True, encode: bool = True,
-                   chunk: str = "year") -> DataFrame:
+                   chunk: str = "year", digits: int | None = None,
+                   medians: DataFrame | None = None) -> DataFrame:
     """Daily features: imputed measures, lags, rolling means, calendar and station code.
 
-    Imputation, lags and rolling means share one partitioning and order, hence one
-    shuffle and sort.  Without imputation the remaining nulls become 0 (scoring mode).
+    Imputation, lags and rolling means share one partitioning and order.  `medians` are those
+    a model was trained with; without imputation the remaining nulls become 0.
     """
     key, order = "station_id", ["date"]
     lag_depth = max(k for ks in LAGS.values() for k in ks)
@@ -30,10 +31,10 @@ def batch_features(df: DataFrame, impute: bool = True, encode: bool = True,
     cut = with_halo(df, key, order, depth, chunk)
     w = chunk_window(key, order)
     if impute:
-        cut = cut.join(group_medians(df, key, DAILY_MEASURES), key, "left")
-        cut = cut.withColumns(impute_columns(DAILY_MEASURES, w, IMPUTE_ROWS))
+        cut = cut.join(medians if medians is not None else group_medians(df, key, DAILY_MEASURES), key, "left")
+        cut = cut.withColumns(impute_columns(DAILY_MEASURES, w, IMPUTE_ROWS, digits))
         cut = cut.drop(*[f"_median_{c}" for c in DAILY_MEASURES])
-    out = drop_halo(cut.withColumns(lag_columns(LAGS, w) | rolling_columns(ROLLINGS, w)))
+    out = drop_halo(cut.withColumns(lag_columns(LAGS, w) | rolling_columns(ROLLINGS, w, digits)))
     if not impute:
         numeric = [f.name for f in out.schema if f.dataType.typeName() in ("double", "long", "integer")]
         out = out.fillna(0, subset=numeric)
@@ -41,14 +42,20 @@ def batch_features(df: DataFrame, impute: bool = True, encode: bool = True,
     return ordinal_encode(out, key) if encode else out
 
 
-def stream_features(df: DataFrame, impute: bool = True, chunk: str = "day") -> DataFrame:
+def stream_features(df: DataFrame, impute: bool = True, chunk: str = "day",
+                    digits: int | None = None, medians: DataFrame | None = None) -> DataFrame:
     """Windowed features: imputed measures and calendar parts with the hour.
 
-    One function serves training and scoring, so both see the same columns.
+    A micro-batch holds no history.  So with `medians`, those a model was trained with, nulls take
+    the station's median at once, in training and in scoring alike; without them the trailing
+    mean comes first.
     """
-    if impute:
+    if medians is not None:
+        joined = df.join(medians, "station_id", "left")
+        df = joined.withColumns({c: F.coalesce(c, f"_median_{c}") for c in STREAM_MEASURES}).select(*df.columns)
+    elif impute:
         df = impute_rolling_median(df, STREAM_MEASURES, order=["window_start"],
-                                   rows=IMPUTE_ROWS, chunk=chunk)
+                                   rows=IMPUTE_ROWS, chunk=chunk, digits=digits)
     else:
         df = df.fillna(0, subset=STREAM_MEASURES)
     return calendar_features(df, "window_start", hour=True)
@@ -97,6 +104,7 @@ def has_rows(df: DataFrame, minimum: int) -> bool:
     return df.limit(minimum).count() >= minimum
 
 
-def station_means(df: DataFrame, measures: Sequence[str], key: str = "station_id") -> DataFrame:
-    return df.groupBy(key).agg(*[exact_mean(F.col(c)).alias(c) for c in measures]).dropna(
+def station_means(df: DataFrame, measures: Sequence[str], key: str = "station_id",
+                  digits: int | None = None) -> DataFrame:
+    return df.groupBy(key).agg(*[mean(F.col(c), digits).alias(c) for c in measures]).dropna(
         subset=list(measures))

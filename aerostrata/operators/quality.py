@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerostrata.functions.scalars import parse_day
 from aerostrata.schema import AUDIT_RULES, CLEANING_RULES, PAYLOAD_RULES, POLLUTANTS, RangeRule
 
 
@@ -38,6 +39,21 @@ def clean_ranges(df: DataFrame, rules: Sequence[RangeRule] = CLEANING_RULES) ->
     return df.filter(_all([in_range(r) for r in rules]))
 
 
+# Columns that may be null in a clean reading.
+IDENTIFIERS = ["station_id", "station_name", "region", "tanggal", "date"]
+
+
+def clean_readings(df: DataFrame, day: str = "tanggal") -> DataFrame:
+    """The whole cleaning: some pollutant present, ranges, a day that parses, nothing else missing.
+
+    The day is taken from the text column `day`, where there is one, as the column `date`.
+    """
+    kept = clean_ranges(df.filter(any_present()))
+    if day in df.columns:
+        kept = kept.withColumn("date", parse_day(F.col(day)))
+    return drop_incomplete(kept.filter(F.col("date").isNotNull()), IDENTIFIERS)
+
+
 def drop_incomplete(df: DataFrame, except_: Sequence[str]) -> DataFrame:
     """Drop rows with a null in any column but the given identifiers."""
     return df.dropna(how="any", subset=[c for c in df.columns if c not in except_])

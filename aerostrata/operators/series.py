@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from aerostrata.functions.scalars import calendar_parts
+from aerostrata.session import materialized
 
 CHUNK, OWN = "_chunk", "_own"
 
@@ -55,12 +56,15 @@ def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(OWN).drop(CHUNK, OWN)
 
 
-def rolling_mean(column: str, rows: int, w: WindowSpec, digits: int = 6) -> Column:
+def rolling_mean(column: str, rows: int, w: WindowSpec, digits: int | None = None) -> Column:
     """Mean of the last `rows` rows including this one, over whatever is not null.
 
-    Summed as whole numbers, so the value does not depend on the frame's sum order.
+    With `digits`, values are rounded to them and summed as whole numbers, so the result
+    does not depend on the frame's sum order.
     """
     frame = w.rowsBetween(-(rows - 1), 0)
+    if digits is None:
+        return F.avg(column).over(frame)
     scale = 10.0 ** digits
     n = F.count(column).over(frame)
     return F.sum(F.rint(F.col(column) * scale)).over(frame) / scale / F.when(n > 0, n)
@@ -70,8 +74,9 @@ def lag_columns(lags: dict[str, Sequence[int]], w: WindowSpec) -> dict[str, Colu
     return {f"{c}_lag_{k}": F.lag(c, k).over(w) for c, ks in lags.items() for k in ks}
 
 
-def rolling_columns(rollings: Sequence[tuple[str, int]], w: WindowSpec) -> dict[str, Column]:
-    return {f"{c}_roll_{n}": rolling_mean(c, n, w) for c, n in rollings}
+def rolling_columns(rollings: Sequence[tuple[str, int]], w: WindowSpec,
+                    digits: int | None = None) -> dict[str, Column]:
+    return {f"{c}_roll_{n}": rolling_mean(c, n, w, digits) for c, n in rollings}
 
 
 def lag_features(df: DataFrame, lags: dict[str, Sequence[int]], key: str = "station_id",
@@ -101,44 +106,38 @@ def calendar_lags(df: DataFrame, lags: dict[str, Sequence[int]], key: str = "sta
 
 
 def rolling_features(df: DataFrame, rollings: Sequence[tuple[str, int]], key: str = "station_id",
-                     order: Sequence[str] = ("date",), chunk: str = "year") -> DataFrame:
+                     order: Sequence[str] = ("date",), chunk: str = "year",
+                     digits: int | None = None) -> DataFrame:
     depth = max(n for _, n in rollings) - 1
     cut = with_halo(df, key, order, depth, chunk)
-    return drop_halo(cut.withColumns(rolling_columns(rollings, chunk_window(key, order))))
+    return drop_halo(cut.withColumns(rolling_columns(rollings, chunk_window(key, order), digits)))
 
 
-def group_medians(df: DataFrame, key: str, columns: Sequence[str], bins: int = 1024) -> DataFrame:
+# Band of ranks around the middle that is ranked exactly, and the accuracy of its two ends.
+BAND, ACCURACY = (0.498, 0.502), 10_000
+
+
+def group_medians(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Exact median per group and column, one row per group, without gathering a group.
 
-    Equal values are first reduced to counts.  The counts are summed per value bin to find
-    the bin that holds the middle rank, and only that bin's values are ranked.
+    Mergeable sketches give two values that enclose the median within half a percent of the
+    ranks.  What lies below is only counted, and equal values in between are reduced to counts
+    before they are ranked; so outliers and heavy ties cost nothing.
     """
+    group = [key, "_name"]
     long = df.select(key, F.inline(F.array(*[
         F.struct(F.lit(c).alias("_name"), F.col(c).alias("_v")) for c in columns
     ]))).filter(F.col("_v").isNotNull())
-    counts = long.groupBy(key, "_name", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ends = counts.groupBy(key, "_name").agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total"))
-    width = F.when(F.col("_hi") > F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    binned = counts.join(ends, [key, "_name"]).withColumn(
-        "_bin", F.coalesce(F.floor((F.col("_v") - F.col("_lo")) / width * float(bins - 1)), F.lit(0)))
-    group = [key, "_name"]
-    up_to = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    ends = long.groupBy(*group).agg(
+        F.percentile_approx("_v", list(BAND), ACCURACY).alias("_ends"), F.count(F.lit(1)).alias("_total"))
+    # One row per group for all that is below the band, one per value inside it.
+    banded = long.join(ends, group).filter(F.col("_v") <= F.col("_ends")[1])
+    counts = banded.groupBy(*group, F.when(F.col("_v") >= F.col("_ends")[0], F.col("_v")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"), F.first("_total").alias("_total"))
+    up_to = Window.partitionBy(*group).orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_to", F.sum("_n").over(up_to)).withColumn("_from", F.col("_to") - F.col("_n"))
     # Ranks of the two middle values, the same one twice for an odd count.
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
-    target = (
-        binned.groupBy(*group, "_bin").agg(F.sum("_n").alias("_bn"), F.first("_total").alias("_total"))
-        .withColumn("_end", F.sum("_bn").over(up_to))
-        .withColumn("_start", F.col("_end") - F.col("_bn"))
-        .filter((F.col("_end") >= low) & (F.col("_start") < high))
-        .select(*group, "_bin", "_start")
-    )
-    inside = Window.partitionBy(*group, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        binned.join(target, [*group, "_bin"])
-        .withColumn("_to", F.sum("_n").over(inside) + F.col("_start"))
-        .withColumn("_from", F.col("_to") - F.col("_n"))
-    )
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("_from") < rank) & (rank <= F.col("_to")), F.col("_v")))
@@ -150,52 +149,71 @@ def group_medians(df: DataFrame, key: str, columns: Sequence[str], bins: int = 1
     ])
 
 
-def impute_columns(columns: Sequence[str], w: WindowSpec, rows: int = 7) -> dict[str, Column]:
+def impute_columns(columns: Sequence[str], w: WindowSpec, rows: int = 7,
+                   digits: int | None = None) -> dict[str, Column]:
     """Null to the trailing mean, then to the group's median (joined as `_median_<col>`)."""
-    return {c: F.coalesce(F.col(c), rolling_mean(c, rows, w), F.col(f"_median_{c}"))
+    return {c: F.coalesce(F.col(c), rolling_mean(c, rows, w, digits), F.col(f"_median_{c}"))
             for c in columns}
 
 
 def impute_rolling_median(df: DataFrame, columns: Sequence[str], key: str = "station_id",
-                          order: Sequence[str] = ("date",), rows: int = 7,
-                          chunk: str = "year") -> DataFrame:
-    """Fill nulls from the trailing mean of the original values, else the group's median."""
-    medians = group_medians(df, key, columns)
+                          order: Sequence[str] = ("date",), rows: int = 7, chunk: str = "year",
+                          digits: int | None = None, medians: DataFrame | None = None) -> DataFrame:
+    """Fill nulls from the trailing mean of the original values, else the group's median.
+
+    `medians`, as `group_medians` returns them, stand in for the medians of `df` itself.
+    """
+    if medians is None:
+        medians = group_medians(df, key, columns)
     cut = with_halo(df, key, order, rows - 1, chunk).join(medians, key, "left")
-    filled = cut.withColumns(impute_columns(columns, chunk_window(key, order), rows))
+    filled = cut.withColumns(impute_columns(columns, chunk_window(key, order), rows, digits))
     return drop_halo(filled.drop(*[f"_median_{c}" for c in columns]))
 
 
-def ordinal_encode(df: DataFrame, column: str = "station_id",
-                   out: str = "station_encoded") -> DataFrame:
-    """Alphabetical 0-based code per distinct value.
+def ranged(df: DataFrame, order: str, out: str = CHUNK) -> DataFrame:
+    """The rows stored in ranges of `order`, numbered by `out`: equal values share a range, and
+    ranges hold about as many rows each, whatever the values are."""
+    return materialized(df.repartitionByRange(F.col(order)).withColumn(out, F.spark_partition_id()))
+
+
+def ordinal_codes(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Rows (column, out): alphabetical 0-based code per distinct value, numbered range by range.
 
-    Only the distinct values, the dimension's keys, are ordered in one place; facts get
-    their code by a join that Spark broadcasts when the measured key list is small.
+    Only one count per range meets in one place.
     """
-    codes = df.select(column).distinct().withColumn(
-        out, (F.row_number().over(Window.orderBy(column)) - 1).cast("int"))
-    return df.join(codes, column, "left")
+    keys = ranged(df.select(column).distinct(), column)
+    sizes = keys.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select(CHUNK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    own = F.row_number().over(Window.partitionBy(CHUNK).orderBy(column))
+    return keys.withColumn("_own", own).join(first, CHUNK).select(
+        column, (F.col("_first") + F.col("_own") - 1).cast("int").alias(out))
+
+
+def ordinal_encode(df: DataFrame, column: str = "station_id", out: str = "station_encoded",
+                   codes: DataFrame | None = None) -> DataFrame:
+    """Add the code of `column`, from `codes` if given; facts get it by a join that Spark
+    broadcasts when the measured key list is small."""
+    return df.join(codes if codes is not None else ordinal_codes(df, column, out), column, "left")
 
 
 def calendar_features(df: DataFrame, time_col: str, hour: bool = False) -> DataFrame:
     return df.withColumns(calendar_parts(F.col(time_col), hour))
 
 
-def prefix_max(df: DataFrame, order: str, value: str, out: str,
-               chunk_rows: int = 1_000_000) -> DataFrame:
-    """Highest value among all rows that come earlier in a global whole-number order.
+def prefix_max(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
+    """Highest value among all rows that come earlier in the order of one column.
 
-    Blocks of consecutive positions are scanned in parallel; one row per block carries the
-    maximum of everything before it.
+    Ranges of the order column are scanned in parallel; one row per range carries the maximum
+    of everything before it.
     """
-    blocked = df.withColumn(CHUNK, F.floor(F.col(order) / chunk_rows))
-    blocks = blocked.groupBy(CHUNK).agg(F.max(value).alias("_bmax"))
+    cut = ranged(df, order)
+    tops = cut.groupBy(CHUNK).agg(F.max(value).alias("_top"))
     before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = blocks.select(CHUNK, F.max("_bmax").over(before).alias("_carry"))
+    carry = tops.select(CHUNK, F.max("_top").over(before).alias("_carry"))
     inside = Window.partitionBy(CHUNK).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        blocked.join(carry, CHUNK)
+        cut.join(carry, CHUNK)
         .withColumn(out, F.greatest(F.max(value).over(inside), F.col("_carry")))
         .drop(CHUNK, "_carry")
     )

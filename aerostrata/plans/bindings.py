@@ -49,7 +49,7 @@ def readings_from(events: DataFrame) -> DataFrame:
         (k % 15 + 20).cast("double").alias("temperature"),
         F.when(eid % 23 == 0, k + 100).otherwise(k).cast("double").alias("humidity"),
         (uid % 40).cast("double").alias("wind_speed"),
-        ((eid % 7).cast("double") / 2.0).alias("precipitation"),
+        F.when(eid % 31 != 0, (eid % 7).cast("double") / 2.0).alias("precipitation"),
         k.cast("double").alias("cloud_cover"),
     )
 

@@ -74,7 +74,7 @@ READINGS = """
     CAST(20 + k % 15 AS DOUBLE) AS temperature,
     CAST(CASE WHEN event_id % 23 = 0 THEN k + 100 ELSE k END AS DOUBLE) AS humidity,
     CAST(user_id % 40 AS DOUBLE) AS wind_speed,
-    CAST(event_id % 7 AS DOUBLE) / CAST(2 AS DOUBLE) AS precipitation,
+    CASE WHEN event_id % 31 <> 0 THEN CAST(event_id % 7 AS DOUBLE) / CAST(2 AS DOUBLE) END AS precipitation,
     CAST(k AS DOUBLE) AS cloud_cover
   FROM (SELECT *, CAST(props->>'k' AS INT) AS k FROM events) e"""
 
@@ -166,7 +166,8 @@ AUDIT = """
 RELATIONS = {
     "readings": READINGS,
     "indexed": _indexed("readings"),
-    "clean": f"SELECT * FROM indexed WHERE {_CLEAN}",
+    "ranged": f"SELECT * FROM indexed WHERE {_CLEAN}",
+    "clean": f"SELECT * FROM indexed WHERE {_CLEAN} AND event_id % 47 <> 0 AND precipitation IS NOT NULL",
     "valid": f"SELECT * FROM indexed WHERE {_VALID}",
     "daily": _daily("clean"),
     "windows": _windows("valid"),
@@ -183,7 +184,7 @@ RELATIONS = {
           max(CASE WHEN status <> 'RUNNING' THEN event_time END) AS finished_at,
           max(CASE WHEN status <> 'RUNNING' THEN status END) AS final
           FROM audit GROUP BY dag_id, run_id)""",
-    "recent": f"SELECT * FROM windows WHERE window_start >= {AS_OF} - INTERVAL 24 HOUR",
+    "recent": f"SELECT * FROM windows WHERE window_start BETWEEN {AS_OF} - INTERVAL 24 HOUR AND {AS_OF}",
     "week": f"SELECT * FROM daily WHERE date BETWEEN {AS_OF_DAY} - INTERVAL 7 DAY AND {AS_OF_DAY}",
     "suite": None,
     "imputed": None,
@@ -362,10 +363,10 @@ ORACLES: dict[str, str] = {
         'max_depth: ' || k || ' | trees: 100' AS params FROM readings""",
 
     "any_present": "SELECT event_id, station_id FROM readings WHERE pm25 IS NOT NULL",
-    "clean_ranges": "SELECT event_id, station_id, date, pm25, ispu FROM clean",
+    "clean_ranges": "SELECT event_id, station_id, date, pm25, ispu FROM ranged",
     "cleaning_report": f"""SELECT step, "check", rows_in, rows_removed,
         rows_removed > rows_in * 0.5 AS over_half FROM ({_cleaning})""",
-    "drop_incomplete": "SELECT event_id, pm25 FROM indexed WHERE pm25 IS NOT NULL AND ispu IS NOT NULL AND cloud_cover IS NOT NULL",
+    "drop_incomplete": "SELECT event_id, pm25 FROM indexed WHERE pm25 IS NOT NULL AND ispu IS NOT NULL AND cloud_cover IS NOT NULL AND precipitation IS NOT NULL",
     "payload_valid": "SELECT event_id, pm25, ispu FROM valid",
     "payload_rejects": f"""SELECT event_id, concat_ws(',', {_reasons}) AS reasons FROM indexed WHERE NOT ({_VALID})""",
     "expectations": f"""SELECT expectation, element_count, missing_count, unexpected_count, success,
@@ -402,7 +403,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT aqi_category, count(*) AS n FROM daily GROUP BY 1)""",
     "station_list": "SELECT DISTINCT station_id FROM windows",
     "index_series": f"""SELECT window_start AS time, station_id, ispu_avg FROM windows
-        WHERE window_start >= {AS_OF} - INTERVAL 7 DAY""",
+        WHERE window_start BETWEEN {AS_OF} - INTERVAL 7 DAY AND {AS_OF}""",
     "daily_pm25": "SELECT date, station_id, pm25_avg FROM week",
     "lookback": "SELECT station_id, date, ispu FROM week",
     "long_series": """SELECT window_start AS time, station_id || ' PM2.5' AS metric, pm25_avg AS value FROM recent
@@ -432,10 +433,11 @@ ORACLES: dict[str, str] = {
         coalesce(pm25_avg, 0) AS pm25_avg, coalesce(pm10_avg, 0) AS pm10_avg FROM windows
         QUALIFY rank() OVER (PARTITION BY station_id ORDER BY window_start DESC) = 1""",
     "table_summary": "SELECT min(ts) AS first, max(ts) AS last, count(*) AS n FROM readings",
-    "predicted_vs_actual": f"""SELECT date AS time, station_id || ' Aktual' AS metric, ispu AS value FROM daily
+    "predicted_vs_actual": f"""SELECT date AS time, station_id || ' Aktual' AS metric, ispu AS value FROM week
         UNION ALL SELECT window_start, station_id || ' Prediksi',
           CAST({_case('label', LABEL_MIDPOINTS, '0')} AS DOUBLE)
-        FROM (SELECT *, {_decode('predicted_label')} AS label FROM predictions)""",
+        FROM (SELECT *, {_decode('predicted_label')} AS label FROM predictions
+          WHERE window_start BETWEEN {AS_OF_DAY} - INTERVAL 7 DAY AND {AS_OF_DAY})""",
 
     "latest_map": f"""SELECT latitude, longitude, {_round('ispu', 1)} AS ispu, station_id, aqi_category
         FROM daily JOIN (SELECT station_id, min(event_id) / 1000e0 AS latitude,
@@ -566,8 +568,24 @@ ORACLES: dict[str, str] = {
           unnest(range(-2, 3)) t1(dx), unnest(range(-2, 3)) t2(dy)),
         w AS (SELECT *, 1e0 / greatest((cx + 0.5e0 - x) * (cx + 0.5e0 - x) + (cy + 0.5e0 - y) * (cy + 0.5e0 - y), 1e-9) AS wt FROM c)
         SELECT CAST(cx AS BIGINT) AS cell_x, CAST(cy AS BIGINT) AS cell_y,
-          {_round('sum(wt * v) / sum(wt)', 2)} AS value, count(*) AS stations FROM w GROUP BY cx, cy""",
+          {_round('sum(round(wt * v * 1e9)) / sum(round(wt * 1e9))', 2)} AS value, count(*) AS stations FROM w GROUP BY cx, cy""",
 }
+_SPLIT = """split AS (SELECT CASE WHEN date <= (SELECT max(date) FROM labelled_series) - INTERVAL 7 DAY THEN 'train' ELSE 'test' END AS split
+        FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY date) AS rn FROM labelled_series) WHERE rn > 7)"""
+_STATIONS = (f"WITH volume AS ({VOLUME}), vi AS ({_indexed('volume')}), vc AS (SELECT * FROM vi WHERE {_CLEAN}), "
+             "stations AS (SELECT DISTINCT station_id FROM vc)")
+ORACLES["train_classifier"] = f"""WITH {_SPLIT} SELECT count(*) FILTER (split = 'test') AS test_samples,
+    {len(DAILY_MEASURES) + sum(map(len, LAGS.values())) + len(ROLLINGS) + 4 + 1 + 1} AS features, 12 AS grid_points, TRUE AS labels_known,
+    TRUE AS confidence_in_range, TRUE AS f1_in_range, TRUE AS search_recorded FROM split"""
+ORACLES["training_summary"] = f"""{_STATIONS}, {_SPLIT} SELECT count(*) FILTER (split = 'train') AS train_samples,
+    count(*) FILTER (split = 'test') AS test_samples, (SELECT count(*) FROM stations) AS clustered, 3 AS clusters,
+    TRUE AS accuracy_in_range, TRUE AS precision_in_range, TRUE AS recall_in_range, TRUE AS f1_score_in_range FROM split"""
+ORACLES["batch_scores"] = """SELECT station_id, date, pm25_avg, pm10_avg, TRUE AS label_known, TRUE AS confidence_in_range,
+    '1' AS model_version FROM imputed QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY date DESC) = 1"""
+ORACLES["station_clusters"] = f"""{_STATIONS} SELECT count(*) AS stations, 3 AS clusters, 0 AS nearer_to_another,
+    TRUE AS ranked_by_index FROM stations"""
+ORACLES["cluster_pca"] = f"""{_STATIONS} SELECT count(*) AS stations, TRUE AS uncorrelated, TRUE AS ordered, TRUE AS within_total FROM stations"""
+ORACLES["stream_scores"] = """SELECT count(*) AS windows, 0 AS differing, TRUE AS labels_known, '1' AS model_version FROM windows"""
 ORACLES["daily_agg_volume"] = (
     f"WITH volume AS ({VOLUME}), vi AS ({_indexed('volume')}), vc AS (SELECT * FROM vi WHERE {_CLEAN}) {_daily('vc')}")
 

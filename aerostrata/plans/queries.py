@@ -21,8 +21,8 @@ from aerostrata.operators import quality as ql
 from aerostrata.operators import series as se
 from aerostrata.plans import bindings as bd
 from aerostrata.schema import (
-    BREAKPOINTS, CLUSTER_MEASURES, COUNT_STEPS, COVERAGE_STEPS, INDEX_STEPS, LAGS, POLLUTANTS,
-    ROLLINGS, WORST_STEPS, RangeRule,
+    BREAKPOINTS, CATEGORIES, CLUSTER_MEASURES, COUNT_STEPS, COVERAGE_STEPS,
+    DAILY_MEASURES, INDEX_STEPS, LAGS, POLLUTANTS, ROLLINGS, STREAM_MEASURES, WORST_STEPS, RangeRule,
 )
 from aerostrata.ml import models as md
 from aerostrata.session import materialized, run_path
@@ -50,12 +50,23 @@ def query(fn: Query) -> Query:
 
 # --- shared stages -----------------------------------------------------------------
 
+# Values of the benchmark tables have four decimals at most: with these the other engine's sums
+# are met digit by digit.
+EXACT, EXACT_ROLL = {"digits": 4}, {"digits": 6}
+
+
+def landed(spark, sf):
+    """Indexed readings with their day as text, which some rows lack."""
+    r = bd.indexed_readings(spark, sf)
+    return r.withColumn("tanggal", F.when(F.col("event_id") % 47 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm")).otherwise("broken"))
+
+
 def clean(spark, sf):
-    return ql.clean_ranges(bd.indexed_readings(spark, sf))
+    return ql.clean_readings(landed(spark, sf))
 
 
 def daily(spark, sf):
-    return ag.daily_agg(clean(spark, sf))
+    return ag.daily_agg(clean(spark, sf), **EXACT)
 
 
 def valid(spark, sf):
@@ -63,7 +74,13 @@ def valid(spark, sf):
 
 
 def windows(spark, sf):
-    return ag.window_agg(valid(spark, sf))
+    return ag.window_agg(valid(spark, sf), **EXACT)
+
+
+def recent_windows(spark, sf, interval):
+    """Windows that start in the look-back; the filter on the readings' time reaches the scan."""
+    r = ag.since(valid(spark, sf), "ts", AS_OF, interval, until="10 minutes")
+    return ag.since(ag.window_agg(r, **EXACT), "window_start", AS_OF, interval)
 
 
 def stored_windows(spark, sf):
@@ -152,7 +169,7 @@ def any_present(spark, sf):
 
 @query
 def clean_ranges(spark, sf):
-    return clean(spark, sf).select("event_id", "station_id", "date", "pm25", "ispu")
+    return ql.clean_ranges(bd.indexed_readings(spark, sf)).select("event_id", "station_id", "date", "pm25", "ispu")
 
 
 @query
@@ -240,7 +257,7 @@ def daily_agg(spark, sf):
 @query
 def daily_agg_volume(spark, sf):
     """Clean and daily aggregate over the largest table."""
-    return ag.daily_agg(ql.clean_ranges(bd.volume_readings(spark, sf)))
+    return ag.daily_agg(ql.clean_readings(bd.volume_readings(spark, sf)), **EXACT)
 
 
 @query
@@ -250,32 +267,31 @@ def sliding_agg(spark, sf):
 
 @query
 def tumbling_agg(spark, sf):
-    return ag.window_agg(valid(spark, sf), slide=None)
+    return ag.window_agg(valid(spark, sf), slide=None, **EXACT)
 
 
 @query
 def mean_index_24h(spark, sf):
-    return ag.mean_value(ag.since(windows(spark, sf), "window_start", AS_OF, "24 hours"), "ispu_avg")
+    return ag.mean_value(recent_windows(spark, sf, "24 hours"), "ispu_avg", **EXACT)
 
 
 @query
 def worst_station(spark, sf):
-    recent = ag.since(windows(spark, sf), "window_start", AS_OF, "24 hours")
+    recent = recent_windows(spark, sf, "24 hours")
     return ag.worst(recent, "ispu_avg", ["station_id", "window_start"]).select(
         "station_id", sc.round_half_up(F.col("ispu_avg"), 1).alias("value"))
 
 
 @query
 def unhealthy_station_count(spark, sf):
-    recent = ag.since(windows(spark, sf), "window_start", AS_OF, "24 hours")
+    recent = recent_windows(spark, sf, "24 hours")
     return ag.distinct_above(recent, "station_id", "ispu_avg", 100)
 
 
 @query
 def coverage_pct(spark, sf):
-    w = windows(spark, sf)
-    recent = w.filter(F.col("window_start") < F.lit(AS_OF).cast("timestamp_ntz"))
-    recent = ag.since(recent, "window_start", AS_OF, "24 hours")
+    recent = recent_windows(spark, sf, "24 hours")
+    recent = recent.filter(F.col("window_start") < F.lit(AS_OF).cast("timestamp_ntz"))
     return ag.coverage_pct(recent, "window_start", by=["station_id"])
 
 
@@ -296,7 +312,7 @@ def station_list(spark, sf):
 
 @query
 def index_series(spark, sf):
-    recent = ag.since(windows(spark, sf), "window_start", AS_OF, "7 days")
+    recent = recent_windows(spark, sf, "7 days")
     return recent.select(F.col("window_start").alias("time"), "station_id", "ispu_avg").orderBy("time")
 
 
@@ -313,7 +329,7 @@ def lookback(spark, sf):
 
 @query
 def long_series(spark, sf):
-    recent = ag.since(windows(spark, sf), "window_start", AS_OF, "24 hours")
+    recent = recent_windows(spark, sf, "24 hours")
     return ag.long_series(recent, "window_start", {"pm25_avg": "PM2.5", "pm10_avg": "PM10"})
 
 
@@ -325,12 +341,12 @@ def weather_series(spark, sf):
 
 @query
 def series_reducers(spark, sf):
-    return ag.series_reducers(windows(spark, sf), "pm25_avg", F.col("window_start"))
+    return ag.series_reducers(windows(spark, sf), "pm25_avg", F.col("window_start"), **EXACT)
 
 
 @query
 def heatmap_hour_day(spark, sf):
-    return ag.heatmap_hour_day(windows(spark, sf), "window_start", "ispu_avg")
+    return ag.heatmap_hour_day(windows(spark, sf), "window_start", "ispu_avg", **EXACT)
 
 
 @query
@@ -375,8 +391,9 @@ def table_summary(spark, sf):
 
 @query
 def predicted_vs_actual(spark, sf):
-    actual = ag.long_series(daily(spark, sf), "date", {"ispu": "Aktual"})
-    p = bd.predictions(spark, sf).withColumn(
+    """The last seven days, as the panel shows them."""
+    actual = ag.long_series(ag.lookback(daily(spark, sf), "date", AS_OF_DAY, 7), "date", {"ispu": "Aktual"})
+    p = ag.lookback(bd.predictions(spark, sf), "window_start", AS_OF_DAY, 7).withColumn(
         "mid", ix.label_midpoint(ix.decode_label(F.col("predicted_label"))).cast("double"))
     return actual.unionByName(ag.long_series(p, "window_start", {"mid": "Prediksi"}))
 
@@ -541,19 +558,19 @@ def lag_calendar(spark, sf):
 def lag_readings(spark, sf):
     """Lags over single readings, where one station's series is as long as the data."""
     r = bd.readings(spark, sf).select("station_id", "ts", "event_id", "co")
-    return se.lag_features(r, {"co": [1, 3]}, order=["ts", "event_id"], chunk="day")
+    return se.lag_features(r, {"co": [1, 3]}, order=["ts", "event_id"], chunk="hour")
 
 
 @query
 def rolling_features(spark, sf):
     d = bd.daily_series(spark, sf).select("station_id", "date", "pm25_avg", "pm10_avg", "ispu")
-    return se.rolling_features(d, ROLLINGS)
+    return se.rolling_features(d, ROLLINGS, **EXACT_ROLL)
 
 
 @query
 def impute_rolling_median(spark, sf):
     d = bd.daily_series(spark, sf).select("station_id", "date", "pm25_avg", "pm10_avg", "humidity_avg")
-    return se.impute_rolling_median(d, ["pm25_avg", "pm10_avg", "humidity_avg"])
+    return se.impute_rolling_median(d, ["pm25_avg", "pm10_avg", "humidity_avg"], **EXACT_ROLL)
 
 
 @query
@@ -570,17 +587,17 @@ def ordinal_encode(spark, sf):
 
 @query
 def batch_features(spark, sf):
-    return fe.batch_features(materialized(bd.daily_series(spark, sf)))
+    return fe.batch_features(materialized(bd.daily_series(spark, sf)), **EXACT_ROLL)
 
 
 @query
 def batch_features_scoring(spark, sf):
-    return fe.batch_features(materialized(bd.daily_series(spark, sf)), impute=False)
+    return fe.batch_features(materialized(bd.daily_series(spark, sf)), impute=False, **EXACT_ROLL)
 
 
 @query
 def stream_features(spark, sf):
-    return fe.stream_features(stored_windows(spark, sf))
+    return fe.stream_features(stored_windows(spark, sf), **EXACT_ROLL)
 
 
 @query
@@ -602,7 +619,7 @@ def class_weights(spark, sf):
 
 @query
 def station_means(spark, sf):
-    means = fe.station_means(bd.daily_series(spark, sf), CLUSTER_MEASURES)
+    means = fe.station_means(bd.daily_series(spark, sf), CLUSTER_MEASURES, **EXACT)
     return means.withColumns({c: sc.round_half_up(F.col(c), 4) for c in CLUSTER_MEASURES})
 
 
@@ -664,8 +681,8 @@ def late_events(spark, sf):
 def latest_window_version(spark, sf):
     """Windows first written from every valid reading, later rewritten from the clean ones."""
     from aerostrata.streaming.windows import latest_versions
-    first = ag.window_agg(valid(spark, sf)).withColumn("batch_id", F.lit(0).cast("long"))
-    second = ag.window_agg(clean(spark, sf)).withColumn("batch_id", F.lit(1).cast("long"))
+    first = ag.window_agg(valid(spark, sf), **EXACT).withColumn("batch_id", F.lit(0).cast("long"))
+    second = ag.window_agg(clean(spark, sf), **EXACT).withColumn("batch_id", F.lit(1).cast("long"))
     return latest_versions(first.unionByName(second)).select(
         "station_id", "window_start", "pm25_avg", "record_count", "batch_id")
 
@@ -717,10 +734,10 @@ def run_summary(spark, sf):
 @query
 def run_counters(spark, sf):
     """Rows entering, surviving and leaving the daily job, counted while they pass."""
-    raw, n_raw = au.observed(bd.indexed_readings(spark, sf), "raw")
-    kept, n_kept = au.observed(ql.clean_ranges(raw), "clean",
+    raw, n_raw = au.observed(landed(spark, sf), "raw")
+    kept, n_kept = au.observed(ql.clean_readings(raw), "clean",
                                max_ispu=F.max("ispu"))
-    out, n_out = au.observed(ag.daily_agg(kept), "daily")
+    out, n_out = au.observed(ag.daily_agg(kept, **EXACT), "daily")
     sk.write_partitioned(out, run_path(spark, "counted"))
     row = [(n_raw.get["rows"], n_kept.get["rows"], n_out.get["rows"], n_kept.get["max_ispu"])]
     return spark.createDataFrame(row, "csv_rows long, after_clean long, daily_rows long, max_ispu double")
@@ -730,7 +747,7 @@ def run_counters(spark, sf):
 
 @query
 def weekend_ttest(spark, sf):
-    return ag.weekend_ttest(bd.daily_series(spark, sf), "date", "ispu", ["station_id"])
+    return ag.weekend_ttest(bd.daily_series(spark, sf), "date", "ispu", ["station_id"], **EXACT)
 
 
 @query
@@ -750,9 +767,9 @@ def pollutant_weather_corr(spark, sf):
 def idw_grid(spark, sf):
     u = F.col("user_id")
     points = clean(spark, sf).groupBy("user_id").agg(
-        sc.round_half_up(sc.exact_mean(F.col("pm25")), 2).alias("pm25")).select(
+        sc.round_half_up(sc.mean(F.col("pm25"), 4), 2).alias("pm25")).select(
         (u % 12 * 1.0 + 0.25).alias("longitude"), (F.floor(u / 12) * 1.0 + 0.25).alias("latitude"), "pm25")
-    return ag.idw_grid(points, "pm25", 1.0, 2)
+    return ag.idw_grid(points, "pm25", 1.0, 2, digits=9)
 
 
 # --- streams -----------------------------------------------------------------------
@@ -782,16 +799,16 @@ def raw_stream(spark, sf):
 def stream_sliding_agg(spark, sf):
     """Sliding windows kept up to date by a stream; the newest version of each window."""
     path = run_path(spark, "windows")
-    agg = sw.windowed(_valid_stream(spark, sf))
+    agg = sw.windowed(_valid_stream(spark, sf), **EXACT)
     _run(sw.upsert_windows(agg, path, run_path(spark, "windows-state"), every=None))
-    return _ntz(sw.read_windows(spark, path).drop("batch_id"), "window_start", "window_end")
+    return _ntz(sw.read_windows(spark, path), "window_start", "window_end")
 
 
 @query
 def stream_alerts(spark, sf):
     """Alerts raised by a stream over its own closed windows."""
     closed, path = run_path(spark, "closed"), run_path(spark, "alerts")
-    agg = sw.windowed(_valid_stream(spark, sf))
+    agg = sw.windowed(_valid_stream(spark, sf), **EXACT)
     _run(sw.append_rows(agg, closed, run_path(spark, "closed-state"), every=None))
     fired = sa.alert_stream(spark.readStream.schema(agg.schema).parquet(closed), max_gap="15 minutes")
     _run(sw.append_rows(fired, path, run_path(spark, "alerts-state"), every=None))
@@ -800,40 +817,69 @@ def stream_alerts(spark, sf):
 
 # --- models ------------------------------------------------------------------------
 
-def _trained(spark, sf):
+# The grid search of the registered query fits on about so many labelled rows.
+GRID_ROWS = 2000
+
+
+def _trained(spark, sf, **how):
     """Daily features split by time, and a forest fitted on the older part."""
-    split = materialized(fe.temporal_split(fe.batch_features(long_daily(spark, sf), encode=False)))
+    history = long_daily(spark, sf)
+    medians = materialized(se.group_medians(history, "station_id", DAILY_MEASURES))
+    rows = fe.batch_features(history, encode=False, medians=medians, **EXACT_ROLL)
+    split = materialized(fe.temporal_split(rows))
     base = run_path(spark, "models")
-    model = md.train_classifier(split.filter("split = 'train'").drop("split"), f"{base}/1",
-                                search=False, trees=20, depth=8)
+    model = md.train_classifier(split.filter("split = 'train'").drop("split"), f"{base}/1", medians=medians, **how)
     return split, model, base
 
 
+def _known(label):
+    return F.coalesce(F.bool_and(F.col(label).isin(CATEGORIES)), F.lit(True))
+
+
+def _sure(confidence="confidence"):
+    return F.coalesce(F.bool_and(F.col(confidence).between(0, 1)), F.lit(True))
+
+
 @query
 def train_classifier(spark, sf):
-    split, model, _ = _trained(spark, sf)
-    scored = md.score(split.filter("split = 'test'"), model)
-    return mm.classification_metrics(scored, "aqi_category", "predicted_label")
+    """The full grid search; what can be said of its result without knowing the trees."""
+    split, model, base = _trained(spark, sf, max_rows=GRID_ROWS)
+    fitted = md.read_summary(spark, f"{base}/1")
+    scored = materialized(md.score(split.filter("split = 'test'"), model))
+    labelled = mm.classification_metrics(scored, "aqi_category", "predicted_label")
+    f1 = labelled.filter("label = 'weighted avg'").select("f1").scalar()
+    return scored.agg(
+        F.count("*").alias("test_samples"), F.lit(fitted["features"]).alias("features"),
+        F.lit(len(fitted["fold_f1"])).alias("grid_points"), _known("predicted_label").alias("labels_known"),
+        _sure().alias("confidence_in_range"), (f1.between(0, 1)).alias("f1_in_range"),
+        F.lit(all(0 <= x <= 1 for x in fitted["fold_f1"]) and set(fitted["best"]) == set(md.GRID)).alias("search_recorded"))
 
 
 @query
 def training_summary(spark, sf):
-    split, model, _ = _trained(spark, sf)
+    split, model, _ = _trained(spark, sf, search=False)
     metrics = mm.classification_metrics(
         md.score(split.filter("split = 'test'"), model), "aqi_category", "predicted_label")
-    summary = md.training_summary(split, metrics, _clusters(spark, sf))
-    return summary
+    clusters = _clusters(spark, sf)
+    summary = md.training_summary(split, metrics, clusters)
+    sizes = F.aggregate(F.transform(F.split("cluster_sizes", ","), lambda x: F.split_part(x, F.lit(":"), F.lit(2)).cast("long")),
+                        F.lit(0).cast("long"), lambda a, x: a + x)
+    return summary.select(
+        "train_samples", "test_samples", sizes.alias("clustered"), F.size(F.split("cluster_sizes", ",")).alias("clusters"),
+        *[F.col(c).between(0, 1).alias(f"{c}_in_range") for c in ("accuracy", "precision", "recall", "f1_score")])
 
 
 @query
 def batch_scores(spark, sf):
-    """Newest day of every station scored with the stored model."""
-    _, model, base = _trained(spark, sf)
-    md.register_model(spark, base, 1, "Production", f"{base}/1", {})
-    rows = fe.batch_features(long_daily(spark, sf), impute=False, encode=False)
+    """Newest day of every station scored with the stored model and the medians stored with it."""
+    _, _, base = _trained(spark, sf, search=False)
+    md.register_model(spark, base, 1, "Production", f"{base}/1", md.read_summary(spark, f"{base}/1"))
+    model = md.load_model(spark, base)
+    rows = fe.batch_features(long_daily(spark, sf), encode=False, medians=model.medians, **EXACT_ROLL)
     newest = jn.latest(rows, ["station_id"], [F.desc("date")])
-    return md.score(newest, md.load_model(spark, base)).select(
-        "station_id", "date", "pm25_avg", "pm10_avg", "predicted_label", "confidence")
+    return md.score(newest, model).select(
+        "station_id", "date", "pm25_avg", "pm10_avg", F.col("predicted_label").isin(CATEGORIES).alias("label_known"),
+        F.col("confidence").between(0, 1).alias("confidence_in_range"), F.lit(model.version).alias("model_version"))
 
 
 def _station_means(spark, sf):
@@ -846,26 +892,52 @@ def _clusters(spark, sf):
 
 @query
 def station_clusters(spark, sf):
-    return _clusters(spark, sf).select("station_id", "ispu", "cluster")
+    """Clusters of stations: how many rows are nearer to another cluster's centre, in standard units."""
+    c = materialized(_clusters(spark, sf))
+    ones = c.agg(*[F.struct(F.avg(m).alias("m"), F.stddev(m).alias("s")).alias(m) for m in CLUSTER_MEASURES])
+    scale = ones.first()
+    z = {m: (F.col(m) - scale[m]["m"]) / (scale[m]["s"] or 1.0) for m in CLUSTER_MEASURES}
+    centres = c.groupBy("cluster").agg(*[F.avg(z[m]).alias(m) for m in CLUSTER_MEASURES], F.avg("ispu").alias("index"))
+    rows = centres.orderBy("cluster").collect()
+    far = [sum((z[m] - r[m]) * (z[m] - r[m]) for m in CLUSTER_MEASURES) for r in rows]
+    own = F.element_at(F.array(*far), F.col("cluster") + 1)
+    return c.agg(
+        F.count("*").alias("stations"), F.count_distinct("cluster").alias("clusters"),
+        F.count_if(own > F.least(*far) * 1.0001 + 1e-9).alias("nearer_to_another"),
+        F.lit(all(a["index"] <= b["index"] for a, b in zip(rows, rows[1:]))).alias("ranked_by_index"))
 
 
 @query
 def cluster_pca(spark, sf):
-    return md.cluster_projection(_clusters(spark, sf))
+    """Properties that a projection onto two principal components has."""
+    p = md.cluster_projection(_clusters(spark, sf))
+    v1, v2 = F.var_samp("pc1"), F.var_samp("pc2")
+    return p.agg(
+        F.count("*").alias("stations"), (F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("uncorrelated"),
+        (v1 >= v2).alias("ordered"), (v1 + v2 <= len(CLUSTER_MEASURES) + 1e-6).alias("within_total"))
 
 
 @query
 def stream_scores(spark, sf):
-    """Windows of a stream scored in its micro-batches with a model trained on the batch table."""
-    train = fe.stream_features(stored_windows(spark, sf)).withColumn("aqi_category", ix.category(F.col("ispu_avg")))
-    train = materialized(train.dropna(subset=["aqi_category", *fe.feature_columns(train)]))
+    """Windows scored by a stream in its micro-batches, against the same windows scored in batch."""
+    medians = materialized(se.group_medians(stored_windows(spark, sf), "station_id", STREAM_MEASURES))
+    train = fe.stream_features(stored_windows(spark, sf), medians=medians)
+    train = train.withColumn("aqi_category", ix.category(F.col("ispu_avg")))
+    train = materialized(train.dropna(subset=["aqi_category"]))
     base = run_path(spark, "stream-models")
-    md.train_classifier(train, f"{base}/1", order=["window_start"], search=False, trees=10, depth=6)
+    md.train_classifier(train, f"{base}/1", order=["window_start"], search=False, medians=medians)
     md.register_model(spark, base, 1, "Production", f"{base}/1", {})
     stored, scores = run_path(spark, "windows"), run_path(spark, "scores")
-    agg = sw.windowed(_valid_stream(spark, sf))
+    agg = sw.windowed(_valid_stream(spark, sf), **EXACT)
     _run(ss.score_stream(agg, stored, scores, base, run_path(spark, "score-state"), every=None))
-    return _ntz(sw.read_windows(spark, scores).drop("batch_id", "created_at"), "window_start", "window_end")
+    live = sw.read_windows(spark, scores)
+    model = md.load_model(spark, base)
+    batch = ss.score_windows(sw.read_windows(spark, stored), model).select(
+        "station_id", "window_start", F.col("predicted_label").alias("_label"), F.col("confidence").alias("_sure"))
+    both = live.join(batch, ["station_id", "window_start"], "full")
+    same = F.col("predicted_label").eqNullSafe(F.col("_label")) & (F.abs(F.col("confidence") - F.col("_sure")) < 1e-9)
+    return both.agg(F.count("*").alias("windows"), F.count_if(~F.coalesce(same, F.lit(False))).alias("differing"),
+                    _known("predicted_label").alias("labels_known"), F.min("model_version").alias("model_version"))
 
 
 def all_queries() -> dict[str, Query]:

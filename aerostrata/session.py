@@ -45,8 +45,10 @@ def run_path(spark: SparkSession, name: str) -> str:
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """The frame as a reliable checkpoint, for results that several passes read."""
-    spark = df.sparkSession
-    if not spark.conf.get(CHECKPOINT_KEY, None):
-        shared_dir(spark)
-    return df.checkpoint()
+    """The frame written to the shared folder and read back, for results that several passes read.
+
+    Unlike a checkpoint it keeps column pruning, pushed filters and sizes for later plans.
+    """
+    path = run_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

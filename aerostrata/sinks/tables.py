@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -24,14 +24,30 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("date",),
         .partitionBy(*by).parquet(path)
 
 
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at `path`, or None if there is none; any other error is one."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def append_absent(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column],
                   by: Sequence[str] = ("date",)) -> None:
-    """Append the rows whose key the table at `path` does not hold yet."""
+    """Append the rows whose key the table at `path` does not hold yet.
+
+    The first of `by` must be among the keys: of the stored table only the partitions between
+    the lowest and highest value in `new` are read.
+    """
     spark = new.sparkSession
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
+    stored = read_or_none(spark, path)
+    if stored is None:
         stored = spark.createDataFrame([], new.schema)
+    elif by and by[0] in keys:
+        ends = [new.agg(f(by[0])).scalar() for f in (F.min, F.max)]
+        stored = stored.filter((F.col(by[0]) >= ends[0]) & (F.col(by[0]) <= ends[1]))
     added = insert_if_absent(new, stored, keys, order)
     added.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
@@ -48,16 +64,13 @@ def jdbc_options(url: str, table: str, **extra: str) -> dict[str, str]:
             "isolationLevel": "READ_COMMITTED", **extra}
 
 
-def jdbc_append(df: DataFrame, url: str, table: str, writers: int = 16, **extra: str) -> bool:
-    """Append to a database table with a bounded number of connections; empty input is skipped.
+def jdbc_append(df: DataFrame, url: str, table: str, writers: int = 16, **extra: str) -> None:
+    """Append to a database table with a bounded number of connections; no rows, no change.
 
     The rows are shuffled to the writers, so computing them keeps its own parallelism.
     """
-    if df.isEmpty():
-        return False
     df.repartition(writers).write.format("jdbc").options(**jdbc_options(url, table, **extra)) \
         .mode("append").save()
-    return True
 
 
 def to_kafka_json(df: DataFrame, key: str = "station_id") -> DataFrame:

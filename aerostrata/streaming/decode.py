@@ -36,5 +36,10 @@ def decode_payload(messages: DataFrame, schema: T.StructType = PAYLOAD
 
 
 def raw_projection(decoded: DataFrame) -> DataFrame:
-    """Columns of the raw table, with its name for the rain probability."""
-    return decoded.drop("event_time").withColumnRenamed("precipitation_probability", "precip_prob")
+    """Columns of the raw table: the time as a timestamp, and its name for the rain probability.
+
+    Rows without station or time are left out.
+    """
+    known = decoded.filter(F.col("station_id").isNotNull() & F.col("event_time").isNotNull())
+    return known.withColumn("timestamp", F.col("event_time")).drop("event_time").withColumnRenamed(
+        "precipitation_probability", "precip_prob")

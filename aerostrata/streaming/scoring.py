@@ -2,49 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aerostrata.ml.models import load_model, score
+from aerostrata.ml.models import StoredModel, newest_model, read_model, score
 from aerostrata.operators.features import stream_features
-from aerostrata.streaming.windows import start, write_version
+from aerostrata.streaming.windows import newest_stored, read_windows, start, write_version
 
+SCORED = ["station_id", "window_start", "window_end", "pm25_avg", "pm10_avg", "ispu_avg"]
 
-def score_windows(windows: DataFrame, model: PipelineModel) -> DataFrame:
-    """Windowed rows with prediction, through the same features the model was trained on."""
-    scored = score(stream_features(windows, impute=False), model)
-    return scored.select("station_id", "window_start", "window_end", "pm25_avg", "pm10_avg",
-                         "ispu_avg", "predicted_label", "confidence")
+
+def score_windows(windows: DataFrame, model: StoredModel) -> DataFrame:
+    """Windowed rows with prediction, through the features and medians the model was trained on."""
+    features = stream_features(windows, impute=model.medians is not None, medians=model.medians)
+    return score(features, model).select(*SCORED, "predicted_label", "confidence")
 
 
 def score_stream(df: DataFrame, windows_path: str, scores_path: str, models: str, checkpoint: str,
-                 every: str | None = "30 seconds", version: str = "stream") -> StreamingQuery:
+                 every: str | None = "30 seconds") -> StreamingQuery:
     """Store updated windows and, once a model is available, their predictions.
 
-    The micro-batch is kept for its two sinks and the model is looked up again with each
-    batch until there is one.
+    The manifest is looked at with every micro-batch, so a newer model takes over at once.  The
+    first batch that finds a model also scores the windows stored before there was one.
     """
-    held: dict[str, PipelineModel] = {}
+    held: dict[str, StoredModel] = {}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.persist()
         try:
             if batch.isEmpty():
                 return
+            found = newest_model(spark, models)
+            backlog = found is not None and newest_stored(spark, scores_path) is None
             write_version(batch, batch_id, windows_path)
-            if "model" not in held:
-                found = load_model(batch.sparkSession, models)
-                if found is None:
-                    return
-                held["model"] = found
-            scored = score_windows(batch, held["model"]).withColumns(
-                {"model_version": F.lit(version), "created_at": F.current_timestamp()})
+            if found is None:
+                return
+            if found[0] not in held:
+                held.clear()
+                held[found[0]] = read_model(spark, found[1], found[0])
+            rows = read_windows(spark, windows_path).select(*batch.columns) if backlog else batch
+            scored = score_windows(rows, held[found[0]]).withColumns(
+                {"model_version": F.lit(found[0]), "created_at": F.current_timestamp()})
             write_version(scored, batch_id, scores_path)
         finally:
             batch.unpersist()
 
     return start(df, sink, checkpoint, "update", every)
-
-

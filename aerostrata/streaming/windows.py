@@ -10,36 +10,80 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerostrata.operators.aggregate import window_agg
 from aerostrata.operators.joins import latest
+from aerostrata.sinks.tables import read_or_none as _read_or_none
 
 WINDOW_KEYS = ("station_id", "window_start")
 
 
 def windowed(df: DataFrame, time_col: str = "event_time", watermark: str = "10 minutes",
-             window: str = "10 minutes", slide: str | None = "5 minutes") -> DataFrame:
+             window: str = "10 minutes", slide: str | None = "5 minutes",
+             digits: int | None = None) -> DataFrame:
     """Sliding (or tumbling) means of a stream; rows later than the watermark are dropped."""
-    return window_agg(df.withWatermark(time_col, watermark), time_col, window, slide)
+    return window_agg(df.withWatermark(time_col, watermark), time_col, window, slide, digits=digits)
 
 
-def write_version(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Store one micro-batch's changed windows as a version of their own.
+VERSION_LOG = "run_id long, query string, batch_id long"
 
-    A replayed batch overwrites its own folder, so the table never holds it twice.
+
+def newest_stored(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """Highest (run, batch) in the store, from its log of versions; None if nothing is stored."""
+    log = _read_or_none(spark, f"{path}/log")
+    top = log.agg(F.max(F.struct("run_id", "batch_id")).alias("top")).first()["top"] if log is not None else None
+    return (top["run_id"], top["batch_id"]) if top else None
+
+
+def _run_of(spark: SparkSession, path: str, query: str) -> int:
+    """Number of the query's run: its own if it has stored before, else above all others.
+
+    A query keeps its identity as long as its checkpoint; one with a new checkpoint counts
+    batches from 0 again and is a later run.
+    """
+    log = _read_or_none(spark, f"{path}/log")
+    if log is None:
+        return 0
+    found = log.agg(F.max(F.when(F.col("query") == query, F.col("run_id"))).alias("own"), F.max("run_id").alias("top")).first()
+    return found["own"] if found["own"] is not None else found["top"] + 1
+
+
+def write_version(batch: DataFrame, batch_id: int, path: str, query: str | None = None) -> None:
+    """Store one micro-batch's changed windows as a version of their own, by date of the window.
+
+    A replayed batch overwrites its own folder, so the table never holds it twice. The rows are
+    brought together by date first: a batch adds one file per date it touches.
     """
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    spark = batch.sparkSession
+    query = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+    run = _run_of(spark, path, query)
+    day = F.to_date("window_start").alias("date")
+    batch.select("*", day).hint("rebalance", "date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy("date").parquet(f"{path}/data/run_id={run}/batch_id={batch_id}")
+    spark.createDataFrame([(run, query, batch_id)], VERSION_LOG).coalesce(1).write.mode("append").parquet(f"{path}/log")
 
 
 def latest_versions(versions: DataFrame, keys: Sequence[str] = WINDOW_KEYS) -> DataFrame:
-    """Newest version of every window."""
-    return latest(versions, keys, [F.desc("batch_id")])
+    """Newest version of every window: the later run first, inside a run the higher batch."""
+    order = [F.desc(c) for c in ("run_id", "batch_id") if c in versions.columns]
+    return latest(versions, keys, order)
 
 
-def read_windows(spark: SparkSession, path: str) -> DataFrame:
-    return latest_versions(spark.read.parquet(path))
+def read_windows(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Newest version of every window; dates outside [since, until] are not read."""
+    versions = spark.read.parquet(f"{path}/data")
+    if since:
+        versions = versions.filter(F.col("date") >= F.lit(since).cast("date"))
+    if until:
+        versions = versions.filter(F.col("date") <= F.lit(until).cast("date"))
+    return latest_versions(versions).drop("date", "run_id", "batch_id")
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite a versioned table with its newest versions only."""
-    read_windows(spark, path).write.mode("overwrite").partitionBy("batch_id").parquet(target)
+    """Rewrite a versioned table as one of a single version per window, into an empty folder."""
+    newest = newest_stored(spark, path)
+    if newest:
+        rows = read_windows(spark, path).withColumn("date", F.to_date("window_start"))
+        rows.hint("rebalance", "date").write.partitionBy("date").parquet(
+            f"{target}/data/run_id={newest[0]}/batch_id={newest[1]}")
+        spark.read.parquet(f"{path}/log").coalesce(1).write.parquet(f"{target}/log")
 
 
 def start(df: DataFrame, sink, checkpoint: str, mode: str = "update",
@@ -58,7 +102,12 @@ def upsert_windows(df: DataFrame, path: str, checkpoint: str,
     """Updated windows of every micro-batch into the versioned table at `path`."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, batch_id, path)
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                write_version(batch, batch_id, path)
+        finally:
+            batch.unpersist()
 
     return start(df, sink, checkpoint, "update", every)
 

@@ -43,11 +43,29 @@ def test_grid_search(spark, tmp_path):
     rows = [("ab"[i % 2], i, float(i % 3), "LMH"[i % 3]) for i in range(90)]
     df = spark.createDataFrame(rows, "station_id string, date int, v double, aqi_category string")
     model = md.train_classifier(df, str(tmp_path / "m"), grid={"numTrees": [2], "maxDepth": [1, 3]})
-    forest = model.stages[3]
-    assert forest.getMaxDepth() == 3
+    assert model.pipeline.stages[2].getMaxDepth() == 3
+    done = md.read_summary(spark, str(tmp_path / "m"))
+    assert done["best"] == {"numTrees": 2, "maxDepth": 3} and len(done["fold_f1"]) == 2 and done["features"] == 2
     assert all(r.predicted_label == r.aqi_category for r in md.score(df, model).collect())
 
 
+def test_a_thousand_stations(spark, tmp_path):
+    rows = [(f"s{i % 1000}", i, float(i % 3), "LMH"[i % 3]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "station_id string, date int, v double, aqi_category string")
+    model = md.train_classifier(df, str(tmp_path / "m"), search=False, trees=3, depth=4, max_rows=1500)
+    assert md.read_summary(spark, str(tmp_path / "m"))["rows"] < 2000
+    assert model.codes.count() == 1000
+    assert md.score(df, model).filter("predicted_label = aqi_category").count() > 2900
+
+
+def test_medians_go_with_the_model(spark, tmp_path):
+    rows = [("a", i, float(i % 3), "LMH"[i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, "station_id string, date int, v double, aqi_category string")
+    medians = spark.createDataFrame([("a", 1.0)], "station_id string, _median_v double")
+    model = md.train_classifier(df, str(tmp_path / "m"), search=False, trees=2, depth=2, medians=medians)
+    assert model.medians.collect() == medians.collect()
+
+
 def test_clusters_are_ranked_by_index(spark):
     rows = [(f"s{i}", float(100 * (i % 3) + i % 2), float(i % 3)) for i in range(12)]
     means = spark.createDataFrame(rows, "station_id string, ispu double, pm25_avg double")

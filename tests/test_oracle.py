@@ -3,13 +3,14 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from aerostrata.plans.oracle import all_oracles
 from tests.compare import compare
 
-ORACLES = oracle_sql()
+ORACLES = all_oracles()
 
 
 def test_registry():
-    assert set(ORACLES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

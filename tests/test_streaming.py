@@ -43,12 +43,30 @@ def test_window_stream_equals_batch_and_restarts_cleanly(spark, tmp_path):
     second = land(spark, tmp_path / "in", [("a", m, 1) for m in range(55, 90, 3)], "2")
     sw.upsert_windows(agg(), out, state, every=None).awaitTermination()
     sw.upsert_windows(agg(), out, state, every=None).awaitTermination()
-    got = sw.read_windows(spark, out).drop("batch_id")
+    got = sw.read_windows(spark, out)
     want = window_agg(df.unionByName(second), "event_time")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     sw.compact(spark, out, str(tmp_path / "small"))
-    assert spark.read.parquet(str(tmp_path / "small")).count() == got.count()
+    assert spark.read.parquet(str(tmp_path / "small/data")).count() == got.count()
+    assert sw.read_windows(spark, str(tmp_path / "small")).exceptAll(got).count() == 0
+    batches = {(r.run_id, r.batch_id) for r in spark.read.parquet(f"{out}/log").collect()}
+    assert len({r for r, _ in batches}) == 1
+
+
+def test_a_new_checkpoint_counts_as_newer(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = land(spark, tmp_path / "in", [("a", 1, 3), ("b", 1, 5)], "1")
+    for i in range(2):
+        sw.upsert_windows(sw.windowed(source(spark, tmp_path / "in", df.schema)), out, str(tmp_path / "s"), every=None).awaitTermination()
+        land(spark, tmp_path / "in", [("a", 1, 3)], str(i))
+    again = land(spark, tmp_path / "in2", [("a", 1, 99)], "1")
+    sw.upsert_windows(sw.windowed(source(spark, tmp_path / "in2", again.schema)), out, str(tmp_path / "s2"), every=None).awaitTermination()
+    got = {(r.station_id, r.window_start): r.pm25_avg for r in sw.read_windows(spark, out).collect()}
+    assert {v for (s, _), v in got.items() if s == "a"} == {99.0}
+    assert {v for (s, _), v in got.items() if s == "b"} == {5.0}
+    day = sw.read_windows(spark, out, since="2024-01-02")
+    assert day.count() == 0 and "PartitionFilters: [isnotnull(date" in day._jdf.queryExecution().toString()
 
 
 def test_late_rows_are_dropped_and_open_windows_wait(spark, tmp_path):
