@@ -26,6 +26,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """The name, with underscores before it until no given column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, A_Z, LOWER_A_Z)
 

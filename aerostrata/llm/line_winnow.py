@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerostrata.llm.common import stored, table
+from aerostrata.llm.common import fresh, stored, table
 
 MIN_WORDS = 50
 
@@ -120,9 +120,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wo
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     runs = stored(repeated_runs(docs.select(F.col(key).alias("_key"), F.xxhash64(body).alias("_copy"), body.alias("_text")), min_words), "winnow-runs")
     plain = docs.drop("n_lines", "n_removed")
-    marked = plain.withColumn("_c", F.xxhash64(body))
-    joined = marked.join(runs, marked[key].eqNullSafe(runs["_key"]) & (F.col("_c") == F.col("_copy")), "left")
-    joined = joined.select(*plain.columns, "runs")
+    marked = plain.select(F.struct(*plain.columns).alias("row"), F.col(key).alias("k"), F.xxhash64(body).alias("c"))
+    joined = marked.join(runs, F.col("k").eqNullSafe(F.col("_key")) & (F.col("c") == F.col("_copy")), "left")
+    joined = joined.select("row.*", F.col("runs").alias(fresh("runs", plain.columns)))
     names, at = [*plain.columns, "n_lines", "n_removed"], plain.columns.index(text)
 
     def run(batches):

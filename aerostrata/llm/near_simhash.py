@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerostrata.llm.common import components, stored
+from aerostrata.llm.common import components, fresh, stored, table
 
 SEED = 42
 CHUNK = 1 << 15
@@ -104,12 +104,12 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle_w
     Rows with a null key stay. Of rows that repeat a kept key all stay.
     """
     groups = near_duplicates(docs.select(key, text), text, key, shingle_words, radius)
-    gone = groups.filter(F.col(key) > F.col("component")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(stored(gone, "simhash-gone"), docs[key] == F.col("_gone"), "left_anti")
+    name = fresh("gone", docs.columns)
+    gone = groups.filter(F.col(key) > F.col("component")).select(F.col(key).alias(name)).distinct()
+    return docs.join(stored(gone, "simhash-gone"), F.col(key) == F.col(name), "left_anti")
 
 
 def op7_simhash_near_dedup(spark, sf_dir):
-    from aerostrata.llm.common import table
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                       F.col("component").alias("component_id"))

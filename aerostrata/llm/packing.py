@@ -155,9 +155,9 @@ def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> lis
     home = np.empty(len(sizes), np.int64)
     for b, items in enumerate(bins):
         home[items] = b
-    emptied = True
-    while emptied and live > least:
-        emptied = False
+    changed = True
+    while changed and live > least:
+        changed = False
         for a in sorted(np.flatnonzero((fill > 0) & (fill < capacity)).tolist(), key=lambda b: fill[b]):
             if live <= least:
                 break
@@ -194,8 +194,8 @@ def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> lis
                     home[back] = a
                 fill[a] -= best[0]
                 fill[b] += best[0]
-            if not bins[a]:
-                live, emptied = live - 1, True
+                changed = True
+            live -= not bins[a]
     return [b for b in bins if b]
 
 

@@ -128,12 +128,14 @@ def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", key:
     """
     verdicts = stored(judge(docs, text, host, key, **limits).filter("kept")
                       .select("_host", "_copy", "_common").dropDuplicates(["_host", "_copy"]), "lines-verdicts")
-    keyed = docs.withColumns({"_h": F.coalesce(F.col(host).cast("string"), F.lit("")),
-                              "_c": F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))})
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_h"),
+                        F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_c"))
     joined = keyed.join(verdicts, (F.col("_h") == F.col("_host")) & (F.col("_c") == F.col("_copy")))
-    left = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(NON_WORD_ONLY) | ~F.array_contains(
+    own = F.col("row")[text]
+    left = F.array_join(F.filter(F.split(own, "\n"), lambda x: x.rlike(NON_WORD_ONLY) | ~F.array_contains(
         F.col("_common"), F.xxhash64(normalised(x)))), "\n")
-    return joined.withColumn(text, F.when(F.col("_common").isNull(), F.col(text)).otherwise(left)).select(*docs.columns)
+    new = F.when(F.col("_common").isNull(), own).otherwise(left)
+    return joined.select(*(new.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 CONTRACT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
