@@ -60,6 +60,13 @@ def observed(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, O
     return df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), obs
 
 
+def metric_summary(runs: DataFrame, metrics: dict[str, str]) -> DataFrame:
+    """One line of text per run from its metrics (label -> column); a missing metric is left out."""
+    parts = [F.concat(F.lit(f"{label}="), F.col(c).cast("string")) for label, c in metrics.items()]
+    head = F.concat(F.col("dag_id"), F.lit("/"), F.col("run_id"))
+    return runs.select("dag_id", "run_id", F.concat_ws(" | ", head, F.col("status"), *parts).alias("summary"))
+
+
 def run_summary(runs: DataFrame) -> DataFrame:
     """One line of text per run."""
     text = F.concat_ws(

@@ -179,6 +179,18 @@ def profile_table(df: DataFrame, date_col: str, station_col: str = "station_id")
                    "columns": F.lit(",".join(df.columns))})
 
 
+def quality_run(tables: dict[str, tuple[DataFrame, str]], as_of: str, max_days: int = 2) -> DataFrame:
+    """One row per table (name -> frame and its date column): profile, rows out of range, age."""
+    out = []
+    for name, (df, day) in tables.items():
+        ranges = audit_ranges(df).agg(F.coalesce(F.sum("out_of_range"), F.lit(0)).alias("out_of_range"))
+        row = profile_table(df, day).select(F.lit(name).alias("table"), "row_count", "null_dates", "distinct_stations", "column_count")
+        age = freshness(df, day, as_of, max_days)
+        out.append(row.withColumns({"out_of_range": ranges.scalar(), "latest": age.select("latest").scalar(),
+                                    "stale": age.select("stale").scalar()}))
+    return reduce(DataFrame.unionByName, out)
+
+
 def audit_ranges(df: DataFrame, rules: Sequence[RangeRule] = AUDIT_RULES) -> DataFrame:
     """Non-null values outside each rule; a rule `x` also finds the first column `x_...`."""
     matched: list[RangeRule] = []

@@ -443,9 +443,9 @@ ORACLES: dict[str, str] = {
         FROM daily JOIN (SELECT station_id, min(event_id) / 1000e0 AS latitude,
             CAST(max(user_id) AS DOUBLE) AS longitude FROM readings GROUP BY station_id) USING (station_id)
         WHERE date = (SELECT max(date) FROM daily)""",
-    "merge_feeds": """WITH air AS (SELECT user_id, date, pm25, pm10, co FROM readings WHERE station_id = 'view'
+    "merge_feeds": """WITH air AS (SELECT user_id, date, pm25, pm10, co FROM readings WHERE event_id % 3 <> 0
           QUALIFY row_number() OVER (PARTITION BY user_id, date ORDER BY ts DESC, event_id DESC) = 1),
-        wx AS (SELECT user_id, date, temperature, humidity FROM readings WHERE station_id = 'click'
+        wx AS (SELECT user_id, date, temperature, humidity FROM readings WHERE event_id % 3 = 0
           QUALIFY row_number() OVER (PARTITION BY user_id, date ORDER BY ts DESC, event_id DESC) = 1)
         SELECT user_id, date, pm25, pm10, co, temperature, humidity FROM air FULL OUTER JOIN wx USING (user_id, date)""",
     "insert_if_absent": """SELECT station_id, date,
@@ -543,7 +543,7 @@ ORACLES: dict[str, str] = {
     "run_counters": """SELECT (SELECT count(*) FROM indexed) AS csv_rows, (SELECT count(*) FROM clean) AS after_clean,
         (SELECT count(*) FROM daily) AS daily_rows, (SELECT max(ispu) FROM clean) AS max_ispu""",
 
-    "raw_stream": "SELECT event_id, station_id, ts AS event_time, pm25, co FROM readings",
+    "raw_stream": f"""SELECT event_id, station_id, ts AS timestamp, pm25, co, 22 AS columns FROM ({_MSG}) WHERE bad IS NULL""",
     "stream_sliding_agg": "SELECT * FROM windows",
     "stream_alerts": " UNION ALL ".join([
         _fired("ISPUCritical", "ispu_avg", "200", 30, "critical"),
@@ -570,6 +570,33 @@ ORACLES: dict[str, str] = {
         SELECT CAST(cx AS BIGINT) AS cell_x, CAST(cy AS BIGINT) AS cell_y,
           {_round('sum(round(wt * v * 1e9)) / sum(round(wt * 1e9))', 2)} AS value, count(*) AS stations FROM w GROUP BY cx, cy""",
 }
+_HISTORY = """SELECT 'E' || event_id AS station_id, CAST(date AS VARCHAR) || 'T' || lpad(CAST(i AS VARCHAR), 2, '0') || ':00' AS tanggal,
+        co + i AS pm25, pm10 + i AS pm10, co + i AS co, no2 + i AS no2, so2 + i AS so2, o3 + i AS o3, temperature + i AS temperature
+        FROM (SELECT *, unnest(range(0, k % 24 + 1)) AS i FROM readings WHERE station_id <> 'error')"""
+ORACLES["history_readings"] = f"""WITH history AS ({_HISTORY}), hi AS ({_indexed('history')})
+    SELECT station_id, 'Station ' || station_id AS station_name, 1.5 AS latitude, tanggal, pm25, co, ispu, ispu_category, temperature FROM hi"""
+ORACLES["station_dimension"] = """SELECT CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS station_name, CAST(s_nationkey AS VARCHAR) AS region,
+    s_acctbal AS latitude, 1e0 AS longitude FROM supplier"""
+ORACLES["stored_predictions"] = """SELECT event_id, station_id, window_start, predicted_label, confidence,
+    'v' || (event_id % 2) AS model_version FROM predictions"""
+ORACLES["uv_index_mean"] = f"""SELECT station_id, date, {_round("sum(CASE WHEN k % 3 <> 0 THEN k END) / 10e0 / nullif(count(CASE WHEN k % 3 <> 0 THEN 1 END), 0)", 2)}
+    AS uv_index_avg, count(*) AS record_count FROM (SELECT * FROM clean WHERE k IS NOT NULL AND k % 3 <> 0) GROUP BY station_id, date"""
+ORACLES["metric_summary"] = """SELECT o_orderpriority AS dag_id, CAST(o_orderkey AS VARCHAR) AS run_id,
+    concat_ws(' | ', o_orderpriority || '/' || o_orderkey, o_orderstatus, 'in=' || o_custkey,
+      CASE WHEN o_orderstatus <> 'P' THEN 'out=' || (o_custkey % 100) END) AS summary FROM orders"""
+
+
+def _quality(name: str, table: str, day: str, columns: int) -> str:
+    rules = " + ".join(f"count(*) FILTER ({c} < {r.low} OR {c} > {r.high})" for r in AUDIT_RULES
+                       for c in [next((x for x in _NAMES[name] if x == r.column or x.startswith(r.column + "_")), None)] if c)
+    return (f"SELECT '{name}' AS \"table\", count(*) AS row_count, count(*) FILTER ({day} IS NULL) AS null_dates, "
+            f"count(DISTINCT station_id) AS distinct_stations, {columns} AS column_count, CAST({rules} AS BIGINT) AS out_of_range, "
+            f"max(CAST({day} AS DATE)) AS latest, DATE '2024-02-03' - max(CAST({day} AS DATE)) > 2 AS stale FROM {table}")
+
+
+_AVGS = [f"{c}_avg" for c in AVERAGED if c != "ispu"] + ["precipitation_sum"]
+_NAMES = {"daily": ["ispu", *_AVGS], "windows": ["ispu_avg", *_AVGS]}
+ORACLES["quality_run"] = _quality("daily", "daily", "date", 16) + " UNION ALL " + _quality("windows", "windows", "window_start", 16)
 _SPLIT = """split AS (SELECT CASE WHEN date <= (SELECT max(date) FROM labelled_series) - INTERVAL 7 DAY THEN 'train' ELSE 'test' END AS split
         FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY date) AS rn FROM labelled_series) WHERE rn > 7)"""
 _STATIONS = (f"WITH volume AS ({VOLUME}), vi AS ({_indexed('volume')}), vc AS (SELECT * FROM vi WHERE {_CLEAN}), "

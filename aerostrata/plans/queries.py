@@ -21,8 +21,9 @@ from aerostrata.operators import quality as ql
 from aerostrata.operators import series as se
 from aerostrata.plans import bindings as bd
 from aerostrata.schema import (
-    BREAKPOINTS, CATEGORIES, CLUSTER_MEASURES, COUNT_STEPS, COVERAGE_STEPS,
-    DAILY_MEASURES, INDEX_STEPS, LAGS, POLLUTANTS, ROLLINGS, STREAM_MEASURES, WORST_STEPS, RangeRule,
+    AIR_FIELDS, BREAKPOINTS, CATEGORIES, CLUSTER_MEASURES, COUNT_STEPS, COVERAGE_STEPS,
+    DAILY_MEASURES, INDEX_STEPS, LAGS, POLLUTANTS, ROLLINGS, STREAM_MEASURES,
+    WEATHER_FIELDS, WORST_STEPS, RangeRule,
 )
 from aerostrata.ml import models as md
 from aerostrata.session import materialized, run_path
@@ -415,16 +416,16 @@ def latest_map(spark, sf):
 
 @query
 def merge_feeds(spark, sf):
-    """Snapshot per user and day: air measures from one feed, weather from another."""
+    """Snapshot per user and day: air measures from two thirds of the events, weather from the rest."""
     r = bd.readings(spark, sf)
     last = [F.desc("ts"), F.desc("event_id")]
 
-    def feed(station, columns):
-        rows = r.filter(F.col("station_id") == station).select("user_id", "date", "ts", "event_id", *columns)
+    def feed(air, columns):
+        rows = r.filter((F.col("event_id") % 3 != 0) == air).select("user_id", "date", "ts", "event_id", *columns)
         return jn.latest(rows, ["user_id", "date"], last).drop("ts", "event_id")
 
-    return jn.merge_feeds(feed("view", ["pm25", "pm10", "co"]),
-                          feed("click", ["temperature", "humidity"]), ["user_id", "date"])
+    return jn.merge_feeds(feed(True, ["pm25", "pm10", "co"]),
+                          feed(False, ["temperature", "humidity"]), ["user_id", "date"])
 
 
 @query
@@ -502,6 +503,78 @@ def hourly_explode(spark, sf):
     return ns.explode_hourly(air, weather, ["event_id"])
 
 
+@query
+def history_readings(spark, sf):
+    """Landed responses of two feeds, one station per event, read back and turned into readings."""
+    doc = _history(spark, sf)
+    air, weather = run_path(spark, "air"), run_path(spark, "weather")
+    doc.select("station_id", F.col("air").alias("hourly")).write.json(air)
+    doc.filter("event_type <> 'error'").select("station_id", F.col("weather").alias("hourly")).write.json(weather)
+    stations = doc.select(
+        "station_id", F.concat(F.lit("Station "), "station_id").alias("station_name"),
+        F.lit("North").alias("region"), F.lit(1.5).alias("latitude"), F.lit(2.5).alias("longitude"))
+    out = ns.history_readings(ns.read_responses(spark, air, AIR_FIELDS), ns.read_responses(spark, weather, WEATHER_FIELDS), stations)
+    return out.select("station_id", "station_name", "latitude", "tanggal", "pm25", "co", "ispu", "ispu_category", "temperature")
+
+
+def _history(spark, sf):
+    e = bd.readings(spark, sf)
+    steps = F.sequence(F.lit(0), F.col("k") % 24)
+    stamp = F.transform(steps, lambda i: F.concat(
+        F.col("date").cast("string"), F.lit("T"), F.lpad(i.cast("string"), 2, "0"), F.lit(":00")))
+
+    def values(base):
+        return F.transform(steps, lambda i: (F.col(base) + i).cast("double"))
+
+    return e.select(
+        F.concat(F.lit("E"), F.col("event_id")).alias("station_id"), F.col("station_id").alias("event_type"),
+        F.struct(stamp.alias("time"), *[values(b).alias(f) for f, b in {
+            "pm2_5": "co", "pm10": "pm10", "carbon_monoxide": "co", "nitrogen_dioxide": "no2", "sulphur_dioxide": "so2", "ozone": "o3"}.items()]).alias("air"),
+        F.struct(stamp.alias("time"), values("temperature").alias("temperature_2m")).alias("weather"))
+
+
+@query
+def station_dimension(spark, sf):
+    """Suppliers written as one nested configuration document, read as the station dimension."""
+    path = run_path(spark, "stations")
+    one = F.struct(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"),
+                   F.col("s_nationkey").cast("string").alias("region"), F.col("s_acctbal").alias("latitude"), F.lit(1.0).alias("longitude"))
+    city = bd.table(spark, sf, "supplier").groupBy(F.col("s_nationkey").cast("string").alias("city")).agg(F.collect_list(one).alias("stations"))
+    city.write.json(path)
+    return rd.read_stations(spark, path, multi_line=False)
+
+
+@query
+def stored_predictions(spark, sf):
+    """Predictions appended in two versions and read back."""
+    path = run_path(spark, "predictions")
+    p = bd.predictions(spark, sf).select("event_id", "station_id", "window_start", "predicted_label", "confidence")
+    for version, odd in (("v0", 0), ("v1", 1)):
+        sk.write_predictions(p.filter(F.col("event_id") % 2 == odd), path, version)
+    return spark.read.parquet(path).filter(F.col("created_at").isNotNull()).drop("created_at")
+
+
+@query
+def uv_index_mean(spark, sf):
+    r = landed(spark, sf).withColumn("uv_index", F.when(F.col("k") % 3 != 0, F.col("k") / 10))
+    r = ql.clean_readings(r)
+    return ag.daily_agg(r, **EXACT).select("station_id", "date", "uv_index_avg", "record_count")
+
+
+@query
+def quality_run(spark, sf):
+    return ql.quality_run({"daily": (daily(spark, sf), "date"), "windows": (windows(spark, sf), "window_start")}, "2024-02-03")
+
+
+@query
+def metric_summary(spark, sf):
+    """Runs of the audit log with what they counted."""
+    o = bd.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("dag_id"), F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_custkey").alias("rows_in"), F.when(F.col("o_orderstatus") != "P", F.col("o_custkey") % 100).alias("written"))
+    return au.metric_summary(o, {"in": "rows_in", "out": "written"})
+
+
 METRIC_SCHEMA = T.StructType([T.StructField("rows", T.LongType()), T.StructField("ok", T.BooleanType())])
 
 
@@ -788,11 +861,16 @@ def _valid_stream(spark, sf):
 
 @query
 def raw_stream(spark, sf):
-    """Readings appended by a stream and read back as a table."""
-    path = run_path(spark, "raw")
-    rows = bd.events_stream(spark, sf).select("event_id", "station_id", "event_time", "pm25", "co")
+    """Messages decoded, projected and appended by a stream, and read back as the raw table."""
+    from aerostrata.streaming import decode as dc
+    landing, path = run_path(spark, "messages"), run_path(spark, "raw")
+    _messages(spark, sf).write.parquet(landing)
+    messages = dc.read_stream(spark, "parquet", schema=spark.read.parquet(landing).schema, path=landing)
+    rows = dc.raw_projection(dc.decode_payload(messages)[0])
     _run(sw.append_rows(rows, path, run_path(spark, "raw-state"), every=None))
-    return _ntz(spark.read.parquet(path), "event_time")
+    out = _ntz(spark.read.parquet(path), "timestamp")
+    return out.select(F.col("longitude").cast("long").alias("event_id"), "station_id", "timestamp", "pm25", "co",
+                      F.lit(len(out.columns)).alias("columns"))
 
 
 @query

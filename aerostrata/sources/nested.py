@@ -6,13 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from aerostrata.schema import AIR_FIELDS, WEATHER_FIELDS, hourly_response
+from aerostrata.functions.index import composite_index
+from aerostrata.operators.joins import with_dimension
+from aerostrata.schema import AIR_FIELDS, READINGS_CSV, WEATHER_FIELDS, hourly_response
 
 
-def read_responses(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:
-    """Landed history responses, one JSON document per line."""
-    return spark.read.schema(hourly_response(fields)).json(path)
+def read_responses(spark: SparkSession, path: str, fields: dict[str, str],
+                   key: str = "station_id") -> DataFrame:
+    """Landed history responses, one JSON document per line, with the station each was asked for."""
+    schema = T.StructType([T.StructField(key, T.StringType()), *hourly_response(fields).fields])
+    return spark.read.schema(schema).json(path)
+
+
+def history_readings(air: DataFrame, weather: DataFrame, stations: DataFrame) -> DataFrame:
+    """History responses of both feeds as indexed readings in the layout of the CSV files."""
+    hours = explode_hourly(air, weather, ["station_id"])
+    rows = composite_index(with_dimension(hours, stations, ["station_id"]))
+    return rows.select(*READINGS_CSV.fieldNames())
 
 
 def explode_hourly(air: DataFrame, weather: DataFrame, keys: Sequence[str],

@@ -23,9 +23,9 @@ def read_readings_csv(spark: SparkSession, path: str | Sequence[str],
     )
 
 
-def read_stations(spark: SparkSession, path: str) -> DataFrame:
-    """Station dimension from a nested configuration document."""
-    doc = spark.read.schema(STATIONS_JSON).option("multiLine", True).json(path)
+def read_stations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Station dimension from nested configuration documents, one per file or one per line."""
+    doc = spark.read.schema(STATIONS_JSON).option("multiLine", multi_line).json(path)
     return doc.select(F.inline("stations")).withColumnsRenamed(
         {"id": "station_id", "name": "station_name"})
 
