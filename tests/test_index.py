@@ -97,3 +97,38 @@ def test_mean_with_digits_does_not_depend_on_order(spark):
         df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
         means.add(df.select(sc.mean(F.col("v"), 4)).first()[0])
     assert len(means) == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_look_backs_reach_the_scan(spark):
+    from aerostrata.plans.queries import recent_windows
+    text = plan(recent_windows(spark, "/root/testdata/sf0.001", "24 hours"))
+    pushed = text[text.rindex("PushedFilters"):].split("\n")[0]
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThanOrEqual(ts" in pushed
+
+
+def test_small_values_are_not_quantised(spark):
+    df = spark.createDataFrame([(0.00001,), (0.00003,)], "v double")
+    assert abs(df.select(sc.mean(F.col("v"))).first()[0] - 0.00002) < 1e-12
+    assert df.select(sc.mean(F.col("v"), 4)).first()[0] == 0
+
+
+def test_append_reads_only_the_dates_of_the_new_rows(spark, tmp_path):
+    from aerostrata.sinks import tables as sk
+    day = lambda d: F.lit(d).cast("date").alias("date")
+    old = spark.range(3).select(F.col("id").alias("station_id"), day("2024-01-01")).union(
+        spark.range(3).select("id", day("2024-01-02")))
+    path = str(tmp_path / "t")
+    sk.append_absent(old, path, ["station_id", "date"], [F.asc("station_id")])
+    sk.append_absent(spark.range(5).select(F.col("id").alias("station_id"), day("2024-01-02")), path,
+                     ["station_id", "date"], [F.asc("station_id")])
+    assert spark.read.parquet(path).count() == 8
+
+
+def test_nan_is_no_alert(spark):
+    from aerostrata.operators.alerts import exceeds
+    df = spark.createDataFrame([(float("nan"),), (None,), (5.0,), (1.0,)], "v double")
+    assert [r[0] for r in df.select(exceeds(F.col("v"), 2)).collect()] == [False, False, True, False]
