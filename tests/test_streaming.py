@@ -133,3 +133,21 @@ def test_alert_stream_keeps_spells_across_batches(spark, tmp_path):
     batch = sustained_alerts(spark.read.parquet(str(tmp_path / "in")), rule)
     assert minutes(got, "started_at", "fired_at") == [("a", 25, 55)]
     assert minutes(batch, "started_at", "ended_at") == [("a", 25, 95)]
+
+
+def test_alert_stream_equals_batch_on_any_cut(spark, tmp_path):
+    import random
+    rnd = random.Random(8)
+    rule = [AlertRule("w", "v", 100, 20, "warning")]
+    at, rows = 0, []
+    for _ in range(160):
+        at += rnd.choice([5, 5, 5, 5, 20])
+        rows.append(("a", BASE + dt.timedelta(minutes=at), rnd.choice([150.0, 150.0, 150.0, 50.0, None, float("nan")])))
+    cuts = sorted(rnd.sample(range(1, 160), 9))
+    for i, j in zip([0, *cuts], [*cuts, 160]):
+        df = spark.createDataFrame(rows[i:j], "station_id string, window_start timestamp, v double")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    fired = alert_stream(source(spark, tmp_path / "in", df.schema), rule)
+    sw.append_rows(fired, str(tmp_path / "out"), str(tmp_path / "s"), every=None).awaitTermination()
+    batch = sustained_alerts(spark.read.parquet(str(tmp_path / "in")), rule)
+    assert minutes(spark.read.parquet(str(tmp_path / "out")), "started_at") == minutes(batch, "started_at") != []
