@@ -121,7 +121,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wo
     runs = stored(repeated_runs(docs.select(F.col(key).alias("_key"), F.xxhash64(body).alias("_copy"), body.alias("_text")), min_words), "winnow-runs")
     plain = docs.drop("n_lines", "n_removed")
     marked = plain.select(F.struct(*plain.columns).alias("row"), F.col(key).alias("k"), F.xxhash64(body).alias("c"))
-    joined = marked.join(runs, F.col("k").eqNullSafe(F.col("_key")) & (F.col("c") == F.col("_copy")), "left")
+    # The runs grow with the corpus: texts meet them by a shuffle at every size, never by a broadcast.
+    joined = marked.join(runs.hint("merge"), F.col("k").eqNullSafe(F.col("_key")) & (F.col("c") == F.col("_copy")), "left")
     joined = joined.select("row.*", F.col("runs").alias(fresh("runs", plain.columns)))
     names, at = [*plain.columns, "n_lines", "n_removed"], plain.columns.index(text)
 
