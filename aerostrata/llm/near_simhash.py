@@ -4,10 +4,15 @@ Two fingerprints differ in at most 2r bits exactly when some value lies within r
 every distinct fingerprint emits all values within r bits of itself, these are shuffled, and what
 meets at a value is linked. Meeting fingerprints all lie in one ball, so a group has at most as many
 members as a ball has values (65 for r = 1), and a star onto its smallest member links all of it.
+
+`keep_one` looks for texts whose sets of shingles are similar. Their long fingerprints differ in too
+many bits for a ball, so each text has several short independent ones with a ball each; what meets in
+any of them is a candidate, and the shingles themselves decide.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -18,9 +23,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostrata.llm.common import components, fresh, stored, table
+from aerostrata.llm.piece_dropout import mix
 
 SEED = 42
 CHUNK = 1 << 15
+# Of keep_one: two texts at the threshold differ in about 15 % of their bits and meet in one of the
+# tables with 98 %. Members of one meeting point are compared with the NEIGHBOURS before them and, in
+# larger ones, with its first LEADERS.
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
+TABLES, BITS = 10, 22
+NEIGHBOURS, LEADERS = 31, 4
+
+
+def shingle_hashes(words: list[bytes], shingle_words: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles; a text with fewer words than a shingle has one, one without words none."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined, n = b" ".join(words), len(words)
+    lengths = np.fromiter(map(len, words), np.int64, n)
+    ends = np.cumsum(lengths + 1) - 1
+    k = min(shingle_words, n)
+    starts, digest = (ends - lengths)[: n - k + 1].tolist(), xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1:].tolist(), strict=True)), np.uint64, len(starts)))
+
+
+def short_fingerprints(hashes: np.ndarray, tables: int, bits: int) -> tuple[int, list[int]]:
+    """A check of 64 bits and one fingerprint a table, the table's number above its bits; all bits are independent."""
+    n = -(-tables * bits // 64) + 1
+    out = []
+    for word in range(n):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), CHUNK):
+            part = mix(hashes[at:at + CHUNK] + np.uint64((word + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+            ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out.append(2 * ones > len(hashes))
+    check = int(np.packbits(out[0], bitorder="little").view("<i8")[0])
+    rows = np.concatenate(out[1:])[: tables * bits].reshape(tables, bits).astype(np.int64)
+    return check, ((np.arange(tables) << bits) + (rows << np.arange(bits)).sum(1)).tolist()
 
 
 def simhash(text: str | None, shingle_words: int = 3) -> int:
@@ -97,16 +136,118 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     return marked.join(names, "fp").select(F.col("key").alias(key), "fp", "component")
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle_words: int = 3,
-             radius: int = 2) -> DataFrame:
-    """The documents without those whose component has a smaller key; columns as given.
+def _words(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def _met(variant: np.ndarray, same: np.ndarray, check: np.ndarray, old: int, most: int) -> np.ndarray:
+    """Pairs (rows u, v) of members of one meeting point whose checks differ in at most `most` bits,
+    each found from its later member, at or after row `old`. Rows are sorted by variant."""
+    out = [np.zeros((0, 2), np.int64)]
+    at = np.arange(old, len(variant))
+
+    def compare(i, j):
+        close = np.bitwise_count((check[i] ^ check[j]).view(np.uint64)) <= most  # of signed numbers it counts the absolute value
+        out.append(np.stack([same[i[close]], same[j[close]]], 1))
+
+    for d in range(1, NEIGHBOURS + 1):
+        at = at[at >= d]
+        at = at[variant[at] == variant[at - d]]
+        compare(at, at - d)
+    first = np.searchsorted(variant, variant[at])
+    for k in range(LEADERS):
+        far = first + k < at - NEIGHBOURS
+        compare(at[far], first[far] + k)
+    pairs = np.concatenate(out)
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    return np.unique(np.sort(pairs, 1), axis=0)
+
+
+def candidates(classes: DataFrame, tables: int, bits: int, similarity: float) -> DataFrame:
+    """classes (same, check, fps) to distinct rows (u, v), u < v, that meet in a table and may be similar."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    most = math.floor(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
+    masks = F.lit([0, *(1 << b for b in range(bits))])
+    variants = classes.select(F.explode(F.flatten(F.transform("fps", lambda f: F.transform(masks, lambda m: f.bitwiseXOR(m))))).alias("variant"),
+                              "same", "check")
+
+    def run(batches):
+        kept = [np.zeros(0, np.int64)] * 3
+        for b in batches:
+            old = len(kept[0])
+            variant, same, check = (np.concatenate([k, c.to_numpy()]) for k, c in zip(kept, b.columns, strict=True))
+            if not len(variant):
+                continue
+            pairs = _met(variant, same, check, old, most)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+            # The next batch may carry on the last meeting point: its leaders and last members stay.
+            first = int(np.searchsorted(variant, variant[-1]))
+            stay = np.union1d(np.arange(first, min(first + LEADERS, len(variant))), np.arange(max(first, len(variant) - NEIGHBOURS), len(variant)))
+            kept = [x[stay] for x in (variant, same, check)]
+
+    met = variants.repartition("variant").sortWithinPartitions("variant", "same").mapInArrow(run, "u long, v long")
+    return met.distinct()
+
+
+def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle_words: int = SHINGLE_WORDS,
+                   similarity: float = SIMILARITY, tables: int = TABLES, bits: int = BITS) -> DataFrame:
+    """One row per document: key, component (smallest key reachable over pairs of similar texts).
+
+    Texts are similar if their sets of shingles have at least that Jaccard similarity. Equal words are
+    one text; texts without words are equal to each other only. Short fingerprints propose the pairs,
+    so some similar pairs are missed; every pair taken is verified. Texts that only rows with a null
+    key have link nothing, and their component is null.
+    """
+    kind = docs.schema[key].dataType
+    plain = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+
+    def mark(batches):
+        for b in batches:
+            words = [_words(t) for t in b.column(1).to_pylist()]
+            same = np.array([xxhash.xxh64_intdigest(b" ".join(w), SEED) for w in words], np.uint64).view(np.int64)
+            marks = [short_fingerprints(shingle_hashes(w, shingle_words), tables, bits) if w else (0, []) for w in words]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same), pa.array([c for c, _ in marks], pa.int64()),
+                                              pa.array([f for _, f in marks], pa.list_(pa.int64()))], names=["key", "same", "check", "fps"])
+
+    def sets(batches):
+        for b in batches:
+            words = [_words(t) for t in b.column(1).to_pylist()]
+            own = [i for i, (w, s) in enumerate(zip(words, b.column(0).to_pylist(), strict=True))
+                   if xxhash.xxh64_intdigest(b" ".join(w), SEED) == s % (1 << 64)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(own, pa.int64())),
+                                              pa.array([shingle_hashes(words[i], shingle_words).view(np.int64) for i in own], pa.list_(pa.int64()))],
+                                             names=["same", "shingles"])
+
+    schema = T.StructType([T.StructField("key", kind), T.StructField("same", T.LongType()), T.StructField("check", T.LongType()),
+                           T.StructField("fps", T.ArrayType(T.LongType()))])
+    marked = stored(plain.mapInArrow(mark, schema), "similar-marks")
+    classes = stored(marked.groupBy("same").agg(F.min("key").alias("first"), F.min("check").alias("check"), F.first("fps").alias("fps")), "similar-classes")
+    pairs = stored(candidates(classes.filter(F.col("first").isNotNull()), tables, bits, similarity), "similar-pairs")
+    needed = pairs.select(F.col("u").alias("same")).union(pairs.select(F.col("v").alias("same"))).distinct()
+    needed = stored(classes.join(needed, "same").select("same", "first"), "similar-needed")
+    found = plain.join(needed, F.col("key") == F.col("first")).select("same", "text").mapInArrow(sets, "same long, shingles array<long>")
+    found = stored(found.dropDuplicates(["same"]), "similar-shingles")
+    left, right = found.select(F.col("same").alias("u"), F.col("shingles").alias("a")), found.select(F.col("same").alias("v"), F.col("shingles").alias("b"))
+    common, both = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
+    links = pairs.join(left, "u").join(right, "v").filter(common >= F.lit(similarity) * (both - common)).select("u", "v")
+    roots = components(links, "similar")
+    placed = stored(classes.join(roots.withColumnRenamed("node", "same"), "same", "left")
+                    .select("same", "first", F.coalesce("root", "same").alias("root")), "similar-placed")
+    named = stored(placed.groupBy("root").agg(F.min("first").alias("component")), "similar-named")
+    names = stored(placed.join(named, "root").select("same", "component"), "similar-names")
+    return marked.join(names, "same").select(F.col("key").alias(key), "component")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle_words: int = SHINGLE_WORDS,
+             similarity: float = SIMILARITY, tables: int = TABLES, bits: int = BITS) -> DataFrame:
+    """The documents without those whose group of similar texts has a smaller key; columns as given.
 
     Rows with a null key stay. Of rows that repeat a kept key all stay.
     """
-    groups = near_duplicates(docs.select(key, text), text, key, shingle_words, radius)
+    groups = similar_groups(docs.select(key, text), text, key, shingle_words, similarity, tables, bits)
     name = fresh("gone", docs.columns)
     gone = groups.filter(F.col(key) > F.col("component")).select(F.col(key).alias(name)).distinct()
-    return docs.join(stored(gone, "simhash-gone"), F.col(key) == F.col(name), "left_anti")
+    return docs.join(stored(gone, "similar-gone"), F.col(key) == F.col(name), "left_anti")
 
 
 def op7_simhash_near_dedup(spark, sf_dir):

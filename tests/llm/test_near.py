@@ -7,7 +7,7 @@ import pytest
 import xxhash
 
 from aerostrata.llm.common import components
-from aerostrata.llm.near_simhash import ball_links, keep_one, near_duplicates, simhash
+from aerostrata.llm.near_simhash import ball_links, keep_one, near_duplicates, similar_groups, simhash
 from aerostrata.llm.near_vectors import codes, hadamard, near_vectors
 
 
@@ -81,7 +81,41 @@ def test_near_duplicates(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([*{want[i] for i in fps}, None, 5], key=str)
 
 
+def jaccard(a, b):
+    a, b = ({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_keep_one_finds_planted_near_copies(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    texts = []
+    for n in range(150):
+        words = rng.choices(vocabulary, k=rng.randint(120, 400))
+        copy = list(words)
+        for at in rng.sample(range(len(copy)), len(copy) // 60):  # about 0.85 of the shingles' union
+            copy[at] = rng.choice(vocabulary)
+        texts += [" ".join(words), " ".join(copy)]
+    for _ in range(60):  # halves in common are no near copies
+        half = rng.choices(vocabulary, k=100)
+        texts += [" ".join(half + rng.choices(vocabulary, k=100)) for _ in range(2)]
+    hot = rng.choices(vocabulary, k=300)
+    for _ in range(120):
+        copy = list(hot)
+        copy[rng.randrange(300)] = rng.choice(vocabulary)
+        texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = {r.doc_id: r.component for r in similar_groups(df).collect()}
+    similar = [i for i in range(0, 300, 2) if jaccard(texts[i], texts[i + 1]) >= 0.8]
+    assert len(similar) > 100
+    assert sum(group[i + 1] == i for i in similar) >= 0.97 * len(similar)
+    assert all(group[i + 1] == i + 1 for i in range(0, 420, 2) if jaccard(texts[i], texts[i + 1]) < 0.8)
+    assert {group[i] for i in range(420, 540)} == {420}
+    assert {r.doc_id for r in keep_one(df).collect()} == {i for i, g in group.items() if i == g}
+
+
 def test_near_duplicates_of_nothing(spark):
+    assert keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
