@@ -1,13 +1,14 @@
 """Line dedup by winnowing over line hashes.
 
-A window is the shortest run of lines from a line on that holds `min_words` words; its minimal line
-hash is a fingerprint. Two texts that share a run of lines with that many words share a whole window
-and so a fingerprint: the guarantee of winnowing, with lengths in words. Each fingerprint's positions
-are joined with its first one, the match is extended line by line both ways, and a match of
-`min_words` words or more is deleted from the later place.
-
-A frequent line says little about which earlier text a match continues into. So the first place is
-looked up four times: by the line alone, with its left neighbour, with its right one and with both.
+A window is a shortest run of lines that holds `min_words` words, from its first line on or up to its
+last one. Every line of a longer run lies in a window inside it: that from the run's first line on, or
+that up to the line itself. So the lines to delete are those of all windows that an earlier place has
+too, and a window is looked up by the hash of all its lines: whatever else holds some of them can't
+stand in for its first place.
+
+The minimal line hash of a window from a line on is a fingerprint, and carries the windows that start
+there. Equal windows have equal fingerprints, so only the windows of lines selected more than once are
+looked up.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostrata.llm.common import fresh, stored, table
@@ -52,59 +53,74 @@ def window_minima(hashes: np.ndarray, counts: np.ndarray, min_words: int) -> lis
     return chosen
 
 
-def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
-    """docs (_key, _copy, _text) to rows (_key, _copy, at, line, left, right): the selected lines.
+def windows(hashes: np.ndarray, counts: np.ndarray, min_words: int) -> list[tuple[int, int, int, int]]:
+    """Distinct windows, in order: first line, last line, hash of the lines, position of the fingerprint.
 
-    left and right hold the hashes of the lines next to it, nearest first, as far as `min_words`
-    words: a longer match has another fingerprint there, which carries on.
+    The fingerprint of a window up to a line is that of the window from its first line on, which lies in it.
     """
+    total = np.concatenate([[0], np.cumsum(counts)])
+    ends = np.searchsorted(total, total[:-1] + min_words)
+    n = len(hashes)
+    chosen = window_minima(hashes, counts, min_words)
+    spans = {(i, e - 1) for i, e in enumerate(ends.tolist()) if e <= n}
+    starts = np.searchsorted(total, total[1:] - min_words, "right") - 1
+    spans |= {(s, e) for e, s in enumerate(starts.tolist()) if s >= 0}
+    raw = np.ascontiguousarray(hashes, "<i8").tobytes()
+    out, at = [], 0
+    values = hashes.tolist()
+    minimum: dict[int, int] = {}
+    for s, e in sorted(spans):
+        if s not in minimum:
+            while chosen[at] < s:
+                at += 1
+            k = at
+            for c in range(at + 1, len(chosen)):
+                if chosen[c] >= ends[s]:
+                    break
+                if values[chosen[c]] <= values[chosen[k]]:
+                    k = c
+            minimum[s] = chosen[k]
+        out.append((s, e, xxhash.xxh64_intdigest(raw[8 * s:8 * e + 8]), minimum[s]))
+    return out
+
+
+def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
+    """docs (_key, _copy, _text) to rows (_key, _copy, line, w, s, e): the selected lines, and the hashes,
+    first and last lines of their windows."""
 
     def run(batches):
         for b in batches:
-            rows, at, line, left, right = [], [], [], [], []
+            rows, line, size, w, s, e = [], [], [], [], [], []
             for r, t in enumerate(b.column(2)):
                 _, _, hashes, counts = line_words(t.as_py())
-                total = np.concatenate([[0], np.cumsum(counts)])
-                for p in window_minima(hashes, counts, min_words):
-                    first = int(np.searchsorted(total, total[p] - min_words, "right")) - 1
-                    last = int(np.searchsorted(total, total[p + 1] + min_words))
-                    rows.append(r), at.append(p), line.append(hashes[p])
-                    left.append(hashes[max(0, first):p][::-1]), right.append(hashes[p + 1:last])
-            take = pa.array(rows, pa.int64())
-            many = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), pa.array(at, pa.int64()), pa.array(line, pa.int64()),
-                 pa.array(left, many), pa.array(right, many)], names=["_key", "_copy", "at", "line", "left", "right"])
+                old = None
+                for first, last, h, p in windows(hashes, counts, min_words):
+                    if p != old:
+                        rows.append(r), line.append(hashes[p]), size.append(0)
+                        old = p
+                    size[-1] += 1
+                    w.append(h), s.append(first), e.append(last)
+            take, at = pa.array(rows, pa.int64()), pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (np.array(w, np.uint64).view(np.int64), np.array(s, np.int32), np.array(e, np.int32))]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(line, pa.int64()), *lists],
+                                             names=["_key", "_copy", "line", "w", "s", "e"])
 
     kind = docs.schema["_key"].dataType.simpleString()
     return docs.select("_key", "_copy", "_text").mapInArrow(
-        run, f"_key {kind}, _copy long, at long, line long, left array<long>, right array<long>")
-
-
-def _same(own: str, other: str) -> Column:
-    """How many leading elements of two arrays are equal."""
-    broken = F.array_position(F.zip_with(own, other, lambda a, b: F.coalesce(a == b, F.lit(False))), False)
-    return F.when(broken == 0, F.least(F.size(own), F.size(other))).otherwise(broken - 1)
+        run, f"_key {kind}, _copy long, line long, w array<long>, s array<int>, e array<int>")
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs (_key, _copy, _text) to rows (_key, _copy, runs): runs of lines, by number among the lines
     with words, that an earlier place has too. Places are ordered by key (null last), copy and line."""
     chosen = stored(fingerprints(docs, min_words), "winnow-lines")
-    again = stored(chosen.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line"), "winnow-again")
-    chosen = stored(chosen.join(again, "line"), "winnow-candidates")
-    near, far = F.coalesce(F.get("left", F.lit(0)), F.lit(0)), F.coalesce(F.get("right", F.lit(0)), F.lit(0))
-    looks = F.array(F.xxhash64(F.lit(0), "line"), F.xxhash64(F.lit(1), "line", near), F.xxhash64(F.lit(2), "line", far),
-                    F.xxhash64(F.lit(3), "line", near, far))
-    looked = stored(chosen.withColumn("look", F.explode(looks)), "winnow-looks")
-    place = F.struct(F.col("_key").isNull().alias("none"), "_key", "_copy", "at", "line", "left", "right")
-    first = looked.groupBy("look").agg(F.count("*").alias("n"), F.min(place).alias("f")).filter("n > 1").select("look", "f")
-    first = stored(first, "winnow-first")
-    met = looked.join(first, "look").filter(F.col("line") == F.col("f.line"))
-    own = F.struct(F.col("_key").isNull().alias("none"), "_key", "_copy", "at")
-    met = met.filter(own > F.struct(F.col("f.none").alias("none"), F.col("f._key").alias("_key"), F.col("f._copy").alias("_copy"), F.col("f.at").alias("at")))
-    met = met.select("_key", "_copy", (F.col("at") - _same("left", "f.left")).alias("s"), (F.col("at") + _same("right", "f.right")).alias("e"))
-    return met.distinct().groupBy("_key", "_copy").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
+    again = chosen.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line")
+    chosen = chosen.join(stored(again, "winnow-again"), "line").select("_key", "_copy", F.explode(F.arrays_zip("w", "s", "e")).alias("x"))
+    looked = stored(chosen.select("_key", "_copy", "x.w", "x.s", "x.e"), "winnow-windows")
+    place = F.struct(F.col("_key").isNull().alias("none"), "_key", "_copy", "s")
+    first = looked.groupBy("w").agg(F.count("*").alias("n"), F.min(place).alias("f")).filter("n > 1").select("w", "f")
+    met = looked.join(stored(first, "winnow-first"), "w").filter(place > F.col("f"))
+    return met.groupBy("_key", "_copy").agg(F.collect_set(F.struct("s", "e")).alias("runs"))
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:

@@ -62,6 +62,43 @@ def test_later_runs_go(spark):
     assert rows[5].n_lines == 0 and rows[3].n_removed == 4
 
 
+def plain_dedup(texts, min_words):
+    """Every run of lines with enough words that starts at an earlier place too, by trying all."""
+    seen, out = set(), []
+    for t in texts:
+        lines, gone = t.split("\n"), set()
+        for s in range(len(lines)):
+            n, new = 0, []
+            for e in range(s, len(lines)):
+                n += len(lines[e].split())
+                if n >= min_words:
+                    run = tuple(lines[s:e + 1])
+                    if run in seen:
+                        gone |= set(range(s, e + 1))
+                    new.append(run)
+            seen.update(new)
+        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def test_short_quotes_do_not_hide_the_longer_match(spark):
+    rng = random.Random(7)
+    texts = []
+    for _ in range(40):
+        passage = [sentence(rng, 10) for _ in range(8)]
+        for at in range(6):  # earlier documents quote 30 words each, below the limit
+            texts.append("\n".join([sentence(rng, 9), *passage[at:at + 3], sentence(rng, 9)]))
+        for _ in range(2):
+            texts.append("\n".join([sentence(rng, 9), *passage, sentence(rng, 9)]))
+    few = [sentence(rng, n) for n in (5, 20, 30, 55, 1, 12)]  # the same lines in ever new order
+    texts += ["\n".join(rng.choices(few, k=rng.randint(1, 14))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in dedup_lines(df).collect()}
+    want = plain_dedup(texts, 50)
+    assert [got[i] for i in range(len(texts))] == want
+    assert all(len(want[8 * i + 7].split("\n")) == 2 for i in range(40))
+
+
 def test_lines_with_null_keys_and_repeated_rows(spark):
     long = sentence(random.Random(4), 60)
     df = spark.createDataFrame([(None, long), (3, long), (3, long), (4, long)], "doc_id long, text string")
