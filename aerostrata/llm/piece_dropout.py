@@ -1,10 +1,14 @@
 """SentencePiece BPE with seeded merge-dropout, and exact decoding.
 
 The agenda of a word holds its adjacent pairs that form a piece; the best score comes first, then the
-leftmost. A candidate is skipped for good when its keyed hash says so. The key is (seed, variant, word,
-place, piece), and the variant follows from document and word number, so a run repeats exactly while
-one word has up to `variants` segmentations. Pieces never reach over the start of a word, hence
-words are segmented on their own, and each (word, variant) only once per worker while the cache lasts.
+leftmost. A candidate is skipped for good when its keyed hash says so. The key is (seed, document,
+position of the word, place, piece), so a run repeats exactly while every occurrence of a word is
+segmented by draws of its own. Pieces never reach over the start of a word, hence words are segmented
+on their own.
+
+A word's agenda depends on nothing but which of its steps were skipped. So the agenda after each set of
+skips is worked out once per worker while the cache lasts, and an occurrence walks along it, drawing at
+every step; a skip that is new for the word adds the agenda that follows it.
 """
 
 from __future__ import annotations
@@ -15,7 +19,6 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +26,11 @@ from aerostrata.llm.common import table
 
 MARK = "▁"
 UNIT = re.compile(" +[^ ]*|[^ ]+")
-DROPOUT, SEED, VARIANTS = 0.1, 5, 4
+DROPOUT, SEED = 0.1, 5
 CACHED_UNITS = 400_000
 # Words up to LONG characters are segmented AT_ONCE side by side; texts are taken together up to so many characters.
 LONG, AT_ONCE, TOGETHER = 32, 1 << 13, 1 << 20
-WORD = (1 << 64) - 1
+WORD, STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
 
 
 def mix(x):
@@ -42,7 +45,8 @@ def mix(x):
 class Dropout:
     """Encoder and decoder over the vocabulary of one model file."""
 
-    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = None):
+        """variants: only so many different draws for a word, as a test or an experiment may want; None for no limit."""
         import sentencepiece
         m = sentencepiece.SentencePieceProcessor(model_file=path)
         n = m.get_piece_size()
@@ -55,7 +59,7 @@ class Dropout:
         raw = [bytes([back[i]]) if i in back else m.id_to_piece(i).replace(MARK, " ").encode() for i in range(n)]
         self.raw, self.raw_size = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw], np.int64)
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
-        self.limit, self.seed, self.variants = int(dropout * 2**64), seed, max(1, variants if dropout else 1)
+        self.limit, self.seed, self.variants = int(dropout * 2**64), mix(seed * STEP & WORD), variants
         # Every way to split a piece into two, as sorted keys, for looking up many pairs at once.
         self.n = n
         joins = sorted((self.ids[p[:i]] * n + self.ids[p[i:]], self.ids[p]) for p in self.ids for i in range(1, len(p))
@@ -67,13 +71,19 @@ class Dropout:
         self.clear()
 
     def clear(self):
-        self.known: list[dict[str, int]] = [{} for _ in range(self.variants)]
+        self.known: dict[str, int] = {}  # the first node of each word
         self.count = 0
         self.pool, self.used = np.zeros(1 << 20, np.int32), 0
         self.starts, self.sizes = np.zeros(CACHED_UNITS, np.int64), np.zeros(CACHED_UNITS, np.int64)
+        # A node is a step of an agenda. The next node follows if it is taken, `skipped` if not (-1: not
+        # worked out yet). An agenda ends with a node of code -1 - number of the result.
+        self.nodes = 0
+        self.code, self.skipped = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.int64)
+        self.agenda, self.depth = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.int64)
+        self.agendas: list[tuple[str, tuple[int, ...]]] = []  # word, numbers of the steps skipped
 
-    def _key(self, unit: str, variant: int) -> int:
-        return xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), (self.seed << 8) + variant)
+    def _key(self, occurrence: int) -> int:
+        return mix(self.seed ^ occurrence & WORD)
 
     def _symbols(self, unit: str) -> list[int]:
         """Ids of the word's characters; for one outside the vocabulary, or a literal mark, minus its code point, less one."""
@@ -90,10 +100,10 @@ class Dropout:
                 out.append(self.unknown)
         return out
 
-    def segment(self, unit: str, variant: int) -> list[int]:
-        """Ids of one word with its leading spaces, by the agenda as a heap of candidates."""
+    def segment(self, unit: str, occurrence: int) -> list[int]:
+        """Ids of one occurrence of a word with its leading spaces, by the agenda as a heap of candidates."""
         symbols = self._symbols(unit)
-        key, after, before = self._key(unit, variant), list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
+        key, after, before = self._key(occurrence), list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
         names = [MARK if c == " " else c for c in unit]
         agenda = []
 
@@ -127,20 +137,25 @@ class Dropout:
         at = np.minimum(np.searchsorted(self.join_keys, keys), len(self.join_keys) - 1)
         return np.where(self.join_keys[at] == keys, self.join_ids[at], -1)
 
-    def segment_many(self, units: list[str], variant: int) -> list[list[int]]:
-        """Like `segment`, for many short words side by side: one row each, one agenda step a round."""
+    def segment_many(self, units: list[str], occurrence: int) -> list[list[int]]:
+        """Like `segment`, for many short words side by side."""
+        key = np.uint64(self._key(occurrence))
+        return self._run(units, lambda r, step, code: mix(key ^ code) < np.uint64(self.limit))[0]
+
+    def _run(self, units: list[str], skips) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+        """Pieces of each word, one row each, one agenda step a round; skips(rows, step, codes) tells which
+        to skip. Also the codes of all steps by row, and how many each row has."""
         rows, width = len(units), max(map(len, units)) + 1
         inside = np.arange(width) < np.fromiter(map(len, units), np.int64, rows)[:, None]
         sym = np.full((rows, width), -1, np.int64)
         sym[inside] = [x for u in units for x in self._symbols(u)]
-        key = np.array([self._key(u, variant) for u in units], np.uint64)
         after = np.tile(np.arange(1, width + 1), (rows, 1))
         before = np.tile(np.arange(-1, width - 1), (rows, 1))
         alive = inside.copy()
         made = np.full((rows, width), -1, np.int64)
         made[:, :-1] = np.where(inside[:, 1:], self._pairs(sym[:, :-1], sym[:, 1:]), -1)
         cost = np.where(made >= 0, self.order[made], np.inf)
-        r = np.arange(rows)
+        r, seen, codes = np.arange(rows), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         while True:
             at = cost[r].argmin(1)
             going = np.isfinite(cost[r, at])
@@ -148,12 +163,10 @@ class Dropout:
             if not len(r):
                 break
             m = made[r, at]
-            if self.limit:
-                skip = mix(key[r] ^ (at * self.n + m).astype(np.uint64)) < np.uint64(self.limit)
-                cost[r[skip], at[skip]] = np.inf
-                q, at, m = r[~skip], at[~skip], m[~skip]
-            else:
-                q = r
+            seen.append(r), codes.append(at * self.n + m)
+            skip = skips(r, len(seen) - 2, codes[-1].astype(np.uint64))
+            cost[r[skip], at[skip]] = np.inf
+            q, at, m = r[~skip], at[~skip], m[~skip]
             gone = after[q, at]
             sym[q, at], alive[q, gone], cost[q, gone] = m, False, np.inf
             nxt = after[q, gone]
@@ -164,7 +177,9 @@ class Dropout:
             self._offer(q[prev >= 0], prev[prev >= 0], sym, after, alive, made, cost)
         parts = sym[alive].tolist()
         ends = np.cumsum(alive.sum(1)).tolist()
-        return [self._spelled(parts[s:e]) for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+        by = np.concatenate(seen)
+        steps = np.concatenate(codes)[by.argsort(kind="stable")]
+        return [self._spelled(parts[s:e]) for s, e in zip([0, *ends[:-1]], ends, strict=True)], steps, np.bincount(by, minlength=rows)
 
     def _offer(self, r, at, sym, after, alive, made, cost):
         j = np.minimum(after[r, at], sym.shape[1] - 1)
@@ -180,29 +195,79 @@ class Dropout:
         if self.count > CACHED_UNITS:
             self.clear()
         split = [UNIT.findall(" " + t) if t else [] for t in texts]
-        first = [k * 0x9E3779B1 % self.variants for k in keys]
-        places = [[slice((v - f) % self.variants, None, self.variants) for v in range(self.variants)] for f in first]
-        got = [np.empty(len(units), np.int64) for units in split]
-        for v, known in enumerate(self.known):
-            own = [units[place[v]] for units, place in zip(split, places, strict=True)]
-            new = {u: None for units in own for u in units if u not in known}
-            self._learn(list(new), v)
-            for idx, units, place in zip(got, own, places, strict=True):
-                idx[place[v]] = list(map(known.__getitem__, units))
-        return [self._gather(idx) for idx in got]
+        units = [u for own in split for u in own]
+        sizes = [len(own) for own in split]
+        place = [np.arange(n, dtype=np.uint64) * np.uint64(STEP) + np.uint64(mix(k & WORD)) for n, k in zip(sizes, keys, strict=True)]
+        place = np.concatenate([np.zeros(0, np.uint64), *place])
+        if self.variants:
+            place %= np.uint64(self.variants)
+        new = list({u: None for u in units if len(u) <= LONG and u not in self.known})
+        self.known.update(zip(new, self._learn([(u, ()) for u in new]), strict=True))
+        node = np.fromiter((self.known.get(u, -1) for u in units), np.int64, len(units))
+        idx = np.empty(len(units), np.int64)
+        long = np.flatnonzero(node < 0)
+        idx[long] = self._keep([self.segment(units[i], int(place[i])) for i in long.tolist()])
+        at = np.flatnonzero(node >= 0)
+        node, key = node[at], mix(np.uint64(self.seed) ^ place[at])
+        while len(at):
+            code = self.code[node]
+            done = code < 0
+            idx[at[done]] = -1 - code[done]
+            at, node, key, code = at[~done], node[~done], key[~done], code[~done]
+            skip = mix(key ^ code.astype(np.uint64)) < np.uint64(self.limit)
+            here = node[skip]
+            missing = np.unique(here[self.skipped[here] < 0])
+            self._follow(missing)
+            node = node + 1
+            node[skip] = self.skipped[here]
+        return [self._gather(x) for x in np.split(idx, np.cumsum(sizes)[:-1])] if sizes else []
+
+    def _follow(self, nodes: np.ndarray):
+        """Work out the agendas that follow when these steps are skipped too."""
+        made = []
+        for a, d in zip(self.agenda[nodes].tolist(), self.depth[nodes].tolist(), strict=True):
+            unit, skips = self.agendas[a]
+            made.append((unit, (*skips, d)))
+        starts = self._learn(made)
+        self.skipped[nodes] = starts
 
     def _gather(self, idx: np.ndarray) -> np.ndarray:
         n = self.sizes[idx]
         ends = np.cumsum(n)
         return self.pool[np.repeat(self.starts[idx] - ends + n, n) + np.arange(ends[-1])] if len(idx) else np.zeros(0, np.int32)
 
-    def _learn(self, units: list[str], variant: int):
-        short = sorted((u for u in units if len(u) <= LONG), key=len)
-        long = [u for u in units if len(u) > LONG]
-        found = [ids for at in range(0, len(short), AT_ONCE) for ids in self.segment_many(short[at:at + AT_ONCE], variant)]
-        found += [self.segment(u, variant) for u in long]
-        if not found:
-            return
+    def _learn(self, agendas: list[tuple[str, tuple[int, ...]]]) -> np.ndarray:
+        """Add the agendas, from behind the last skipped step on; their first nodes."""
+        starts = np.zeros(len(agendas), np.int64)
+        order = sorted(range(len(agendas)), key=lambda i: len(agendas[i][0]))
+        for low in range(0, len(order), AT_ONCE):
+            part = order[low:low + AT_ONCE]
+            own = [agendas[i] for i in part]
+            base = np.array([s[-1] + 1 if s else 0 for _, s in own], np.int64)
+            forced = np.zeros((len(own), int(base.max()) + 1), bool)
+            for r, (_, s) in enumerate(own):
+                forced[r, list(s)] = True
+            found, steps, n = self._run([u for u, _ in own], lambda r, step, code, f=forced: f[r, min(step, f.shape[1] - 1)])
+            size = n - base + 1  # with the node of the result
+            ends = np.cumsum(size)
+            row = np.repeat(np.arange(len(own)), size)
+            depth = np.arange(int(ends[-1])) - np.repeat(ends - size, size) + base[row]
+            last = depth == n[row]
+            code = np.empty(len(row), np.int64)
+            code[last] = -1 - self._keep(found)
+            code[~last] = steps[((np.cumsum(n) - n)[row] + depth)[~last]]
+            while self.nodes + len(row) > len(self.code):
+                for name in ("code", "skipped", "agenda", "depth"):
+                    setattr(self, name, np.concatenate([x := getattr(self, name), np.zeros_like(x)]))
+            at = slice(self.nodes, self.nodes + len(row))
+            self.code[at], self.skipped[at], self.agenda[at], self.depth[at] = code, -1, len(self.agendas) + row, depth
+            starts[part] = self.nodes + ends - size
+            self.agendas += own
+            self.nodes += len(row)
+        return starts
+
+    def _keep(self, found: list[list[int]]) -> np.ndarray:
+        """Put results into the pool; their numbers."""
         size = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.int32, int(size.sum()))
         while self.used + len(flat) > len(self.pool):
@@ -211,9 +276,9 @@ class Dropout:
             self.sizes, self.starts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sizes, self.starts))
         at = slice(self.count, self.count + len(found))
         self.pool[self.used:self.used + len(flat)], self.sizes[at], self.starts[at] = flat, size, self.used + np.cumsum(size) - size
-        self.known[variant].update(zip(short + long, range(self.count, self.count + len(found)), strict=True))
         self.used += len(flat)
         self.count += len(found)
+        return np.arange(at.start, at.stop)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that was encoded: pieces as bytes, without the space put before it."""
@@ -231,11 +296,11 @@ def _coder(*how) -> Dropout:
     return _coders.get(how) or _coders.setdefault(how, Dropout(*how))
 
 
-def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
+def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = None,
            text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: key, ids array<int>, n_ids, ids_crc32, lossless (decoding gives the text).
 
-    Null and empty texts have no ids. A null key counts as 0 for the variant. Repeated rows get equal
+    Null and empty texts have no ids. A null key counts as 0 for the draws. Repeated rows get equal
     results; an empty table gives an empty result; further columns are not read.
     """
 

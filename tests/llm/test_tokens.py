@@ -121,6 +121,21 @@ def test_side_by_side_agenda_equals_the_heap():
         assert coder.segment_many(words, v) == [coder.segment(w, v) for w in words]
 
 
+def test_every_occurrence_has_its_own_draws():
+    coder = piece_dropout.Dropout(piece_dropout.model_path(), 0.1, 5)
+    ids = coder.encode_many(["international " * 3000, "international " * 3000, "the " * 3000], [1, 2, 3])
+    alone = [coder.segment(" international", int(x)) for x in range(3000)]
+    assert len({tuple(x) for x in alone}) > 4
+    assert ids[0].tolist() != ids[1].tolist()
+    marks = [x.tolist() for x in ids]
+    whole = coder.ids["▁the"]
+    assert 0.05 < 1 - marks[2].count(whole) / 3000 < 0.35  # a short word varies as well
+    want, k = [], piece_dropout.mix(1)
+    for i, unit in enumerate(piece_dropout.UNIT.findall(" " + "international " * 3000)):
+        want += coder.segment(unit, k + i * piece_dropout.STEP)
+    assert marks[0] == want
+
+
 def test_encode_varies_and_repeats(spark):
     text = "internationalisation of information processing " * 20
     df = spark.createDataFrame([(1, text, "x"), (1, text, "x"), (2, text, "x"), (None, None, "x"), (4, "", "x")], "doc_id long, text string, ids string")
