@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from aerostrata.llm import packing, piece_dropout
 
 ODD = ["", "  a\tb\n ﬁ ①  x", "日本語 テキスト\x00 é🙂", "a" * 300 + " " * 41 + "b", "x  \n  y ", "<s> </s> <0x0A>", "it's we'll I'M 'S ''s",
@@ -68,6 +69,12 @@ def test_pack(spark, library):
     assert packing.pack(df.limit(0), packing.tokenizer_path()).count() == 0
 
 
+def test_pipeline_returns_the_tokens(spark, library):
+    df = spark.createDataFrame([(1, "one more text"), (2, "")], "doc_id long, text string")
+    rows = {r.doc_id: r.ids for r in corpus_pipeline.sequences(spark, df, "").collect()}
+    assert rows == {1: library.encode("one more text", add_special_tokens=False).ids + [1], 2: [1]}
+
+
 @pytest.mark.parametrize("per_group", [10, 1000])
 def test_placement_wastes_little(spark, per_group):
     rng = np.random.default_rng(0)
