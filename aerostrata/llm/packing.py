@@ -8,9 +8,10 @@ emptiest bins have given all of theirs away or the group needs no more bins than
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
-from itertools import combinations
+from itertools import chain, combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,71 +27,125 @@ CACHED_WORDS = 400_000
 SLICE = 1 << 17
 # Punctuation that ends a word; without the apostrophe, which starts contractions.
 FINAL = b".,;:!?#*$%&"
+# Stands behind each plain word; no letter.
+END = b"\x00"
+
+
+def taken(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of pool that begin at starts, in a row."""
+    ends = np.cumsum(sizes)
+    return pool[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class WordCache:
-    """Token ids of texts, encoding each distinct word once.
+    """Token ids of texts, encoding a distinct word once while it stays in the cache.
 
     The tokenizer drops white space and its rules look at nothing beyond it, so a text's ids are its
     words' ids in a row. Inside a word, letters followed by final punctuation are two tokens of its
-    splitting pattern; letters alone go to the tokenizer's merging model, in its byte alphabet, and
-    everything else to the whole tokenizer. The cache starts anew when full, which bounds its memory
-    and changes no result.
+    splitting pattern. Plain letters unknown so far go to the merging model all at once, each with a
+    byte behind it that marks the end of a word; other letters go there in the model's byte alphabet, and
+    everything else to the whole tokenizer. A full cache keeps the words asked for since it was last
+    full; that bounds its memory and changes no result.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.merge, self.normal = self.tokenizer.model.tokenize, self.tokenizer.normalizer.normalize_str
         plain = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
         rest = iter(range(256, 512))
         self.alphabet = {b: b if b in plain else next(rest) for b in range(256)}
+        model = json.loads(self.tokenizer.to_str())["model"]
+        back, last = {chr(c): b for b, c in self.alphabet.items()}, model["end_of_word_suffix"]
+        raw = lambda t: bytes(back[c] for c in t.removesuffix(last)) + END * t.endswith(last)
+        # Single bytes, then single bytes at the end of a word, which form before anything else; then the merges in their order.
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + END: 256 + b for b in range(256)}
+        for pair in model["merges"]:
+            ranks.setdefault(raw("".join(pair.split(" ") if isinstance(pair, str) else pair)), len(ranks))
+        self.plain = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+        by_bytes = {raw(t): i for t, i in model["vocab"].items() if all(c in back for c in t.removesuffix(last))}
+        self.id_of = np.array([by_bytes.get(t, 0) for t in ranks], np.uint32)
+        self.ends = np.array([t.endswith(END) for t in ranks])
         self.clear()
 
-    def clear(self):
+    def clear(self, keep: dict[bytes, int] | None = None):
+        """Empty, but for the words of keep."""
+        old = (self.starts, self.sizes, self.pool) if keep else None
         self.known: dict[bytes, int] = {}
         self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.starts, self.sizes = np.zeros(CACHED_WORDS + SLICE, np.int64), np.zeros(CACHED_WORDS + SLICE, np.int64)
+        self.starts, self.sizes = np.zeros(CACHED_WORDS + 3 * SLICE, np.int64), np.zeros(CACHED_WORDS + 3 * SLICE, np.int64)
+        self.asked = np.zeros(CACHED_WORDS + 3 * SLICE, bool)
+        if keep:
+            at = np.fromiter(keep.values(), np.int64, len(keep))
+            self._add(list(keep), taken(old[2], old[0][at], old[1][at]), old[1][at])
+
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray):
+        """New words, with their ids in a row."""
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        n = len(self.known)
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+        self.starts[n:n + len(words)], self.sizes[n:n + len(words)] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def _ids(self, word: bytes) -> list[int]:
         core = word.rstrip(FINAL)
-        if core.isalpha():
-            ids = [t.id for t in self.merge(core.decode())]
-        elif core and (text := self.normal(core.decode("utf-8", "surrogatepass"))).isalpha():
+        if core and (text := self.normal(core.decode("utf-8", "surrogatepass"))).isalpha():
             ids = [t.id for t in self.merge(text.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.alphabet))]
-        else:
-            return self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
-        if len(core) == len(word):
-            return ids
-        n = self.find(word[len(core):])
-        return ids + self.pool[self.starts[n]:self.starts[n] + self.sizes[n]].tolist()
-
-    def find(self, word: bytes) -> int:
-        n = self.known.get(word)
-        if n is None:
-            ids = self._ids(word)
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            n = len(self.known)
-            self.known[word], self.starts[n], self.sizes[n] = n, self.used, len(ids)
-            self.pool[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-        return n
-
-    def encode(self, text: str | None) -> np.ndarray:
-        words, out = (text or "").encode("utf-8", "surrogatepass").lower().split(), []
+            return ids if len(core) == len(word) else ids + self._ids(word[len(core):])
+        return self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+
+    def _learn(self, words: set[bytes]):
+        """Words of letters, and those with final punctuation, are put together from what is known; the rest is encoded whole."""
+        known, cores, odd, split = self.known, {}, set(), []
+        for w in words:
+            core = w.rstrip(FINAL)
+            if core not in known and core not in cores:
+                text = core if core.isalpha() else self.normal(core.decode("utf-8", "surrogatepass")).encode("utf-8", "surrogatepass") if core else b""
+                if not (core.isalpha() or text.decode("utf-8", "surrogatepass").isalpha()):
+                    odd.add(w)
+                    continue
+                cores[core] = text
+            if len(core) < len(w):
+                end = w[len(core):]
+                split.append((w, core, end))
+                if end not in known:
+                    odd.add(end)
+        ids = [self._ids(w) for w in odd]
+        self._add(list(odd), np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64))
+        if cores:
+            got = np.array(self.plain.encode_ordinary((END.join(cores.values()) + END).decode("utf-8", "surrogatepass")))
+            self._add(list(cores), self.id_of[got], np.diff(np.flatnonzero(self.ends[got]), prepend=-1))
+        if split:
+            at = np.array([(known[c], known[end]) for _, c, end in split])
+            self._add([w for w, _, _ in split], taken(self.pool, self.starts[at.ravel()], self.sizes[at.ravel()]), self.sizes[at].sum(1))
+
+    def encode_all(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        lists = [t.lower().split() if t else [] for t in texts]
+        words, out, sizes = lists[0] if len(lists) == 1 else list(chain.from_iterable(lists)), [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), SLICE):
             some = words[at:at + SLICE]
             if len(self.known) > CACHED_WORDS:
-                self.clear()
-            idx = list(map(self.known.get, some))
-            if None in idx:
-                idx = [self.find(w) if n is None else n for w, n in zip(some, idx, strict=True)]
-            idx = np.array(idx)
-            n = self.sizes[idx]
-            ends = np.cumsum(n)
-            out.append(self.pool[np.repeat(self.starts[idx] - ends + n, n) + np.arange(ends[-1])])
-        return np.concatenate(out) if out else np.zeros(0, np.uint32)
+                hot = self.asked[:len(self.known)].tolist()
+                self.clear({w: n for w, n in self.known.items() if hot[n]} if 2 * sum(hot) <= CACHED_WORDS else None)
+            idx = np.fromiter(map(self.known.get, some, repeat(-1)), np.int64, len(some))
+            new = np.flatnonzero(idx < 0).tolist()
+            if new:
+                unknown = [some[i] for i in new]
+                self._learn(set(unknown))
+                idx[new] = [self.known[w] for w in unknown]
+            self.asked[idx] = True
+            out.append(taken(self.pool, self.starts[idx], self.sizes[idx]))
+            sizes.append(self.sizes[idx])
+        ids, ends = np.concatenate(out), np.append(0, np.cumsum(np.concatenate(sizes)))
+        cuts = ends[np.cumsum([len(x) for x in lists])].tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]  # noqa: B905
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_all([(text or "").encode("utf-8", "surrogatepass")])[0]
 
 
 _caches: dict[str, WordCache] = {}
@@ -107,11 +162,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
     def run(batches):
         cache = _caches.get(tokenizer) or _caches.setdefault(tokenizer, WordCache(tokenizer))
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
                 rows, no, start, size, crc, ids_of = [], [], [], [], [], []
-                for i, t in enumerate(part.column(1)):
-                    ids = np.append(cache.encode(t.as_py()), END_ID).astype("<u4")
+                for i, ids in enumerate(cache.encode_all(part.column(1).cast(pa.binary()).to_pylist())):
+                    ids = np.append(ids, END_ID).astype("<u4")
                     for n, s in enumerate(range(0, len(ids), capacity)):
                         x = ids[s:s + capacity]
                         rows.append(i), no.append(n), start.append(s), size.append(len(x)), crc.append(zlib.crc32(x.tobytes()))
