@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from aerostrata.llm.common import A_Z, LOWER_A_Z, stored, table
 
 MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 # A text is read in parts of about so many bytes, cut where a piece ends.
 PART = 1 << 22
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -205,6 +205,7 @@ def _advance(words: int):
             for i in range(words):
                 covered[at + i] = True
             first = at[np.unique(chosen, return_index=True)[1]]
+            del index, e, at, chosen
             starts_of = None
         ids = np.where(covered, ids, 0)
         stays = collapsed(ids)
