@@ -9,16 +9,15 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     PCA, IndexToString, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from aerostrata.ml.forests import search_forests
 from aerostrata.operators.features import feature_columns, has_rows, with_weights
 from aerostrata.operators.series import ordinal_codes
 from aerostrata.sinks.tables import read_or_none
@@ -30,6 +29,8 @@ FOLDS = 3
 SEED = 42
 CLUSTERS = 3
 ROWS_A_PART = 4000
+# So much memory lets one pass over the rows grow a whole level of all trees.
+LEVEL_MB = 1024
 
 
 class StoredModel(NamedTuple):
@@ -55,7 +56,8 @@ def classifier(train: DataFrame, label: str, features: Sequence[str], trees: int
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="_label", weightCol="weight", predictionCol="_prediction",
         probabilityCol="_probability", rawPredictionCol="_raw",
-        numTrees=trees, maxDepth=depth, maxBins=32, seed=SEED)
+        numTrees=trees, maxDepth=depth, maxBins=32, seed=SEED,
+        maxMemoryInMB=LEVEL_MB)
     names = IndexToString(inputCol="_prediction", outputCol="predicted_label",
                           labels=list(fitted.labels) + ["__unknown"])
     return Pipeline(stages=[fitted, assembler, forest, names])
@@ -90,27 +92,23 @@ def train_classifier(train: DataFrame, path: str, label: str = "aqi_category",
     # The trees read the rows once per level: keep them, in as many parts as they fill.
     parts = partitions or max(1, min(spark.sparkContext.defaultParallelism, min(total, max_rows) // ROWS_A_PART))
     rows = rows.repartition(parts, station, *order).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = rows
     summary = {"features": len(features) + 1, "mode": "grid" if search else "single", "rows": rows.count()}
     try:
         stages = classifier(rows, label, features, trees, depth)
+        indexer, assembler, forest, names = stages.getStages()
+        # Assembled and indexed once, so that a fit reads nothing but what its trees need.
+        ready = assembler.transform(indexer.transform(rows)).select("_features", "_label", "weight", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+        best, scores = {"numTrees": trees, "maxDepth": depth}, []
         if search:
-            forest = stages.getStages()[2]
-            points = ParamGridBuilder()
-            for name, values in grid.items():
-                points = points.addGrid(forest.getParam(name), list(values))
-            judge = MulticlassClassificationEvaluator(
-                labelCol="_label", predictionCol="_prediction", metricName="f1")
-            found = CrossValidator(
-                estimator=stages, estimatorParamMaps=points.build(), evaluator=judge, numFolds=FOLDS,
-                foldCol="fold", parallelism=parallelism, seed=SEED).fit(rows)
-            model, scores = found.bestModel, list(found.avgMetrics)
-            best = found.getEstimatorParamMaps()[scores.index(max(scores))]
-            summary |= {"best": {p.name: v for p, v in best.items()}, "fold_f1": scores}
-        else:
-            model = stages.fit(rows)
-            summary |= {"best": {"numTrees": trees, "maxDepth": depth}, "fold_f1": []}
+            points, scores = search_forests(ready, forest, grid, len(indexer.labels) + 1, "fold", FOLDS, parallelism)
+            best = points[scores.index(max(scores))]
+        fitted = forest.copy({forest.getParam(k): v for k, v in best.items()}).fit(ready)
+        model = PipelineModel(stages=[indexer, assembler, fitted, names])
+        summary |= {"best": best, "fold_f1": scores}
         model.write().overwrite().save(f"{path}/model")
     finally:
+        ready.unpersist()
         rows.unpersist()
     spark.createDataFrame([(json.dumps(summary),)], "summary string").write.mode("overwrite").parquet(f"{path}/summary")
     return read_model(spark, path, version)
@@ -174,13 +172,12 @@ def load_model(spark: SparkSession, base: str, stage: str = "Production") -> Sto
 
 
 def training_summary(split: DataFrame, metrics: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
-    """One row: sample counts, overall metrics and cluster sizes."""
-    overall = metrics.filter("label = 'weighted avg'").select(
-        "accuracy", "precision", "recall", F.col("f1").alias("f1_score"))
+    """One row: sample counts, overall metrics and cluster sizes. Each input is read once."""
     out = split.agg(F.count_if(F.col("split") == "train").alias("train_samples"),
                     F.count_if(F.col("split") == "test").alias("test_samples"))
-    for name in ("accuracy", "precision", "recall", "f1_score"):
-        out = out.withColumn(name, overall.select(name).scalar())
+    overall = metrics.filter("label = 'weighted avg'").select(F.struct(
+        "accuracy", "precision", "recall", F.col("f1").alias("f1_score")).alias("m"))
+    out = out.withColumn("m", overall.scalar()).select("train_samples", "test_samples", "m.*")
     if clusters is not None:
         sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).agg(
             F.array_join(F.sort_array(F.collect_list(

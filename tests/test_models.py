@@ -2,8 +2,11 @@
 
 import random
 
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from aerostrata.ml import forests as fo
 from aerostrata.ml import metrics as mm
 from aerostrata.ml import models as md
 
@@ -49,6 +52,46 @@ def test_grid_search(spark, tmp_path):
     assert all(r.predicted_label == r.aqi_category for r in md.score(df, model).collect())
 
 
+def test_a_cut_tree_predicts_like_the_counts_of_its_nodes(spark, tmp_path):
+    rnd = random.Random(3)
+    rows = [(float(rnd.random()), float(i % 7), float(rnd.random() < .3) + float(i % 7 > 3)) for i in range(400)]
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(spark.createDataFrame(rows, "a double, b double, y double"))
+    df = df.withColumn("id", F.monotonically_increasing_id()).cache()
+    path = str(tmp_path / "forest")
+    RandomForestClassifier(featuresCol="f", labelCol="y", numTrees=7, maxDepth=9, seed=1, leafCol="_leaf").fit(df).write().save(path)
+    forest = RandomForestClassificationModel.load(path)
+    depths, sizes = [0, 3, 9], [3, 7]
+    leaves = fo.cut_leaves(spark, path, depths)
+    got = {r.id: r for r in fo.cut_predictions(forest.transform(df), leaves, sizes, depths, 3, "id", ["y"]).collect()}
+    nodes = {(r.treeID, r.nodeData.id): r.nodeData for r in spark.read.parquet(f"{path}/data").collect()}
+
+    def plain(row, size, depth):
+        votes = [0.0] * 3
+        for tree in range(size):
+            node, at = nodes[tree, 0], 0
+            while node.leftChild >= 0 and at < depth:
+                value = (row.a, row.b)[node.split.featureIndex]
+                node, at = nodes[tree, node.leftChild if value <= node.split.leftCategoriesOrThreshold[0] else node.rightChild], at + 1
+            votes = [v + x / sum(node.impurityStats) for v, x in zip(votes, node.impurityStats)]
+        return float(votes.index(max(votes)))
+
+    for row in forest.transform(df).collect():
+        assert got[row.id].predictions == [plain(row, n, d) for n in sizes for d in depths]
+        assert got[row.id].predictions[-1] == row.prediction and got[row.id].y == row.y
+    counts = {(0.0, 0.0): 3, (0.0, 1.0): 1, (1.0, 1.0): 2, (2.0, 0.0): 1}
+    assert abs(fo.weighted_f1(counts) - (4 * .75 + 2 * .8) / 7) < 1e-12
+
+
+def test_points_share_their_fits(spark):
+    rows = [(float(i % 5), float(i % 5 > 2), 1.0, i % 3) for i in range(150)]
+    df = VectorAssembler(inputCols=["v"], outputCol="f").transform(spark.createDataFrame(rows, "v double, y double, weight double, fold int"))
+    forest = RandomForestClassifier(featuresCol="f", labelCol="y", weightCol="weight", seed=1)
+    points, scores = fo.search_forests(df, forest, {"numTrees": [2, 4], "maxDepth": [0, 2], "minInstancesPerNode": [1, 60]}, 2)
+    assert len(points) == len(scores) == 8 and points[1] == {"numTrees": 2, "maxDepth": 0, "minInstancesPerNode": 60}
+    by = {tuple(p.values()): s for p, s in zip(points, scores)}
+    assert by[4, 2, 1] == 1.0 > by[4, 0, 1] and by[4, 2, 60] < 1.0
+
+
 def test_a_thousand_stations(spark, tmp_path):
     rows = [(f"s{i % 1000}", i, float(i % 3), "LMH"[i % 3]) for i in range(3000)]
     df = spark.createDataFrame(rows, "station_id string, date int, v double, aqi_category string")
