@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +22,6 @@ from pyspark.sql import functions as F
 
 from aerostrata.session import run_path
 
-LEAVES = "tree int, leaf int, shares array<array<double>>"
-
-
 def cut_leaves(spark: SparkSession, path: str, depths: Sequence[int]) -> DataFrame:
     """Rows (tree, leaf, shares) of a stored forest: for each depth, the class shares of the node where the
     way to this leaf ends when the tree is cut there. Leaves are numbered in the order of the tree.
@@ -30,24 +29,23 @@ def cut_leaves(spark: SparkSession, path: str, depths: Sequence[int]) -> DataFra
     The nodes pass through the driver, which holds a fitted forest anyway.
     """
     nodes = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.leftChild", "nodeData.rightChild", "nodeData.impurityStats")
-    trees = defaultdict(dict)
-    for tree, node, left, right, stats in nodes.toLocalIterator():
-        trees[tree][node] = left, right, stats
-    rows = []
-    for tree, of in trees.items():
-        depth, ends, leaf = {0: 0}, {0: [0] * len(depths)}, 0
-        # A node's number is below those of its children.
-        for node in sorted(of):
-            left, right, _ = of[node]
-            if left < 0:
-                rows.append((tree, leaf, [[x / (sum(of[e][2]) or 1.0) for x in of[e][2]] for e in ends[node]]))
-                leaf += 1
-                continue
-            for child in (left, right):
-                depth[child] = depth[node] + 1
-                ends[child] = [child if depth[child] <= d else e for d, e in zip(depths, ends[node], strict=True)]
-    return spark.createDataFrame(rows, LEAVES)
+        "treeID", "nodeData.id", "nodeData.leftChild", "nodeData.rightChild", "nodeData.impurityStats").toArrow().sort_by([("treeID", "ascending"), ("id", "ascending")])
+    tree, own, left, right = (nodes.column(i).to_numpy() for i in range(4))
+    stats = nodes.column(4).combine_chunks().values.to_numpy().reshape(len(tree), -1)
+    stats = stats / np.maximum(stats.sum(1, keepdims=True), 1e-300)
+    first = np.searchsorted(tree, tree)  # a tree's nodes are numbered from 0
+    inner, leaf = left >= 0, np.flatnonzero(left < 0)
+    ends = np.repeat(np.flatnonzero(own == 0)[:, None], len(depths), 1)
+    at, level, reached = ends[:, 0] if len(depths) else np.flatnonzero(own == 0), 0, np.zeros((len(tree), len(depths)), np.int64)
+    while len(at):
+        reached[at] = ends
+        on, level = inner[at], level + 1
+        at, ends = at[on], ends[on]
+        at = np.concatenate([first[at] + left[at], first[at] + right[at]])
+        ends = np.where(np.array(depths) >= level, at[:, None], np.concatenate([ends, ends]))
+    shares = pa.FixedSizeListArray.from_arrays(pa.array(stats[reached[leaf]].ravel()), max(1, len(depths) * stats.shape[1])).cast(pa.list_(pa.float64()))
+    number = np.arange(len(leaf)) - np.searchsorted(tree[leaf], tree[leaf])
+    return spark.createDataFrame(pa.table({"tree": tree[leaf].astype(np.int32), "leaf": number.astype(np.int32), "shares": shares}))
 
 
 def cut_predictions(scored: DataFrame, leaves: DataFrame, sizes: Sequence[int], depths: Sequence[int], classes: int,
@@ -56,7 +54,7 @@ def cut_predictions(scored: DataFrame, leaves: DataFrame, sizes: Sequence[int],
     depth. Shares of the trees are summed; of equal sums the first class wins."""
     reached = scored.select(key, *keep, F.posexplode(vector_to_array("_leaf")).alias("_tree", "_at"))
     met = reached.join(leaves, (F.col("_tree") == F.col("tree")) & (F.col("_at").cast("int") == F.col("leaf")))
-    votes = [F.array(*[F.sum(F.when(F.col("_tree") < n, F.col("shares")[d][c]).otherwise(0.0)) for c in range(classes)])
+    votes = [F.array(*[F.sum(F.when(F.col("_tree") < n, F.col("shares")[d * classes + c]).otherwise(0.0)) for c in range(classes)])
              for n in sizes for d in range(len(depths))]
     summed = met.groupBy(key, *keep).agg(F.array(*votes).alias("_votes"))
     return summed.select(key, *keep, F.transform("_votes", lambda v: (F.array_position(v, F.array_max(v)) - 1).cast("double")).alias("predictions"))

@@ -57,7 +57,7 @@ def classifier(train: DataFrame, label: str, features: Sequence[str], trees: int
         featuresCol="_features", labelCol="_label", weightCol="weight", predictionCol="_prediction",
         probabilityCol="_probability", rawPredictionCol="_raw",
         numTrees=trees, maxDepth=depth, maxBins=32, seed=SEED,
-        maxMemoryInMB=LEVEL_MB)
+        maxMemoryInMB=LEVEL_MB, cacheNodeIds=True)
     names = IndexToString(inputCol="_prediction", outputCol="predicted_label",
                           labels=list(fitted.labels) + ["__unknown"])
     return Pipeline(stages=[fitted, assembler, forest, names])

@@ -46,16 +46,12 @@ def stream_features(df: DataFrame, impute: bool = True, chunk: str = "day",
                     digits: int | None = None, medians: DataFrame | None = None) -> DataFrame:
     """Windowed features: imputed measures and calendar parts with the hour.
 
-    A micro-batch holds no history.  So with `medians`, those a model was trained with, nulls take
-    the station's median at once, in training and in scoring alike; without them the trailing
-    mean comes first.
+    Nulls take the trailing mean over the station's windows, then its median: of `medians`, those a
+    model was trained with, or of the windows given. A micro-batch brings the windows before it along.
     """
-    if medians is not None:
-        joined = df.join(medians, "station_id", "left")
-        df = joined.withColumns({c: F.coalesce(c, f"_median_{c}") for c in STREAM_MEASURES}).select(*df.columns)
-    elif impute:
-        df = impute_rolling_median(df, STREAM_MEASURES, order=["window_start"],
-                                   rows=IMPUTE_ROWS, chunk=chunk, digits=digits)
+    if impute or medians is not None:
+        df = impute_rolling_median(df, STREAM_MEASURES, order=["window_start"], rows=IMPUTE_ROWS,
+                                   chunk=chunk, digits=digits, medians=medians)
     else:
         df = df.fillna(0, subset=STREAM_MEASURES)
     return calendar_features(df, "window_start", hour=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerostrata.operators.aggregate import window_agg
 from aerostrata.operators.joins import latest
-from aerostrata.sinks.tables import read_or_none as _read_or_none
 
 WINDOW_KEYS = ("station_id", "window_start")
 
@@ -22,42 +22,95 @@ def windowed(df: DataFrame, time_col: str = "event_time", watermark: str = "10 m
     return window_agg(df.withWatermark(time_col, watermark), time_col, window, slide, digits=digits)
 
 
-VERSION_LOG = "run_id long, query string, batch_id long"
+# --- store of window versions ----------------------------------------------------------
+#
+# <path>/data/level=L/run_id=R/batch_id=B/date=D holds the windows of one micro-batch (level 0) or of
+# several merged ones; <path>/manifest/N.json names the folders that count. A manifest is written whole
+# and never changed, so a reader sees either the folders before a merge or those after it.
+
+# So many folders of one level become one of the next; a replaced folder or manifest stays for so many more writes.
+MERGE, KEEP = 16, 32
+
+
+def _fs(spark: SparkSession, path: str):
+    """The file system of a path, and its path type."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    fs, make = _fs(spark, path)
+    folder = make(f"{path}/manifest")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    """The newest manifest: number, run of every query, live folders and those that only slow readers still use."""
+    found = _numbers(spark, path)
+    if not found:
+        return {"number": 0, "runs": {}, "folders": [], "retired": []}
+    fs, make = _fs(spark, path)
+    stream = fs.open(make(f"{path}/manifest/{found[-1]}.json"))
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, path: str, manifest: dict) -> dict:
+    """The manifest stored under the next number, in one rename; what nobody should read any more is deleted."""
+    fs, make = _fs(spark, path)
+    number = manifest["number"] + 1
+    gone = [r for r in manifest["retired"] if r["at"] < number - KEEP]
+    manifest = manifest | {"number": number, "retired": [r for r in manifest["retired"] if r not in gone]}
+    part = make(f"{path}/manifest/{number}.part")
+    out = fs.create(part, True)
+    out.write(json.dumps(manifest).encode())
+    out.close()
+    if not fs.rename(part, make(f"{path}/manifest/{number}.json")):
+        raise RuntimeError(f"another writer stored manifest {number} of {path}")
+    for r in gone:
+        fs.delete(make(f"{path}/data/{r['path']}"), True)
+    for old in _numbers(spark, path):
+        if old < number - KEEP:
+            fs.delete(make(f"{path}/manifest/{old}.json"), False)
+    return manifest
 
 
 def newest_stored(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    """Highest (run, batch) in the store, from its log of versions; None if nothing is stored."""
-    log = _read_or_none(spark, f"{path}/log")
-    top = log.agg(F.max(F.struct("run_id", "batch_id")).alias("top")).first()["top"] if log is not None else None
-    return (top["run_id"], top["batch_id"]) if top else None
+    """Highest (run, batch) in the store; None if nothing is stored."""
+    return max(((f["run"], f["batch"]) for f in read_manifest(spark, path)["folders"]), default=None)
 
 
-def _run_of(spark: SparkSession, path: str, query: str) -> int:
-    """Number of the query's run: its own if it has stored before, else above all others.
+def _folder(level: int, run: int, batch: int) -> str:
+    return f"level={level}/run_id={run}/batch_id={batch}"
 
-    A query keeps its identity as long as its checkpoint; one with a new checkpoint counts
-    batches from 0 again and is a later run.
-    """
-    log = _read_or_none(spark, f"{path}/log")
-    if log is None:
-        return 0
-    found = log.agg(F.max(F.when(F.col("query") == query, F.col("run_id"))).alias("own"), F.max("run_id").alias("top")).first()
-    return found["own"] if found["own"] is not None else found["top"] + 1
+
+def _store(rows: DataFrame, path: str, folder: str) -> None:
+    """Rows brought together by date first: one file for each date they touch."""
+    rows.withColumn("date", F.to_date("window_start")).hint("rebalance", "date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy("date").parquet(f"{path}/data/{folder}")
 
 
 def write_version(batch: DataFrame, batch_id: int, path: str, query: str | None = None) -> None:
     """Store one micro-batch's changed windows as a version of their own, by date of the window.
 
-    A replayed batch overwrites its own folder, so the table never holds it twice. The rows are
-    brought together by date first: a batch adds one file per date it touches.
+    A query keeps its run as long as its checkpoint; one with a new checkpoint counts batches from 0
+    again and is a later run. A batch that is run again overwrites its own folder, and is left as it is once
+    that has been merged. One small manifest is read and one written, however long the stream has run.
     """
     spark = batch.sparkSession
     query = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-    run = _run_of(spark, path, query)
-    day = F.to_date("window_start").alias("date")
-    batch.select("*", day).hint("rebalance", "date").write.mode("overwrite").option(
-        "partitionOverwriteMode", "static").partitionBy("date").parquet(f"{path}/data/run_id={run}/batch_id={batch_id}")
-    spark.createDataFrame([(run, query, batch_id)], VERSION_LOG).coalesce(1).write.mode("append").parquet(f"{path}/log")
+    manifest = read_manifest(spark, path)
+    run = manifest["runs"].get(query, max(manifest["runs"].values(), default=-1) + 1)
+    merged = max((f["batch"] for f in manifest["folders"] if f["level"] and f["run"] == run), default=-1)
+    if batch_id <= merged:
+        return
+    new = {"path": _folder(0, run, batch_id), "level": 0, "run": run, "batch": batch_id}
+    _store(batch, path, new["path"])
+    folders = [f for f in manifest["folders"] if f != new] + [new]
+    compact(spark, path, _commit(spark, path, manifest | {"runs": manifest["runs"] | {query: run}, "folders": folders}))
 
 
 def latest_versions(versions: DataFrame, keys: Sequence[str] = WINDOW_KEYS) -> DataFrame:
@@ -66,24 +119,39 @@ def latest_versions(versions: DataFrame, keys: Sequence[str] = WINDOW_KEYS) -> D
     return latest(versions, keys, order)
 
 
+def _read(spark: SparkSession, path: str, folders: Sequence[dict]) -> DataFrame:
+    return spark.read.option("basePath", f"{path}/data").parquet(*[f"{path}/data/{f['path']}" for f in folders])
+
+
 def read_windows(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
     """Newest version of every window; dates outside [since, until] are not read."""
-    versions = spark.read.parquet(f"{path}/data")
+    versions = _read(spark, path, read_manifest(spark, path)["folders"])
     if since:
         versions = versions.filter(F.col("date") >= F.lit(since).cast("date"))
     if until:
         versions = versions.filter(F.col("date") <= F.lit(until).cast("date"))
-    return latest_versions(versions).drop("date", "run_id", "batch_id")
+    return latest_versions(versions).drop("date", "level", "run_id", "batch_id")
+
 
+def compact(spark: SparkSession, path: str, manifest: dict | None = None, merge: int | None = None) -> None:
+    """Merge folders in place, `merge` of a level into one of the next, with a single version per window.
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite a versioned table as one of a single version per window, into an empty folder."""
-    newest = newest_stored(spark, path)
-    if newest:
-        rows = read_windows(spark, path).withColumn("date", F.to_date("window_start"))
-        rows.hint("rebalance", "date").write.partitionBy("date").parquet(
-            f"{target}/data/run_id={newest[0]}/batch_id={newest[1]}")
-        spark.read.parquet(f"{path}/log").coalesce(1).write.parquet(f"{target}/log")
+    Folders of a level follow each other, so the merged one counts as the newest of them. A row is
+    rewritten once a level, and a store of n batches has fewer than merge x (1 + log n) folders.
+    """
+    manifest, merge, level = manifest or read_manifest(spark, path), merge or MERGE, 0
+    while True:
+        some = sorted((f for f in manifest["folders"] if f["level"] == level), key=lambda f: (f["run"], f["batch"]))
+        if len(some) >= merge:
+            top = some[-1]
+            into = {"path": _folder(level + 1, top["run"], top["batch"]), "level": level + 1, "run": top["run"], "batch": top["batch"]}
+            _store(latest_versions(_read(spark, path, some)).drop("date", "level", "run_id", "batch_id"), path, into["path"])
+            manifest = _commit(spark, path, manifest | {
+                "folders": [f for f in manifest["folders"] if f not in some] + [into],
+                "retired": manifest["retired"] + [{"path": f["path"], "at": manifest["number"] + 1} for f in some]})
+        elif all(f["level"] <= level for f in manifest["folders"]):
+            return
+        level += 1
 
 
 def start(df: DataFrame, sink, checkpoint: str, mode: str = "update",

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from aerostrata.operators.aggregate import window_agg
 from aerostrata.operators.alerts import AlertRule, sustained_alerts
 from aerostrata.operators.quality import dedup_stream
-from aerostrata.schema import AVERAGED
+from aerostrata.operators.features import stream_features
+from aerostrata.schema import AVERAGED, STREAM_MEASURES
 from aerostrata.streaming import decode as dc
+from aerostrata.streaming import scoring as ss
 from aerostrata.streaming import windows as sw
 from aerostrata.streaming.alerts import alert_stream
 
@@ -47,11 +49,61 @@ def test_window_stream_equals_batch_and_restarts_cleanly(spark, tmp_path):
     want = window_agg(df.unionByName(second), "event_time")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want.select(*got.columns)).count() == 0
-    sw.compact(spark, out, str(tmp_path / "small"))
-    assert spark.read.parquet(str(tmp_path / "small/data")).count() == got.count()
-    assert sw.read_windows(spark, str(tmp_path / "small")).exceptAll(got).count() == 0
-    batches = {(r.run_id, r.batch_id) for r in spark.read.parquet(f"{out}/log").collect()}
-    assert len({r for r, _ in batches}) == 1
+    assert len({f["run"] for f in sw.read_manifest(spark, out)["folders"]}) == 1
+
+
+def test_a_store_stays_small_and_right_while_it_is_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sw, "MERGE", 3)
+    monkeypatch.setattr(sw, "KEEP", 4)
+    out, want, early = str(tmp_path / "out"), {}, None
+    for i in range(30):
+        rows = [(s, BASE + dt.timedelta(minutes=5 * (i // 2)), float(i)) for s in "ab"[:1 + i % 2]]
+        df = spark.createDataFrame(rows, "station_id string, window_start timestamp, v double").coalesce(1)
+        sw.write_version(df, i, out, "q")
+        want |= {(s, t): v for s, t, v in rows}
+        if i == 26:
+            early, then = sw.read_windows(spark, out), dict(want)
+        if i == 28:
+            assert {(r.station_id, r.window_start): r.v for r in early.collect()} == then
+    read = lambda: {(r.station_id, r.window_start): r.v for r in sw.read_windows(spark, out).collect()}
+    assert read() == want
+    manifest = sw.read_manifest(spark, out)
+    assert len(manifest["folders"]) <= 2 * 4 and max(f["level"] for f in manifest["folders"]) == 3
+    assert len(list((tmp_path / "out" / "manifest").glob("*.json"))) <= 6
+    assert len(list((tmp_path / "out" / "data").glob("level=*/run_id=*/batch_id=*"))) <= len(manifest["folders"]) + len(manifest["retired"])
+    # A batch run again once it is merged changes nothing; the newest one, and one of a new checkpoint, count.
+    again = spark.createDataFrame([("a", BASE, -1.0)], "station_id string, window_start timestamp, v double")
+    merged = max(f["batch"] for f in manifest["folders"] if f["level"])
+    sw.write_version(again, merged, out, "q")
+    assert read() == want
+    sw.write_version(again, 0, out, "another checkpoint")
+    assert read() == want | {("a", BASE): -1.0} and sw.newest_stored(spark, out) == (1, 0)
+
+
+def test_trailing_means_of_a_stream_equal_batch(spark):
+    """Windows arrive in any order over batches, with nulls; every score follows the whole series."""
+    import random
+    rnd = random.Random(4)
+    schema = "station_id string, window_start timestamp, " + ", ".join(f"{c} double" for c in STREAM_MEASURES)
+    steps, tail, features = [], None, {}
+    at = lambda m: BASE + dt.timedelta(minutes=5 * m)
+    for i in range(5):
+        steps.append([(s, at(4 * i + j + back), *[None if rnd.random() < .5 else rnd.random() for _ in STREAM_MEASURES])
+                      for s in "ab" for j, back in ((0, 0), (1, -3 if i else 0), (2, 0), (3, 0))])
+    final, medians = {}, spark.createDataFrame([(s, *[9.0] * len(STREAM_MEASURES)) for s in "ab"],
+                                               "station_id string, " + ", ".join(f"_median_{c} double" for c in STREAM_MEASURES))
+    for rows in steps:
+        final |= {r[:2]: r for r in rows}
+        batch = spark.createDataFrame(list({r[:2]: r for r in rows}.values()), schema)
+        seen, renewed = ss.with_tail(batch, tail)
+        tail = spark.createDataFrame(renewed.collect(), schema)
+        made = stream_features(seen.drop("_again"), medians=medians).join(seen.filter("_again").select("station_id", "window_start"), ["station_id", "window_start"], "left_semi")
+        features |= {(r.station_id, r.window_start): tuple(r[c] for c in STREAM_MEASURES) for r in made.collect()}
+    whole = stream_features(spark.createDataFrame(list(final.values()), schema), medians=medians)
+    want = {(r.station_id, r.window_start): tuple(r[c] for c in STREAM_MEASURES) for r in whole.collect()}
+    assert features.keys() == want.keys()
+    assert all(abs(x - y) < 1e-9 for k in want for x, y in zip(features[k], want[k]))
+    assert tail.groupBy("station_id").count().filter(f"count > {ss.TAIL}").count() == 0
 
 
 def test_a_new_checkpoint_counts_as_newer(spark, tmp_path):
