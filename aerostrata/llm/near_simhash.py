@@ -6,8 +6,8 @@ meets at a value is linked. Meeting fingerprints all lie in one ball, so a group
 members as a ball has values (65 for r = 1), and a star onto its smallest member links all of it.
 
 `keep_one` looks for texts whose sets of shingles are similar. Their long fingerprints differ in too
-many bits for a ball, so each text has several short independent ones with a ball each; what meets in
-any of them is a candidate, and the shingles themselves decide.
+many bits for a ball, so each text has several short independent ones with a ball each, and a min-hash beside
+each that keeps unrelated texts apart; what meets in any of them is a candidate, and the shingles decide.
 """
 
 from __future__ import annotations
@@ -27,12 +27,13 @@ from aerostrata.llm.piece_dropout import mix
 
 SEED = 42
 CHUNK = 1 << 15
-# Of keep_one: two texts at the threshold differ in about 15 % of their bits and meet in one of the
-# tables with 98 %. Members of one meeting point are compared with the NEIGHBOURS before them and, in
-# larger ones, with its first LEADERS.
+# Of keep_one. A table's key is a min-hash (equal with 80 % at the threshold) and a SimHash of BITS bits, of which texts
+# at the threshold differ in 15 %: with a ball of one bit each they meet in a table with 58 %, in one of the tables
+# with 99 %. The min-hash has 64 bits, so texts meet only if they share a shingle, however many there are.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
-TABLES, BITS = 10, 22
-NEIGHBOURS, LEADERS = 31, 4
+TABLES, BITS = 6, 12
+# Texts that meet in one task at most, about.
+CROWD = 4096
 
 
 def shingle_hashes(words: list[bytes], shingle_words: int) -> np.ndarray:
@@ -47,19 +48,19 @@ def shingle_hashes(words: list[bytes], shingle_words: int) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1:].tolist(), strict=True)), np.uint64, len(starts)))
 
 
-def short_fingerprints(hashes: np.ndarray, tables: int, bits: int) -> tuple[int, list[int]]:
-    """A check of 64 bits and one fingerprint a table, the table's number above its bits; all bits are independent."""
-    n = -(-tables * bits // 64) + 1
-    out = []
-    for word in range(n):
+def short_fingerprints(hashes: np.ndarray, tables: int, bits: int) -> tuple[int, list[int], list[int]]:
+    """A check of 64 bits, and for each table a min-hash and a SimHash of `bits` bits; all are independent."""
+    words, out = -(-tables * bits // 64) + 1, []
+    salted = lambda n: (mix(hashes[at:at + CHUNK] + np.uint64((n + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) for at in range(0, len(hashes), CHUNK))
+    for word in range(words):
         ones = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), CHUNK):
-            part = mix(hashes[at:at + CHUNK] + np.uint64((word + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        for part in salted(word):
             ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
         out.append(2 * ones > len(hashes))
     check = int(np.packbits(out[0], bitorder="little").view("<i8")[0])
     rows = np.concatenate(out[1:])[: tables * bits].reshape(tables, bits).astype(np.int64)
-    return check, ((np.arange(tables) << bits) + (rows << np.arange(bits)).sum(1)).tolist()
+    mins = [int(min(part.min() for part in salted(words + t)).view(np.int64)) for t in range(tables)]
+    return check, mins, (rows << np.arange(bits)).sum(1).tolist()
 
 
 def simhash(text: str | None, shingle_words: int = 3) -> int:
@@ -140,53 +141,80 @@ def _words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def _met(variant: np.ndarray, same: np.ndarray, check: np.ndarray, old: int, most: int) -> np.ndarray:
-    """Pairs (rows u, v) of members of one meeting point whose checks differ in at most `most` bits,
-    each found from its later member, at or after row `old`. Rows are sorted by variant."""
-    out = [np.zeros((0, 2), np.int64)]
-    at = np.arange(old, len(variant))
+def _met(same: np.ndarray, check: np.ndarray, leaders: list[tuple[int, int]], most: int) -> list[np.ndarray]:
+    """Pairs (rows of two) of the members of one meeting point whose checks differ in at most `most` bits: each with the
+    first leader it is close to and with the member before it. Who is close to no leader becomes one.
 
-    def compare(i, j):
-        close = np.bitwise_count((check[i] ^ check[j]).view(np.uint64)) <= most  # of signed numbers it counts the absolute value
-        out.append(np.stack([same[i[close]], same[j[close]]], 1))
-
-    for d in range(1, NEIGHBOURS + 1):
-        at = at[at >= d]
-        at = at[variant[at] == variant[at - d]]
-        compare(at, at - d)
-    first = np.searchsorted(variant, variant[at])
-    for k in range(LEADERS):
-        far = first + k < at - NEIGHBOURS
-        compare(at[far], first[far] + k)
-    pairs = np.concatenate(out)
-    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    return np.unique(np.sort(pairs, 1), axis=0)
-
-
-def candidates(classes: DataFrame, tables: int, bits: int, similarity: float) -> DataFrame:
-    """classes (same, check, fps) to distinct rows (u, v), u < v, that meet in a table and may be similar."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    most = math.floor(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
-    masks = F.lit([0, *(1 << b for b in range(bits))])
-    variants = classes.select(F.explode(F.flatten(F.transform("fps", lambda f: F.transform(masks, lambda m: f.bitwiseXOR(m))))).alias("variant"),
-                              "same", "check")
+    `leaders` (same, check) may hold those of earlier members, and is added to.
+    """
+    out, left = [], np.arange(len(same))
+    close = lambda x, y: np.bitwise_count((x ^ y).view(np.uint64)) <= most  # noqa: E731  of signed numbers it counts the absolute value
+    near = np.flatnonzero(close(check[1:], check[:-1]))
+    out.append(np.stack([same[near], same[near + 1]], 1))
+    at = 0
+    while len(left):
+        if at == len(leaders):
+            leaders.append((int(same[left[0]]), int(check[left[0]])))
+        on = close(check[left], np.full(len(left), leaders[at][1], np.int64))
+        out.append(np.stack([np.full(on.sum(), leaders[at][0], np.int64), same[left[on]]], 1))
+        left, at = left[~on], at + 1
+    return out
+
+
+def meetings(members: DataFrame, most: int) -> DataFrame:
+    """members (point, same, check) to rows (u, v), u < v: at most two a member and point."""
 
     def run(batches):
-        kept = [np.zeros(0, np.int64)] * 3
+        point, leaders, last = None, [], None
         for b in batches:
-            old = len(kept[0])
-            variant, same, check = (np.concatenate([k, c.to_numpy()]) for k, c in zip(kept, b.columns, strict=True))
-            if not len(variant):
+            points, same, check = (c.to_numpy() for c in b.columns)
+            if not len(points):
                 continue
-            pairs = _met(variant, same, check, old, most)
+            starts = np.append(np.flatnonzero(np.append(True, points[1:] != points[:-1])), len(points))
+            shared = np.flatnonzero((np.diff(starts) > 1) | (points[starts[:-1]] == point))
+            out = [np.zeros((0, 2), np.int64)]
+            for i in np.union1d(shared, [len(starts) - 2]).tolist():
+                part = slice(starts[i], starts[i + 1])
+                own_s, own_c = same[part], check[part]
+                if points[starts[i]] == point:
+                    own_s, own_c = np.append(last[0], own_s), np.append(last[1], own_c)
+                else:
+                    leaders = []
+                out += _met(own_s, own_c, leaders, most)
+                point, last = points[starts[i]], (own_s[-1], own_c[-1])
+            pairs = np.concatenate(out)
+            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+            pairs = np.unique(np.sort(pairs, 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
-            # The next batch may carry on the last meeting point: its leaders and last members stay.
-            first = int(np.searchsorted(variant, variant[-1]))
-            stay = np.union1d(np.arange(first, min(first + LEADERS, len(variant))), np.arange(max(first, len(variant) - NEIGHBOURS), len(variant)))
-            kept = [x[stay] for x in (variant, same, check)]
 
-    met = variants.repartition("variant").sortWithinPartitions("variant", "same").mapInArrow(run, "u long, v long")
-    return met.distinct()
+    return members.select("point", "same", "check").repartition("point").sortWithinPartitions("point", "check", "same").mapInArrow(run, "u long, v long")
+
+
+def candidates(classes: DataFrame, bits: int, similarity: float) -> DataFrame:
+    """classes (same, check, mins, bits) to distinct rows (u, v), u < v, that meet in a table and may be similar.
+
+    Texts equal in a table's min-hash and SimHash meet first. One of them then emits all values within one bit
+    to meet the others with this min-hash, if there are any. So pairs are in proportion to the texts, whatever
+    the size of a group.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    most = math.floor(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
+    masks = F.lit([0, *(1 << b for b in range(bits))])
+    tables = classes.select("same", "check", F.posexplode(F.arrays_zip("mins", "bits")).alias("t", "x")).select(
+        "same", "check", F.xxhash64("t", "x.mins").alias("base"), F.col("x.bits").alias("f"))
+    tables = stored(tables, "similar-tables")
+    # A crowded key is dealt by a hash of the text; the first of each share meet again under the key itself.
+    crowds = tables.groupBy("base", "f").agg(F.ceil(F.count("*") / CROWD).alias("shares")).filter("shares > 1")
+    dealt = tables.join(crowds, ["base", "f"], "left").withColumn("share", F.coalesce(F.pmod(F.xxhash64("same"), "shares"), F.lit(-1)))
+    firsts = dealt.filter("share >= 0").groupBy("base", "f", "share").agg(F.min(F.struct("same", "check")).alias("rep"))
+    equal = meetings(dealt.withColumn("point", F.xxhash64("base", "f", "share")), most).union(
+        meetings(firsts.select(F.xxhash64("base", "f").alias("point"), "rep.same", "rep.check"), most))
+    reps = tables.groupBy("base", "f").agg(F.min(F.struct("same", "check")).alias("rep"))
+    several = reps.groupBy("base").agg(F.count("*").alias("n")).filter("n > 1").select("base")
+    variants = (reps.join(several, "base").select("base", "f", "rep.same", "rep.check")
+                .select("same", "check", "base", F.explode(F.transform(masks, lambda m: F.col("f").bitwiseXOR(m))).alias("value"))
+                .withColumn("point", F.xxhash64("base", "value")))
+    return equal.union(meetings(variants, most)).distinct()
 
 
 def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle_words: int = SHINGLE_WORDS,
@@ -205,9 +233,9 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shi
         for b in batches:
             words = [_words(t) for t in b.column(1).to_pylist()]
             same = np.array([xxhash.xxh64_intdigest(b" ".join(w), SEED) for w in words], np.uint64).view(np.int64)
-            marks = [short_fingerprints(shingle_hashes(w, shingle_words), tables, bits) if w else (0, []) for w in words]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same), pa.array([c for c, _ in marks], pa.int64()),
-                                              pa.array([f for _, f in marks], pa.list_(pa.int64()))], names=["key", "same", "check", "fps"])
+            marks = [short_fingerprints(shingle_hashes(w, shingle_words), tables, bits) if w else (0, [], []) for w in words]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same), pa.array([m[0] for m in marks], pa.int64()),
+                                              *(pa.array([m[i] for m in marks], pa.list_(pa.int64())) for i in (1, 2))], names=["key", "same", "check", "mins", "bits"])
 
     def sets(batches):
         for b in batches:
@@ -219,17 +247,18 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shi
                                              names=["same", "shingles"])
 
     schema = T.StructType([T.StructField("key", kind), T.StructField("same", T.LongType()), T.StructField("check", T.LongType()),
-                           T.StructField("fps", T.ArrayType(T.LongType()))])
+                           T.StructField("mins", T.ArrayType(T.LongType())), T.StructField("bits", T.ArrayType(T.LongType()))])
     marked = stored(plain.mapInArrow(mark, schema), "similar-marks")
-    classes = stored(marked.groupBy("same").agg(F.min("key").alias("first"), F.min("check").alias("check"), F.first("fps").alias("fps")), "similar-classes")
-    pairs = stored(candidates(classes.filter(F.col("first").isNotNull()), tables, bits, similarity), "similar-pairs")
+    classes = stored(marked.groupBy("same").agg(F.min("key").alias("first"), F.min("check").alias("check"), F.first("mins").alias("mins"), F.first("bits").alias("bits")), "similar-classes")
+    pairs = stored(candidates(classes.filter(F.col("first").isNotNull()), bits, similarity), "similar-pairs")
     needed = pairs.select(F.col("u").alias("same")).union(pairs.select(F.col("v").alias("same"))).distinct()
     needed = stored(classes.join(needed, "same").select("same", "first"), "similar-needed")
     found = plain.join(needed, F.col("key") == F.col("first")).select("same", "text").mapInArrow(sets, "same long, shingles array<long>")
     found = stored(found.dropDuplicates(["same"]), "similar-shingles")
     left, right = found.select(F.col("same").alias("u"), F.col("shingles").alias("a")), found.select(F.col("same").alias("v"), F.col("shingles").alias("b"))
     common, both = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
-    links = pairs.join(left, "u").join(right, "v").filter(common >= F.lit(similarity) * (both - common)).select("u", "v")
+    # The smaller of a pair leads it, and has many: the other's shingles are sent to it.
+    links = pairs.join(right, "v").join(left, "u").filter(common >= F.lit(similarity) * (both - common)).select("u", "v")
     roots = components(links, "similar")
     placed = stored(classes.join(roots.withColumnRenamed("node", "same"), "same", "left")
                     .select("same", "first", F.coalesce("root", "same").alias("root")), "similar-placed")

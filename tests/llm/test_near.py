@@ -7,6 +7,7 @@ import pytest
 import xxhash
 
 from aerostrata.llm.common import components
+from aerostrata.llm import near_simhash
 from aerostrata.llm.near_simhash import ball_links, keep_one, near_duplicates, similar_groups, simhash
 from aerostrata.llm.near_vectors import codes, hadamard, near_vectors
 
@@ -86,7 +87,9 @@ def jaccard(a, b):
     return len(a & b) / len(a | b)
 
 
-def test_keep_one_finds_planted_near_copies(spark):
+@pytest.mark.parametrize("crowd", [4096, 8])
+def test_keep_one_finds_planted_near_copies(spark, monkeypatch, crowd):
+    monkeypatch.setattr(near_simhash, "CROWD", crowd)
     rng = random.Random(8)
     vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
     texts = []
@@ -114,6 +117,16 @@ def test_keep_one_finds_planted_near_copies(spark):
     assert {r.doc_id for r in keep_one(df).collect()} == {i for i, g in group.items() if i == g}
 
 
+def test_pairs_of_a_meeting_point():
+    rng = np.random.default_rng(1)
+    centres = rng.integers(0, 1 << 62, 5)
+    checks = np.concatenate([c ^ (1 << rng.integers(0, 62, 50)) for c in centres])
+    same, leaders = rng.permutation(10**6)[:250], []
+    pairs = np.concatenate(near_simhash._met(same[:100], checks[:100], leaders, 4) + near_simhash._met(same[100:], checks[100:], leaders, 4))
+    assert len(leaders) == 5 and len(pairs) <= 2 * 250
+    assert roots(same.tolist(), [tuple(x) for x in pairs.tolist()]) == {int(s): int(same[i // 50 * 50:i // 50 * 50 + 50].min()) for i, s in enumerate(same)}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
