@@ -603,11 +603,11 @@ _STATIONS = (f"WITH volume AS ({VOLUME}), vi AS ({_indexed('volume')}), vc AS (S
              "stations AS (SELECT DISTINCT station_id FROM vc)")
 ORACLES["train_classifier"] = f"""WITH {_SPLIT} SELECT count(*) FILTER (split = 'test') AS test_samples,
     {len(DAILY_MEASURES) + sum(map(len, LAGS.values())) + len(ROLLINGS) + 4 + 1 + 1} AS features, 12 AS grid_points, TRUE AS labels_known,
-    TRUE AS confidence_in_range, TRUE AS f1_in_range, TRUE AS search_recorded FROM split"""
+    TRUE AS confidence_in_range, TRUE AS f1_high, TRUE AS search_recorded FROM split"""
 ORACLES["training_summary"] = f"""{_STATIONS}, {_SPLIT} SELECT count(*) FILTER (split = 'train') AS train_samples,
     count(*) FILTER (split = 'test') AS test_samples, (SELECT count(*) FROM stations) AS clustered, 3 AS clusters,
-    TRUE AS accuracy_in_range, TRUE AS precision_in_range, TRUE AS recall_in_range, TRUE AS f1_score_in_range FROM split"""
-ORACLES["batch_scores"] = """SELECT station_id, date, pm25_avg, pm10_avg, TRUE AS label_known, TRUE AS confidence_in_range,
+    TRUE AS accuracy_high, TRUE AS precision_high, TRUE AS recall_high, TRUE AS f1_score_high FROM split"""
+ORACLES["batch_scores"] = """SELECT station_id, date, pm25_avg, pm10_avg, TRUE AS label_right, TRUE AS confidence_in_range,
     '1' AS model_version FROM imputed QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY date DESC) = 1"""
 ORACLES["station_clusters"] = f"""{_STATIONS} SELECT count(*) AS stations, 3 AS clusters, 0 AS nearer_to_another,
     TRUE AS ranked_by_index FROM stations"""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from aerostrata.operators.joins import insert_if_absent
 from aerostrata.schema import READINGS_CSV
+from aerostrata.session import materialized
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("date",),
@@ -36,20 +39,30 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 def append_absent(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column],
                   by: Sequence[str] = ("date",)) -> None:
-    """Append the rows whose key the table at `path` does not hold yet.
+    """Append the rows whose key the table at `path` does not hold yet; may be run again.
 
-    The first of `by` must be among the keys: of the stored table only the partitions between
-    the lowest and highest value in `new` are read.
+    The partitions that gain rows are staged with what they hold already and then replaced, so an append that is repeated, or
+    that follows one which failed half way, leaves one row per key. The first of `by` must be among
+    the keys: of the stored table only partitions between the lowest and highest value in `new`
+    are read. `new` is computed once. Writers of the same partitions must take turns.
     """
     spark = new.sparkSession
+    new = materialized(new)
     stored = read_or_none(spark, path)
     if stored is None:
         stored = spark.createDataFrame([], new.schema)
     elif by and by[0] in keys:
-        ends = [new.agg(f(by[0])).scalar() for f in (F.min, F.max)]
-        stored = stored.filter((F.col(by[0]) >= ends[0]) & (F.col(by[0]) <= ends[1]))
-    added = insert_if_absent(new, stored, keys, order)
-    added.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
+        ends = new.agg(F.min(by[0]).alias("low"), F.max(by[0]).alias("high"))
+        low, high = (ends.select(c).scalar() for c in ("low", "high"))
+        stored = stored.filter(F.col(by[0]).between(low, high) | F.col(by[0]).isNull())
+    if not by:
+        insert_if_absent(new, stored, keys, order).write.mode("append").parquet(path)
+        return
+    added = materialized(insert_if_absent(new, stored, keys, order))
+    touched = added.select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    held = stored.join(touched, same, "left_semi").select(*added.columns)
+    write_partitioned(materialized(added.unionByName(held)), path, by)
 
 
 def write_readings_csv(df: DataFrame, path: str) -> None:

@@ -1,7 +1,9 @@
 """Files in and out, nested feeds, logs, joins and audit rows."""
 
+import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -165,3 +167,29 @@ def test_predictions_are_appended_with_version(spark, tmp_path):
         sk.write_predictions(df, str(tmp_path / "p"), v)
     rows = spark.read.parquet(str(tmp_path / "p")).collect()
     assert sorted(r.model_version for r in rows) == ["1", "2"] and all(r.created_at for r in rows)
+
+
+def test_append_may_be_run_again(spark, tmp_path, monkeypatch):
+    from aerostrata.sinks import tables
+    day = lambda rows: spark.createDataFrame(rows, "station_id string, date date, v int").withColumn("date", F.col("date"))
+    d1, d2, d3 = (dt.date(2024, 1, i) for i in (1, 2, 3))
+    path, order = str(tmp_path / "t"), [F.desc("v")]
+    read = lambda: sorted((r.station_id, r.date, r.v) for r in spark.read.parquet(path).collect())
+    first = day([("a", d1, 1), ("a", d1, 9), ("b", d2, 2)])
+    for _ in range(2):
+        tables.append_absent(first, path, ["station_id", "date"], order)
+        assert read() == [("a", d1, 9), ("b", d2, 2)]
+    second = day([("a", d1, 100), ("b", d1, 3), ("a", d3, 4)])
+    write = tables.write_partitioned
+
+    def fails(df, path, by):
+        write(df.filter(F.col("date") < F.lit(d3)), path, by)
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "write_partitioned", fails)
+    with pytest.raises(OSError):
+        tables.append_absent(second, path, ["station_id", "date"], order)
+    monkeypatch.undo()
+    for _ in range(2):
+        tables.append_absent(second, path, ["station_id", "date"], order)
+        assert read() == sorted([("a", d1, 9), ("b", d2, 2), ("b", d1, 3), ("a", d3, 4)])
