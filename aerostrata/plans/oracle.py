@@ -613,6 +613,13 @@ ORACLES["station_clusters"] = f"""{_STATIONS} SELECT count(*) AS stations, 3 AS
     TRUE AS ranked_by_index FROM stations"""
 ORACLES["cluster_pca"] = f"""{_STATIONS} SELECT count(*) AS stations, TRUE AS uncorrelated, TRUE AS ordered, TRUE AS within_total FROM stations"""
 ORACLES["stream_scores"] = """SELECT count(*) AS windows, 0 AS differing, TRUE AS labels_known, '1' AS model_version FROM windows"""
+# Twice the integral of the density beyond |t| by Simpson's rule, over u with x = |t| + u / (1 - u).
+ORACLES["weekend_p_value"] = f"""WITH tests AS (SELECT * FROM ({ORACLES['weekend_ttest']})),
+    nodes AS (SELECT station_id, t, dof, i, i / 40000.0::DOUBLE AS u FROM tests, range(40000) AS r(i)),
+    heights AS (SELECT *, exp(lgamma((dof + 1) / 2) - lgamma(dof / 2) - 0.5 * ln(dof * pi())
+        - (dof + 1) / 2 * ln(1 + (abs(t) + u / (1 - u)) ** 2 / dof)) / ((1 - u) * (1 - u)) AS y FROM nodes)
+    SELECT station_id, t, dof, floor(2 * sum(y * CASE WHEN i = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) / 120000 * 1e6 + 0.5) / 1e6 AS p_value
+    FROM heights GROUP BY station_id, t, dof"""
 ORACLES["daily_agg_volume"] = (
     f"WITH volume AS ({VOLUME}), vi AS ({_indexed('volume')}), vc AS (SELECT * FROM vi WHERE {_CLEAN}) {_daily('vc')}")
 

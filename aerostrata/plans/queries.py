@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from aerostrata.functions import index as ix
 from aerostrata.functions import scalars as sc
+from aerostrata.functions import stats
 from aerostrata.ml import metrics as mm
 from aerostrata.operators import aggregate as ag
 from aerostrata.operators import alerts as al
@@ -823,6 +824,13 @@ def weekend_ttest(spark, sf):
     return ag.weekend_ttest(bd.daily_series(spark, sf), "date", "ispu", ["station_id"], **EXACT)
 
 
+@query
+def weekend_p_value(spark, sf):
+    """How likely the difference of weekend and weekday is by chance: the t-test's p-value, to six digits."""
+    p = stats.t_test_p(F.col("t"), F.col("dof"))
+    return weekend_ttest(spark, sf).select("station_id", "t", "dof", (F.floor(p * 1e6 + 0.5) / 1e6).alias("p_value"))
+
+
 @query
 def station_ranking(spark, sf):
     from pyspark.sql import Window
