@@ -166,33 +166,33 @@ def suite_summary(results: DataFrame) -> DataFrame:
 
 # --- table audit -------------------------------------------------------------------
 
+def _profile(df: DataFrame, date_col: str, station_col: str = "station_id") -> list[Column]:
+    n = F.count(F.lit(1))
+    stations = F.count_distinct(station_col) if station_col in df.columns else F.max(F.lit(None).cast("long"))
+    return [n.alias("row_count"), F.when(n > 0, F.count_if(F.col(date_col).isNull())).alias("null_dates"),
+            stations.alias("distinct_stations")]
+
+
 def profile_table(df: DataFrame, date_col: str, station_col: str = "station_id") -> DataFrame:
     """Row count, null dates, columns and distinct stations in one row."""
-    stations = (F.count_distinct(station_col) if station_col in df.columns
-                else F.lit(None).cast("long"))
-    n = F.count(F.lit(1))
-    return df.agg(
-        n.alias("row_count"),
-        F.when(n > 0, F.count_if(F.col(date_col).isNull())).alias("null_dates"),
-        stations.alias("distinct_stations"),
-    ).withColumns({"column_count": F.lit(len(df.columns)),
-                   "columns": F.lit(",".join(df.columns))})
+    return df.agg(*_profile(df, date_col, station_col)).withColumns(
+        {"column_count": F.lit(len(df.columns)), "columns": F.lit(",".join(df.columns))})
 
 
 def quality_run(tables: dict[str, tuple[DataFrame, str]], as_of: str, max_days: int = 2) -> DataFrame:
-    """One row per table (name -> frame and its date column): profile, rows out of range, age."""
+    """One row per table (name -> frame and its date column): profile, rows out of range, age. Each table is read once."""
     out = []
     for name, (df, day) in tables.items():
-        ranges = audit_ranges(df).agg(F.coalesce(F.sum("out_of_range"), F.lit(0)).alias("out_of_range"))
-        row = profile_table(df, day).select(F.lit(name).alias("table"), "row_count", "null_dates", "distinct_stations", "column_count")
-        age = freshness(df, day, as_of, max_days)
-        out.append(row.withColumns({"out_of_range": ranges.scalar(), "latest": age.select("latest").scalar(),
-                                    "stale": age.select("stale").scalar()}))
+        bad = [F.count_if(out_of_range(r)) for r in _matched(df, AUDIT_RULES)[0]]
+        one = df.agg(*_profile(df, day), reduce(lambda x, y: x + y, bad, F.lit(0).cast("long")).alias("out_of_range"),
+                     F.max(F.to_date(day)).alias("latest"))
+        out.append(one.select(F.lit(name).alias("table"), "row_count", "null_dates", "distinct_stations", F.lit(len(df.columns)).alias("column_count"),
+                              "out_of_range", "latest", _stale(as_of, max_days).alias("stale")))
     return reduce(DataFrame.unionByName, out)
 
 
-def audit_ranges(df: DataFrame, rules: Sequence[RangeRule] = AUDIT_RULES) -> DataFrame:
-    """Non-null values outside each rule; a rule `x` also finds the first column `x_...`."""
+def _matched(df: DataFrame, rules: Sequence[RangeRule]) -> tuple[list[RangeRule], list[str]]:
+    """The rules by the columns they find, and the names they had."""
     matched: list[RangeRule] = []
     labels: list[str] = []
     for r in rules:
@@ -201,6 +201,12 @@ def audit_ranges(df: DataFrame, rules: Sequence[RangeRule] = AUDIT_RULES) -> Dat
         if hit:
             matched.append(RangeRule(hit, r.low, r.high))
             labels.append(r.column)
+    return matched, labels
+
+
+def audit_ranges(df: DataFrame, rules: Sequence[RangeRule] = AUDIT_RULES) -> DataFrame:
+    """Non-null values outside each rule; a rule `x` also finds the first column `x_...`."""
+    matched, labels = _matched(df, rules)
     wide = df.agg(*[F.count_if(out_of_range(r)).alias(f"{r.column}__bad") for r in matched])
     base = dict(zip([r.column for r in matched], labels))
     from_column = F.create_map(*[F.lit(x) for kv in base.items() for x in kv])
@@ -211,12 +217,16 @@ def audit_ranges(df: DataFrame, rules: Sequence[RangeRule] = AUDIT_RULES) -> Dat
     )
 
 
+def _stale(as_of: str, max_days: int) -> Column:
+    return F.coalesce(F.date_diff(F.lit(as_of).cast("date"), F.col("latest")) > max_days, F.lit(True))
+
+
 def freshness(df: DataFrame, date_col: str, as_of: str, max_days: int = 2) -> DataFrame:
     """Age in days of the newest date; an empty table has none and counts as stale."""
     newest = F.max(F.to_date(date_col))
     return df.agg(newest.alias("latest")).withColumn(
         "days_old", F.date_diff(F.lit(as_of).cast("date"), F.col("latest"))
-    ).withColumn("stale", F.coalesce(F.col("days_old") > max_days, F.lit(True)))
+    ).withColumn("stale", _stale(as_of, max_days))
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

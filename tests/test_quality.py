@@ -1,5 +1,7 @@
 """Cleaning, validation, expectations and audits on small edge tables."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from aerostrata.operators import quality as ql
@@ -89,3 +91,13 @@ def test_retention(spark):
     df = spark.createDataFrame([("2024-01-01",), ("2024-03-31",)], "d string").select(F.to_date("d").alias("d"))
     assert ql.retention(df, "d", "2024-03-31", 90).count() == 2
     assert ql.retention(df, "d", "2024-04-01", 90).count() == 1
+
+
+def test_a_quality_run_reads_each_table_once(spark, tmp_path):
+    spark.sql("select 'a' station_id, date'2024-01-01' date, -5.0 pm25_avg, 3.0 humidity").write.parquet(str(tmp_path / "t"))
+    one, two = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "t")).drop("station_id").filter("pm25_avg > 0")
+    run = ql.quality_run({"one": (one, "date"), "two": (two, "date")}, "2024-01-02")
+    plan = run._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") + plan.count("Relation[") == 2 and "scalar-subquery" not in plan
+    assert [tuple(r) for r in run.orderBy("table").collect()] == [
+        ("one", 1, 0, 1, 4, 1, dt.date(2024, 1, 1), False), ("two", 0, None, None, 3, 0, None, True)]
