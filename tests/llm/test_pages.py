@@ -3,9 +3,11 @@
 import html
 import math
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aerostrata.llm.common import table
 from aerostrata.llm.html_tree import Model, Page, extract, train
@@ -55,13 +57,13 @@ def test_reputation(spark):
 def brute(model, page):
     """Log odds by summing over all labellings; only for tiny pages."""
     n = len(page.tag)
-    local = [-60.0 if x else sum(model.weight.get(f, 0.0) for f in fs) for x, fs in zip(page.named, page.evidence(), strict=True)]
+    local = model.local(page)
     mass = np.zeros((n, 2))
     for bits in range(1 << n):
         y = [bits >> i & 1 for i in range(n)]
         logp = sum(e for e, b in zip(local, y, strict=True) if b)
         for i in range(1, n):
-            p = model.given[y[page.parent[i]]]
+            p = model.given[page.kind(page.parent[i]), y[page.parent[i]]]
             logp += math.log(p if y[i] else 1 - p)
         for i in range(n):
             mass[i, y[i]] += math.exp(logp)
@@ -69,7 +71,7 @@ def brute(model, page):
 
 
 def test_messages_give_exact_marginals():
-    model = Model({("tag p", 1): 9.0, ("tag p", 0): 4.0, ("tag div", 0): 30.0, ("tag div", 1): 20.0, ("pair 1", 0): 9.0, ("links 0", 1): 3.0})
+    model = Model({("tag p", 1): 9.0, ("tag p", 0): 4.0, ("tag div", 0): 30.0, ("tag div", 1): 20.0, ("pair part 1", 0): 9.0, ("links 0", 1): 3.0})
     page = Page("<body><div><p>one <a>two</a></p><p>three</p><div class=ad>x</div></div><ul><li>y<li>z</ul>")
     assert len(page.tag) <= 12
     assert np.allclose(model.marginals(page), brute(model, page), atol=1e-6)
@@ -114,3 +116,35 @@ def test_odd_pages(spark, model):
 def test_model_without_labels(spark):
     none = train(spark.createDataFrame([], "page_id long, url string, html string"), spark.createDataFrame([], "doc_id long, text string"))
     assert none.text("<body><nav>m</nav><article><p>text</p></article></body>") == "text"
+
+
+def test_given_pages_without_known_names(spark, sf):
+    bare = train(table(spark, sf, "pages"), table(spark, sf, "documents"), known=set())
+    for r in extract(table(spark, sf, "pages").select("page_id", "html", F.col("html").alias("source")), bare).collect():
+        inside = re.search("<article>(.*?)</article>", r.source, re.S)[1]
+        assert r.text == " ".join(html.unescape(re.sub("<[^>]*>", " ", inside)).split()), r.page_id
+
+
+def test_labels_outweigh_known_names():
+    counts = {("like 1", 1): 4000.0, ("like 1", 0): 4000.0, ("word notice", 1): 3000.0, ("word notice", 0): 3.0}
+    model = Model(counts)
+    assert model.weight["word notice"] > 2 and model.weight["word advert"] < -8
+    page = "<body><article><p>one</p><div class=notice><p>two</p></div><div class=advert><p>three</p></div></article></body>"
+    assert model.text(page) == "one two"
+
+
+@pytest.mark.parametrize("part", ["<a ", '<p title="', "<p title='\"", "<div>", "</div>", "<b class=x>", "<b class=ad><div></b>", "<i>x</i>y", "<!-- ", "&#9"])
+def test_long_broken_pages_take_linear_time(part):
+    model, took = Model({}), []
+    for size in (100_000, 800_000):
+        start = time.perf_counter()
+        model.text(part * (size // len(part)))
+        took.append(time.perf_counter() - start)
+    assert took[1] < 5 + 24 * took[0]
+
+
+def test_broken_tags():
+    model = Model({})
+    assert model.text('<p title="a>b">one<p title=">two') == "one two"
+    assert model.text("<p>one <b two") == "one <b two"
+    assert model.text("<p>&#" + "9" * 6000 + ";x &#" + "0" * 6000 + "65;") == "�x A"
