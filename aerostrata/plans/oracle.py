@@ -620,6 +620,10 @@ ORACLES["weekend_p_value"] = f"""WITH tests AS (SELECT * FROM ({ORACLES['weekend
         - (dof + 1) / 2 * ln(1 + (abs(t) + u / (1 - u)) ** 2 / dof)) / ((1 - u) * (1 - u)) AS y FROM nodes)
     SELECT station_id, t, dof, floor(2 * sum(y * CASE WHEN i = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) / 120000 * 1e6 + 0.5) / 1e6 AS p_value
     FROM heights GROUP BY station_id, t, dof"""
+ORACLES["oversampled_categories"] = """WITH k AS (SELECT ispu_category, count(*) AS given, max(count(*)) OVER () - count(*) AS need,
+    count(DISTINCT CASE WHEN isfinite(pm25) AND isfinite(pm10) THEN (pm25, pm10) END) AS vectors
+    FROM indexed WHERE ispu_category IS NOT NULL GROUP BY ispu_category), m AS (SELECT *, CASE WHEN vectors > 0 THEN need ELSE 0 END AS made FROM k)
+    SELECT ispu_category, given, made, made AS "between", least(vectors, made) AS origins FROM m"""
 ORACLES["daily_agg_volume"] = (
     f"WITH volume AS ({VOLUME}), vi AS ({_indexed('volume')}), vc AS (SELECT * FROM vi WHERE {_CLEAN}) {_daily('vc')}")
 

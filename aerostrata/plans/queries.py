@@ -18,6 +18,7 @@ from aerostrata.operators import alerts as al
 from aerostrata.operators import audit as au
 from aerostrata.operators import features as fe
 from aerostrata.operators import joins as jn
+from aerostrata.operators import oversample as ov
 from aerostrata.operators import quality as ql
 from aerostrata.operators import series as se
 from aerostrata.plans import bindings as bd
@@ -831,6 +832,20 @@ def weekend_p_value(spark, sf):
     return weekend_ttest(spark, sf).select("station_id", "t", "dof", (F.floor(p * 1e6 + 0.5) / 1e6).alias("p_value"))
 
 
+@query
+def oversampled_categories(spark, sf):
+    """Readings of each category and the new ones that bring it to the largest; how many of these lie between two given ones."""
+    rows = bd.indexed_readings(spark, sf).filter("ispu_category IS NOT NULL").select("ispu_category", "pm25", "pm10")
+    out = ov.oversample(rows, "ispu_category", ["pm25", "pm10"])
+    inside = F.lit(True)
+    for i, c in enumerate(["pm25", "pm10"]):
+        a, b = F.col("origin")[i], F.col("partner")[i]
+        inside = inside & F.col(c).between(F.least(a, b) - 1e-9, F.greatest(a, b) + 1e-9)
+    return out.groupBy("ispu_category").agg(
+        F.count_if(~F.col("synthetic")).alias("given"), F.count_if("synthetic").alias("made"),
+        F.count_if(F.col("synthetic") & inside).alias("between"), F.count_distinct("origin").alias("origins"))
+
+
 @query
 def station_ranking(spark, sf):
     from pyspark.sql import Window
