@@ -34,6 +34,7 @@ from aerostrata.sources import logs as lg
 from aerostrata.sources import nested as ns
 from aerostrata.sources import readings as rd
 from aerostrata.streaming import alerts as sa
+from aerostrata.streaming import progress as pg
 from aerostrata.streaming import scoring as ss
 from aerostrata.streaming import windows as sw
 
@@ -882,6 +883,23 @@ def _valid_stream(spark, sf):
     return ql.validate_rows(ix.composite_index(bd.events_stream(spark, sf)))[0]
 
 
+@query
+def stream_progress(spark, sf):
+    """What the stored progress of a window stream says: rows counted and quarantined, late rows, batches timed."""
+    path = run_path(spark, "progress")
+    log = pg.ProgressLog(spark, path)
+    try:
+        rows = pg.observed_valid(ix.composite_index(bd.events_stream(spark, sf)))
+        q = sw.upsert_windows(sw.windowed(rows), run_path(spark, "windows"), run_path(spark, "progress-state"), every=None)
+        sw.await_any([q])
+        log.wait(q.runId)
+    finally:
+        log.close()
+    return pg.read_progress(spark, path).filter(F.col("run_id") == q.runId).agg(
+        F.sum("rows_in").alias("rows_in"), F.sum("quarantined").alias("quarantined"), F.sum("late").alias("late"),
+        F.bool_and(F.col("batch_ms") >= 0).alias("timed"))
+
+
 @query
 def raw_stream(spark, sf):
     """Messages decoded, projected and appended by a stream, and read back as the raw table."""

@@ -188,10 +188,15 @@ def append_rows(df: DataFrame, path: str, checkpoint: str,
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def await_any(spark: SparkSession) -> None:
-    """Wait until any running stream ends, stop the others, and raise its error if it had one."""
+def await_any(queries: Sequence[StreamingQuery], poll: float = 1.0) -> None:
+    """Wait until one of the streams ends, stop the others, and raise its error if it had one."""
     try:
-        spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries):
+            queries[0].awaitTermination(poll)
     finally:
-        for query in spark.streams.active:
-            query.stop()
+        ended = [q for q in queries if not q.isActive]
+        for q in queries:
+            q.stop()
+    for q in ended:
+        if q.exception() is not None:
+            raise q.exception()

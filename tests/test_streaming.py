@@ -11,6 +11,7 @@ from aerostrata.operators.quality import dedup_stream
 from aerostrata.operators.features import stream_features
 from aerostrata.schema import AVERAGED, STREAM_MEASURES
 from aerostrata.streaming import decode as dc
+from aerostrata.streaming import progress as pg
 from aerostrata.streaming import scoring as ss
 from aerostrata.streaming import windows as sw
 from aerostrata.streaming.alerts import alert_stream
@@ -203,3 +204,40 @@ def test_alert_stream_equals_batch_on_any_cut(spark, tmp_path):
     sw.append_rows(fired, str(tmp_path / "out"), str(tmp_path / "s"), every=None).awaitTermination()
     batch = sustained_alerts(spark.read.parquet(str(tmp_path / "in")), rule)
     assert minutes(spark.read.parquet(str(tmp_path / "out")), "started_at") == minutes(batch, "started_at") != []
+
+
+def test_progress_is_stored_per_batch(spark, tmp_path):
+    df = land(spark, tmp_path / "in", [("a", m, 5) for m in range(30)] + [("a", 3, -7)], "1")
+    land(spark, tmp_path / "in", [("a", m, 5) for m in range(200, 210)], "2")
+    log = pg.ProgressLog(spark, str(tmp_path / "log"), every=1)
+    state = str(tmp_path / "state")
+    try:
+        for files in (None, [("a", 1, 5), ("b", 2, 5)]):
+            if files:
+                land(spark, tmp_path / "in", files, "3")
+            agg = sw.windowed(pg.observed_valid(source(spark, tmp_path / "in", df.schema)))
+            q = sw.upsert_windows(agg, str(tmp_path / "out"), state, every=None)
+            sw.await_any([q])
+            log.wait(q.runId)
+    finally:
+        log.close()
+    rows = pg.read_progress(spark, str(tmp_path / "log")).collect()
+    assert len({(r.query_id, r.run_id) for r in rows}) == 2
+    assert sum(r.rows_in or 0 for r in rows) == 43 and sum(r.quarantined or 0 for r in rows) == 1
+    assert sum(r.late for r in rows) > 0 and all(r.batch_ms >= 0 for r in rows)
+
+
+def test_one_failing_stream_stops_the_others(spark, tmp_path):
+    df = land(spark, tmp_path / "in", [("a", 0, 1)], "1")
+
+    def fail(batch, batch_id):
+        raise ValueError("sink is gone")
+
+    def start(sink, name):
+        return sw.start(source(spark, tmp_path / "in", df.schema), sink, str(tmp_path / name), "append", every="1 second")
+
+    good = start(lambda batch, batch_id: batch.count(), "good")
+    bad = start(fail, "bad")
+    with pytest.raises(Exception, match="sink is gone"):
+        sw.await_any([good, bad])
+    assert not good.isActive and not bad.isActive and good.exception() is None
