@@ -118,6 +118,27 @@ def distinct_above(df: DataFrame, key: str, column: str, threshold: float) -> Da
     return df.filter(high).agg(F.count_distinct(key).alias("value"))
 
 
+def distinct_bitmaps(df: DataFrame, number: Column, keys: Sequence[str]) -> DataFrame:
+    """Bitmaps of the whole numbers that occur: keys, bucket, bits. Stored per day, they answer any look-back.
+
+    A bitmap covers 32,768 numbers next to each other; nulls are left out. Keys may not be named bucket or bits.
+    """
+    rows = df.select(*keys, number.cast("bigint").alias("bits")).filter("bits IS NOT NULL")
+    bucket = F.bitmap_bucket_number("bits").alias("bucket")
+    return rows.groupBy(*keys, bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bits")).alias("bits"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bitmaps of fewer keys, or of several stored parts."""
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def distinct_count(bitmaps: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """How many different numbers the bitmaps of a key hold together, exactly."""
+    merged = merge_bitmaps(bitmaps, keys)
+    return merged.groupBy(*keys).agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("value"))
+
+
 def coverage_pct(df: DataFrame, time_col: str, hours: int = 24,
                  by: Sequence[str] = ()) -> DataFrame:
     """Share of the hours in which anything was recorded, as a whole percentage."""

@@ -620,6 +620,8 @@ ORACLES["weekend_p_value"] = f"""WITH tests AS (SELECT * FROM ({ORACLES['weekend
         - (dof + 1) / 2 * ln(1 + (abs(t) + u / (1 - u)) ** 2 / dof)) / ((1 - u) * (1 - u)) AS y FROM nodes)
     SELECT station_id, t, dof, floor(2 * sum(y * CASE WHEN i = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) / 120000 * 1e6 + 0.5) / 1e6 AS p_value
     FROM heights GROUP BY station_id, t, dof"""
+ORACLES["recorded_minutes"] = " UNION ALL ".join(f"""SELECT station_id, {n} AS days, count(DISTINCT date_trunc('minute', ts)) AS minutes FROM indexed
+    WHERE CAST(ts AS DATE) >= DATE '2024-01-30' - {n} AND CAST(ts AS DATE) <= DATE '2024-01-30' GROUP BY station_id""" for n in (1, 7, 30))
 ORACLES["stream_progress"] = f"SELECT count(*) AS rows_in, count(*) FILTER (NOT ({_VALID})) AS quarantined, 0 AS late, TRUE AS timed FROM indexed"
 ORACLES["oversampled_categories"] = """WITH k AS (SELECT ispu_category, count(*) AS given, max(count(*)) OVER () - count(*) AS need,
     count(DISTINCT CASE WHEN isfinite(pm25) AND isfinite(pm10) THEN (pm25, pm10) END) AS vectors

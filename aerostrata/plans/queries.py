@@ -299,6 +299,19 @@ def coverage_pct(spark, sf):
     return ag.coverage_pct(recent, "window_start", by=["station_id"])
 
 
+@query
+def recorded_minutes(spark, sf):
+    """Different minutes with a reading per station in several look-backs, all from the bitmaps stored for each day."""
+    minute = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60)
+    days = landed(spark, sf).withColumn("date", F.to_date("ts"))
+    stored = materialized(ag.distinct_bitmaps(days, minute, ["station_id", "date"]))
+    out = None
+    for n in (1, 7, 30):
+        one = ag.distinct_count(ag.lookback(stored, "date", AS_OF_DAY, n), ["station_id"]).withColumn("days", F.lit(n))
+        out = one if out is None else out.unionByName(one)
+    return out.withColumnRenamed("value", "minutes")
+
+
 @query
 def category_distribution(spark, sf):
     return ag.category_distribution(ag.lookback(daily(spark, sf), "date", AS_OF_DAY, 7))

@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from aerostrata.operators import aggregate as ag
 from aerostrata.operators import features as fe
 from aerostrata.operators import series as se
 from aerostrata.operators.alerts import AlertRule, sustained_alerts
@@ -171,3 +172,16 @@ def test_training_rows_follow_the_lag_depth(spark):
     counts = {r.split: r["count"] for r in
               fe.temporal_split(fe.batch_features(df)).groupBy("split").count().collect()}
     assert counts == {"train": 1765, "test": 35}
+
+
+def test_bitmaps_count_like_distinct(spark):
+    numbers = [0, 1, 1, 32767, 32768, 32769, 10 ** 12, -1, -32768, -40000, None]
+    rows = [(k, d, n) for k in "ab" for d in range(3) for n in numbers if n is None or (n + d) % 3 or k == "a"] + [("gap", 0, None)]
+    df = spark.createDataFrame(rows, "k string, d int, n long")
+    bitmaps = ag.distinct_bitmaps(df, F.col("n"), ["k", "d"])
+    for days in ([0], [0, 1], [0, 1, 2]):
+        got = {r.k: r.value for r in ag.distinct_count(bitmaps.filter(F.col("d").isin(days)), ["k"]).collect()}
+        assert got == {k: len({n for j, d, n in rows if j == k and d in days and n is not None}) for k in "ab"}
+    total = len({n for _, _, n in rows if n is not None})
+    assert ag.distinct_count(ag.merge_bitmaps(bitmaps, ["k"])).first().value == total
+    assert ag.distinct_count(bitmaps.limit(0)).first().value == 0
