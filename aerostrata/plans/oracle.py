@@ -622,6 +622,9 @@ ORACLES["weekend_p_value"] = f"""WITH tests AS (SELECT * FROM ({ORACLES['weekend
     FROM heights GROUP BY station_id, t, dof"""
 ORACLES["recorded_minutes"] = " UNION ALL ".join(f"""SELECT station_id, {n} AS days, count(DISTINCT date_trunc('minute', ts)) AS minutes FROM indexed
     WHERE CAST(ts AS DATE) >= DATE '2024-01-30' - {n} AND CAST(ts AS DATE) <= DATE '2024-01-30' GROUP BY station_id""" for n in (1, 7, 30))
+ORACLES["training_guard"] = """SELECT (SELECT count(*) FROM daily) AS "rows", minimum, (SELECT count(*) FROM daily) >= minimum AS starts
+    FROM (VALUES (1), (50), (100), (1000), (1000000000)) AS g(minimum)"""
+ORACLES["empty_batches"] = "SELECT count(*) AS rows_in, 0 AS stored FROM indexed"
 ORACLES["stream_progress"] = f"SELECT count(*) AS rows_in, count(*) FILTER (NOT ({_VALID})) AS quarantined, 0 AS late, TRUE AS timed FROM indexed"
 ORACLES["oversampled_categories"] = """WITH k AS (SELECT ispu_category, count(*) AS given, max(count(*)) OVER () - count(*) AS need,
     count(DISTINCT CASE WHEN isfinite(pm25) AND isfinite(pm10) THEN (pm25, pm10) END) AS vectors

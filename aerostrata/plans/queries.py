@@ -896,6 +896,31 @@ def _valid_stream(spark, sf):
     return ql.validate_rows(ix.composite_index(bd.events_stream(spark, sf)))[0]
 
 
+@query
+def training_guard(spark, sf):
+    """For which least number of daily rows a training would start."""
+    days = materialized(daily(spark, sf).select("station_id", "date"))
+    least = [1, 50, 100, 1_000, 1_000_000_000]
+    enough = [F.struct(F.lit(n).alias("minimum"), F.lit(fe.has_rows(days, n)).alias("starts")) for n in least]
+    return days.agg(F.count("*").alias("rows")).select("rows", F.explode(F.array(*enough)).alias("g")).select("rows", "g.*")
+
+
+@query
+def empty_batches(spark, sf):
+    """A stream without valid rows: its batches are read and stored nowhere."""
+    path, seen = run_path(spark, "windows"), run_path(spark, "progress")
+    log = pg.ProgressLog(spark, seen)
+    try:
+        rows = pg.observed_valid(ix.composite_index(bd.events_stream(spark, sf))).filter("pm25 < -1e9")
+        q = sw.upsert_windows(sw.windowed(rows), path, run_path(spark, "empty-state"), every=None)
+        sw.await_any([q])
+        log.wait(q.runId)
+    finally:
+        log.close()
+    folders = len(sw.read_manifest(spark, path)["folders"])
+    return pg.read_progress(spark, seen).filter(F.col("run_id") == q.runId).agg(F.sum("rows_in").alias("rows_in"), F.lit(folders).alias("stored"))
+
+
 @query
 def stream_progress(spark, sf):
     """What the stored progress of a window stream says: rows counted and quarantined, late rows, batches timed."""
