@@ -112,14 +112,17 @@ def fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs (_key, _copy, _text) to rows (_key, _copy, runs): runs of lines, by number among the lines
-    with words, that an earlier place has too. Places are ordered by key (null last), copy and line."""
+    with words, that an earlier place has too, one in the same text that doesn't overlap them. Places are ordered by key (null last), copy and line."""
     chosen = stored(fingerprints(docs, min_words), "winnow-lines")
     again = chosen.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line")
     chosen = chosen.join(stored(again, "winnow-again"), "line").select("_key", "_copy", F.explode(F.arrays_zip("w", "s", "e")).alias("x"))
     looked = stored(chosen.select("_key", "_copy", "x.w", "x.s", "x.e"), "winnow-windows")
     place = F.struct(F.col("_key").isNull().alias("none"), "_key", "_copy", "s")
     first = looked.groupBy("w").agg(F.count("*").alias("n"), F.min(place).alias("f")).filter("n > 1").select("w", "f")
-    met = looked.join(stored(first, "winnow-first"), "w").filter(place > F.col("f"))
+    # Inside one text a repeat starts behind the end of the first place: a run that overlaps itself keeps its first copy.
+    here = F.col("_key").eqNullSafe(F.col("f._key")) & (F.col("_copy") == F.col("f._copy"))
+    behind = (place > F.col("f")) & (~here | (F.col("s") > F.col("f.s") + F.col("e") - F.col("s")))
+    met = looked.join(stored(first, "winnow-first"), "w").filter(behind)
     return met.groupBy("_key", "_copy").agg(F.collect_set(F.struct("s", "e")).alias("runs"))
 
 
@@ -127,8 +130,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_wo
     """The documents with later repeated runs of lines deleted; all columns, and n_lines and n_removed.
 
     Lines are equal if their words are. A run counts from `min_words` words on, over lines with words;
-    lines without words inside a deleted run go with it. The first place by key keeps its text, a run
-    repeated inside one document included. A null text stays null; a document whose lines are all
+    lines without words inside a deleted run go with it. The first place by key keeps its text, that of a run
+    repeated inside one document included, overlaps of a periodic text with itself too. A null text stays null; a document whose lines are all
     repeats keeps an empty text. Rows that repeat key and text are one document, for which nothing is
     deleted on account of the other; null keys come last. An empty table gives an empty result. The
     names n_lines and n_removed replace columns of these names.

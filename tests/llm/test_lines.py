@@ -63,20 +63,19 @@ def test_later_runs_go(spark):
 
 
 def plain_dedup(texts, min_words):
-    """Every run of lines with enough words that starts at an earlier place too, by trying all."""
-    seen, out = set(), []
-    for t in texts:
+    """Every run of lines with enough words that an earlier place holds too, without overlap, by trying all."""
+    seen, out = {}, []
+    for d, t in enumerate(texts):
         lines, gone = t.split("\n"), set()
         for s in range(len(lines)):
-            n, new = 0, []
+            n = 0
             for e in range(s, len(lines)):
                 n += len(lines[e].split())
                 if n >= min_words:
                     run = tuple(lines[s:e + 1])
-                    if run in seen:
+                    doc, at = seen.setdefault(run, (d, s))
+                    if doc < d or s > at + e - s:
                         gone |= set(range(s, e + 1))
-                    new.append(run)
-            seen.update(new)
         out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
     return out
 
@@ -99,6 +98,16 @@ def test_short_quotes_do_not_hide_the_longer_match(spark):
     assert all(len(want[8 * i + 7].split("\n")) == 2 for i in range(40))
 
 
+def test_periodic_texts_keep_their_first_copy(spark):
+    rng = random.Random(9)
+    ten, three = sentence(rng, 10), [sentence(rng, 10) for _ in range(3)]
+    texts = ["\n".join([ten] * 10), "\n".join(three * 8), "\n".join([sentence(rng, 10)] * 7), "\n".join([*three, *three, sentence(rng, 3)])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in dedup_lines(df).orderBy("doc_id").collect()]
+    assert got == plain_dedup(texts, 50)
+    assert [len(x.split("\n")) for x in got] == [5, 6, 7, 1]
+
+
 def test_lines_with_null_keys_and_repeated_rows(spark):
     long = sentence(random.Random(4), 60)
     df = spark.createDataFrame([(None, long), (3, long), (3, long), (4, long)], "doc_id long, text string")
