@@ -117,6 +117,39 @@ def test_keep_one_finds_planted_near_copies(spark, monkeypatch, crowd):
     assert {r.doc_id for r in keep_one(df).collect()} == {i for i, g in group.items() if i == g}
 
 
+@pytest.mark.parametrize("crowd", [4096, 8])
+def test_similar_texts_whose_leader_is_another(spark, monkeypatch, crowd):
+    """Twins of many families that all resemble one text, but not enough: each pair that meets counts, as by brute force."""
+    monkeypatch.setattr(near_simhash, "CROWD", crowd)
+    monkeypatch.setattr(near_simhash, "BLOCK", crowd, raising=False)
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    hub = rng.choices(vocabulary, k=300)
+    texts = [" ".join(hub)]
+    for _ in range(250):
+        family = list(hub)
+        for at in rng.sample(range(300), 8):
+            family[at] = rng.choice(vocabulary)
+        twin = list(family)
+        for at in rng.sample(range(300), 3):
+            twin[at] = rng.choice(vocabulary)
+        texts += [" ".join(family), " ".join(twin)]
+    sets = [set(near_simhash.shingle_hashes(t.encode().split(), 5).tolist()) for t in texts]
+    marks = [near_simhash.short_fingerprints(near_simhash.shingle_hashes(t.encode().split(), 5), near_simhash.TABLES, near_simhash.BITS) for t in texts]
+    bits = lambda x, y: ((x ^ y) % (1 << 64)).bit_count()
+    most = 21  # of 64 bits, at similarity 0.8
+    links = []
+    for i, (check, mins, short) in enumerate(marks):
+        for j in range(i + 1, len(texts)):
+            meet = any(m == n and bits(f, g) <= 2 for m, n, f, g in zip(mins, marks[j][1], short, marks[j][2], strict=True))
+            common = len(sets[i] & sets[j])
+            if meet and bits(check, marks[j][0]) <= most and common >= 0.8 * (len(sets[i]) + len(sets[j]) - common):
+                links.append((i, j))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component for r in similar_groups(df).collect()} == roots(range(len(texts)), links)
+    assert len(links) >= 150
+
+
 def test_pairs_of_a_meeting_point():
     rng = np.random.default_rng(1)
     centres = rng.integers(0, 1 << 62, 5)
