@@ -14,8 +14,10 @@ every step; a skip that is new for the word adds the agenda that follows it.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from heapq import heappop, heappush
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ CACHED_UNITS = 400_000
 # Words up to LONG characters are segmented AT_ONCE side by side; texts are taken together up to so many characters.
 LONG, AT_ONCE, TOGETHER = 32, 1 << 13, 1 << 20
 WORD, STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
+NEVER, SLOT_BITS = np.iinfo(np.int32).max, 20
 
 
 def mix(x):
@@ -65,9 +68,18 @@ class Dropout:
         joins = sorted((self.ids[p[:i]] * n + self.ids[p[i:]], self.ids[p]) for p in self.ids for i in range(1, len(p))
                        if p[:i] in self.ids and p[i:] in self.ids)
         self.join_keys, self.join_ids = (np.array(x, np.int64) for x in zip(*joins, strict=True))
-        self.order = np.full(n, np.inf)
+        # Most are found in one look at a table by hash; whose place another has are searched for.
+        self.slots = np.full(1 << SLOT_BITS, -1, np.int64)
+        self.slots[self._slot(self.join_keys)] = np.arange(len(self.join_keys))
+        # Ranks as whole numbers in the same order, NEVER for what is no piece.
+        self.order = np.full(n, NEVER, np.int32)
+        pieces = np.fromiter(self.ids.values(), np.int64, len(self.ids))
+        self.order[pieces] = np.unique([self.rank[p] for p in self.ids], return_inverse=True)[1]
+        self.symbol = -1 - np.arange(sys.maxunicode + 1)
         for p, i in self.ids.items():
-            self.order[i] = self.rank[p]
+            if len(p) == 1 and p != MARK:
+                self.symbol[ord(p)] = i
+        self.symbol[ord(" ")] = self.ids.get(MARK, -33)
         self.clear()
 
     def clear(self):
@@ -134,58 +146,74 @@ class Dropout:
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Id of the piece that two pieces form, or -1."""
         keys = np.where((left >= 0) & (right >= 0), left * self.n + right, -1)
+        at = self.slots[self._slot(keys)]
+        out = np.where((at >= 0) & (self.join_keys[at] == keys), self.join_ids[at], -1)
+        other = (at >= 0) & (out < 0) & (keys >= 0)
+        keys = keys[other]
         at = np.minimum(np.searchsorted(self.join_keys, keys), len(self.join_keys) - 1)
-        return np.where(self.join_keys[at] == keys, self.join_ids[at], -1)
+        out[other] = np.where(self.join_keys[at] == keys, self.join_ids[at], -1)
+        return out
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(STEP) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def segment_many(self, units: list[str], occurrence: int) -> list[list[int]]:
         """Like `segment`, for many short words side by side."""
         key = np.uint64(self._key(occurrence))
-        return self._run(units, lambda r, step, code: mix(key ^ code) < np.uint64(self.limit))[0]
+        flat, size, *_ = self._run(units, lambda r, step, code: mix(key ^ code) < np.uint64(self.limit))
+        return [x.tolist() for x in np.split(flat, np.cumsum(size)[:-1])]
 
-    def _run(self, units: list[str], skips) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
-        """Pieces of each word, one row each, one agenda step a round; skips(rows, step, codes) tells which
-        to skip. Also the codes of all steps by row, and how many each row has."""
+    def _run(self, units: list[str], skips) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has, one agenda step of all words a round; skips(rows, step, codes)
+        tells which to skip. Also the codes of all steps by word, and how many each word has."""
         rows, width = len(units), max(map(len, units)) + 1
         inside = np.arange(width) < np.fromiter(map(len, units), np.int64, rows)[:, None]
         sym = np.full((rows, width), -1, np.int64)
-        sym[inside] = [x for u in units for x in self._symbols(u)]
+        sym[inside] = self.symbol[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4")]
         after = np.tile(np.arange(1, width + 1), (rows, 1))
         before = np.tile(np.arange(-1, width - 1), (rows, 1))
         alive = inside.copy()
         made = np.full((rows, width), -1, np.int64)
         made[:, :-1] = np.where(inside[:, 1:], self._pairs(sym[:, :-1], sym[:, 1:]), -1)
-        cost = np.where(made >= 0, self.order[made], np.inf)
+        cost = np.where(made >= 0, self.order[made], NEVER)
         r, seen, codes = np.arange(rows), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         while True:
             at = cost[r].argmin(1)
-            going = np.isfinite(cost[r, at])
+            going = cost[r, at] != NEVER
             r, at = r[going], at[going]
             if not len(r):
                 break
             m = made[r, at]
             seen.append(r), codes.append(at * self.n + m)
             skip = skips(r, len(seen) - 2, codes[-1].astype(np.uint64))
-            cost[r[skip], at[skip]] = np.inf
+            cost[r[skip], at[skip]] = NEVER
             q, at, m = r[~skip], at[~skip], m[~skip]
             gone = after[q, at]
-            sym[q, at], alive[q, gone], cost[q, gone] = m, False, np.inf
+            sym[q, at], alive[q, gone], cost[q, gone] = m, False, NEVER
             nxt = after[q, gone]
             after[q, at] = nxt
             before[q, np.minimum(nxt, width - 1)] = at
             self._offer(q, at, sym, after, alive, made, cost)
             prev = before[q, at]
             self._offer(q[prev >= 0], prev[prev >= 0], sym, after, alive, made, cost)
-        parts = sym[alive].tolist()
-        ends = np.cumsum(alive.sum(1)).tolist()
+        flat, size = sym[alive], alive.sum(1)
+        if len(odd := np.flatnonzero(flat < 0)):
+            values, which = np.unique(flat[odd], return_inverse=True)
+            spelled = [self._spelled([v]) for v in values.tolist()]
+            times = np.ones(len(flat), np.int64)
+            times[odd] = np.array([len(x) for x in spelled])[which]
+            row = np.repeat(np.arange(rows), size)
+            flat, size = np.repeat(flat, times), np.bincount(row, times, rows).astype(np.int64)
+            flat[flat < 0] = np.fromiter(chain.from_iterable(spelled[i] for i in which.tolist()), np.int64)
         by = np.concatenate(seen)
         steps = np.concatenate(codes)[by.argsort(kind="stable")]
-        return [self._spelled(parts[s:e]) for s, e in zip([0, *ends[:-1]], ends, strict=True)], steps, np.bincount(by, minlength=rows)
+        return flat, size, steps, np.bincount(by, minlength=rows)
 
     def _offer(self, r, at, sym, after, alive, made, cost):
         j = np.minimum(after[r, at], sym.shape[1] - 1)
         m = np.where(alive[r, j], self._pairs(sym[r, at], sym[r, j]), -1)
         made[r, at] = m
-        cost[r, at] = np.where(m >= 0, self.order[m], np.inf)
+        cost[r, at] = np.where(m >= 0, self.order[m], NEVER)
 
     def encode(self, text: str | None, key: int = 0) -> np.ndarray:
         """Ids of the whole text, which is taken with one space put before it; none for an empty one."""
@@ -201,12 +229,13 @@ class Dropout:
         place = np.concatenate([np.zeros(0, np.uint64), *place])
         if self.variants:
             place %= np.uint64(self.variants)
-        new = list({u: None for u in units if len(u) <= LONG and u not in self.known})
+        new = [u for u in dict.fromkeys(units) if u not in self.known and len(u) <= LONG]
         self.known.update(zip(new, self._learn([(u, ()) for u in new]), strict=True))
-        node = np.fromiter((self.known.get(u, -1) for u in units), np.int64, len(units))
+        node = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
         idx = np.empty(len(units), np.int64)
         long = np.flatnonzero(node < 0)
-        idx[long] = self._keep([self.segment(units[i], int(place[i])) for i in long.tolist()])
+        found = [self.segment(units[i], int(place[i])) for i in long.tolist()]
+        idx[long] = self._keep(np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)))
         at = np.flatnonzero(node >= 0)
         node, key = node[at], mix(np.uint64(self.seed) ^ place[at])
         while len(at):
@@ -239,22 +268,22 @@ class Dropout:
     def _learn(self, agendas: list[tuple[str, tuple[int, ...]]]) -> np.ndarray:
         """Add the agendas, from behind the last skipped step on; their first nodes."""
         starts = np.zeros(len(agendas), np.int64)
-        order = sorted(range(len(agendas)), key=lambda i: len(agendas[i][0]))
+        order = np.argsort(np.fromiter((len(u) for u, _ in agendas), np.int64, len(agendas)), kind="stable").tolist()
         for low in range(0, len(order), AT_ONCE):
             part = order[low:low + AT_ONCE]
             own = [agendas[i] for i in part]
             base = np.array([s[-1] + 1 if s else 0 for _, s in own], np.int64)
             forced = np.zeros((len(own), int(base.max()) + 1), bool)
-            for r, (_, s) in enumerate(own):
-                forced[r, list(s)] = True
-            found, steps, n = self._run([u for u, _ in own], lambda r, step, code, f=forced: f[r, min(step, f.shape[1] - 1)])
+            skips = np.fromiter((len(s) for _, s in own), np.int64, len(own))
+            forced[np.repeat(np.arange(len(own)), skips), np.fromiter(chain.from_iterable(s for _, s in own), np.int64)] = True
+            flat, sizes, steps, n = self._run([u for u, _ in own], lambda r, step, code, f=forced: f[r, min(step, f.shape[1] - 1)])
             size = n - base + 1  # with the node of the result
             ends = np.cumsum(size)
             row = np.repeat(np.arange(len(own)), size)
             depth = np.arange(int(ends[-1])) - np.repeat(ends - size, size) + base[row]
             last = depth == n[row]
             code = np.empty(len(row), np.int64)
-            code[last] = -1 - self._keep(found)
+            code[last] = -1 - self._keep(flat, sizes)
             code[~last] = steps[((np.cumsum(n) - n)[row] + depth)[~last]]
             while self.nodes + len(row) > len(self.code):
                 for name in ("code", "skipped", "agenda", "depth"):
@@ -266,18 +295,16 @@ class Dropout:
             self.nodes += len(row)
         return starts
 
-    def _keep(self, found: list[list[int]]) -> np.ndarray:
-        """Put results into the pool; their numbers."""
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(size.sum()))
+    def _keep(self, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Put results into the pool, their ids in a row and how many each has; their numbers."""
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while self.count + len(found) > len(self.sizes):
+        while self.count + len(size) > len(self.sizes):
             self.sizes, self.starts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sizes, self.starts))
-        at = slice(self.count, self.count + len(found))
+        at = slice(self.count, self.count + len(size))
         self.pool[self.used:self.used + len(flat)], self.sizes[at], self.starts[at] = flat, size, self.used + np.cumsum(size) - size
         self.used += len(flat)
-        self.count += len(found)
+        self.count += len(size)
         return np.arange(at.start, at.stop)
 
     def decode(self, ids: np.ndarray) -> str:

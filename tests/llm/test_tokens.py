@@ -160,3 +160,15 @@ def test_encode_varies_and_repeats(spark):
     back = {r.doc_id: r.text for r in piece_dropout.decode(out, model).collect()}
     assert back == {1: text, 2: text, None: "", 4: ""}
     assert piece_dropout.encode(df.limit(0), model).count() == 0
+
+
+def test_words_are_learned_side_by_side(monkeypatch):
+    """Learning agendas spells whole batches: per word no Python runs, and characters outside the vocabulary come out as the heap has them."""
+    coder = piece_dropout.Dropout(piece_dropout.model_path(), 0.3, 9)
+    words = [" the", " ▁日x本", " naïveté,", " xyzzy\x00", " 𝔘nder", " information", "   deep"]
+    want = [coder.segment(w, (piece_dropout.mix(7) + i * piece_dropout.STEP) & piece_dropout.WORD) for i, w in enumerate(words * 40)]
+    calls = []
+    symbols = piece_dropout.Dropout._symbols
+    monkeypatch.setattr(piece_dropout.Dropout, "_symbols", lambda self, unit: calls.append(unit) or symbols(self, unit))
+    assert coder.encode("".join(words * 40)[1:], 7).tolist() == [i for ids in want for i in ids]
+    assert not calls
