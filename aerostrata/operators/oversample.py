@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ from aerostrata.session import materialized
 K, TABLES, BLOCK, DIRECTIONS, FINE = 5, 8, 256, 4, 256
 # Rows made per step of a source, and sources numbered together.
 CHUNK, NUMBERED = 10_000, 1_000
+# Rows of a cell compared with the whole cell at once.
+STRIPE = 256
 LEVELS = [i / FINE for i in range(1, FINE)]
 
 
@@ -58,20 +61,31 @@ def nearest_in_class(points: DataFrame, size: int, k: int = K, tables: int = TAB
     salt = F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (block * FINE)).cast("bigint")))
     placed = placed.select(*names, "t", "cell", F.coalesce(sub, F.lit(0)).alias("sub"), F.coalesce(salt, F.lit(0)).alias("salt"))
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id", ignore_index=True)
-        v = np.stack(rows["v"].to_list())
-        ids, near = rows["id"].to_numpy(), []
-        for i in range(len(rows)):
-            d = np.sqrt(((v - v[i]) ** 2).sum(axis=1))
-            d[i] = np.inf
-            best = np.argpartition(d, min(k, len(d) - 1))[:k] if len(d) > k else np.arange(len(d))
-            best = best[np.lexsort((ids[best], d[best]))]
-            near.append([{"d": float(d[j]), "id": int(ids[j]), "v": v[j].tolist()} for j in best if j != i])
-        return pd.DataFrame({"c": rows["c"], "id": ids, "v": rows["v"], "near": near})
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks().sort_by("id")
+        ids, n = rows.column("id").to_numpy(), rows.num_rows
+        v = pc.list_flatten(rows.column("v")).to_numpy().reshape(n, size)
+        most = min(k, n - 1)
+        near, far = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for at in range(0, n, STRIPE):
+            part = v[at:at + STRIPE]
+            d = np.sqrt(sum((part[:, i, None] - v[:, i]) ** 2 for i in range(size)))
+            d[np.arange(len(part)), np.arange(at, at + len(part))] = np.inf
+            # Of those as near as the last one that counts the smallest ids stay: columns are in their order.
+            last = np.partition(d, most - 1, axis=1)[:, most - 1:most] if most else np.zeros((len(part), 1))
+            r, j = np.nonzero((d <= last) if most else np.zeros(d.shape, bool))
+            order = np.lexsort((j, d[r, j], r))
+            r, j = r[order], j[order]
+            first = np.arange(len(r)) - np.searchsorted(r, r) < most
+            near.append(j[first]), far.append(d[r[first], j[first]])
+        j, d = np.concatenate(near), np.concatenate(far)
+        vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(j) + 1) * size, pa.int32()), pa.array(v[j].ravel()))
+        found = pa.StructArray.from_arrays([pa.array(d), pa.array(ids[j]), vectors], names=["d", "id", "v"])
+        found = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * most, pa.int32()), found)
+        return pa.table([rows.column("c"), rows.column("id"), rows.column("v"), found], names=["c", "id", "v", "near"])
 
     kind = placed.schema["c"].dataType.simpleString()
-    found = placed.groupBy(*place, "sub", "salt").applyInPandas(
+    found = placed.groupBy(*place, "sub", "salt").applyInArrow(
         compare, f"c {kind}, id long, v array<double>, near array<struct<d: double, id: long, v: array<double>>>")
     # A row has k x tables candidates at most.
     return found.groupBy("c", "id").agg(F.first("v").alias("v"), F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))), 1, k).alias("near"))

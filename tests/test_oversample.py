@@ -60,3 +60,13 @@ def test_blocks_stay_small(spark):
     assert near.filter(F.size("near") == 2).count() == 20_000
     assert near.filter(F.abs(F.col("near")[0]["id"] - F.col("id")) == 1).count() >= 0.99 * 20_000
     assert BLOCK < 20_000 / 50
+
+
+def test_equally_near_ones_go_by_id(spark):
+    """Of the points of a grid many are equally near: the smallest ids count, in their order."""
+    v = {i: (float(i % 12), float(i // 12)) for i in range(144)}
+    points = spark.createDataFrame([("c", 143 - i, list(x)) for i, x in v.items()], "c string, id long, v array<double>")
+    v = {143 - i: x for i, x in v.items()}
+    for r in nearest_in_class(points, 2, k=3).collect():
+        best = sorted((((x[0] - v[r.id][0]) ** 2 + (x[1] - v[r.id][1]) ** 2) ** 0.5, i) for i, x in v.items() if i != r.id)[:3]
+        assert [(x.d, x.id) for x in r.near] == best
