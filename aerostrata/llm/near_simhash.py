@@ -37,6 +37,8 @@ TABLES, BITS = 6, 12
 CROWD, BLOCK = 4096, 4096
 # Shingles in the sketch of those: the smallest, so all of a short text.
 SKETCH = 256
+# Bits of the filter that keeps texts which no pair needs out of the shuffle: for each key wanted, and 8 MB at most.
+KEY_BITS, MOST_KEY_BITS = 16, 1 << 26
 
 
 def shingle_hashes(words: list[bytes], shingle_words: int) -> np.ndarray:
@@ -333,6 +335,25 @@ def other_candidates(members: DataFrame, tested: DataFrame, bits: int, similarit
     return compared(few.union(many), similarity).distinct().join(tested, ["u", "v"], "left_anti")
 
 
+def maybe_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rows (key, text) without most of those whose key is not in wanted (key); those that are all stay, a join must follow.
+
+    One bit for each hash of a key tells. The bits are bounded, so with very many keys more rows pass.
+    """
+    size = min(MOST_KEY_BITS, 1 << max(12, (KEY_BITS * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64("key"), F.lit(size)).alias("at")
+    words = wanted.select(place).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
+    known = np.zeros(size >> 6, np.int64)
+    known[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+
+    def run(batches):
+        for b in batches:
+            at = b.column(2).to_numpy()
+            yield b.select([0, 1]).filter(pa.array((known[at >> 6] >> (at & 63) & 1).astype(bool)))
+
+    return rows.select("key", "text", place).mapInArrow(run, rows.select("key", "text").schema)
+
+
 def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle_words: int = SHINGLE_WORDS,
                    similarity: float = SIMILARITY, tables: int = TABLES, bits: int = BITS) -> DataFrame:
     """One row per document: key, component (smallest key reachable over pairs of similar texts).
@@ -374,8 +395,8 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shi
     keys = stored(meeting_keys(classes.filter(F.col("first").isNotNull())), "similar-tables")
 
     def of_texts(needed: DataFrame, what, kind: pa.DataType, name: str) -> DataFrame:
-        needed = stored(classes.join(needed.distinct(), "same").select("same", "first"), "similar-needed")
-        found = plain.join(needed, F.col("key") == F.col("first")).select("same", "text").mapInArrow(sets(what, kind), f"same long, shingles {name}")
+        needed = stored(classes.join(needed.distinct(), "same").select("same", F.col("first").alias("key")), "similar-needed")
+        found = maybe_wanted(plain, needed.select("key")).join(needed, "key").select("same", "text").mapInArrow(sets(what, kind), f"same long, shingles {name}")
         return stored(found.dropDuplicates(["same"]), "similar-shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:

@@ -150,6 +150,20 @@ def test_similar_texts_whose_leader_is_another(spark, monkeypatch, crowd):
     assert len(links) >= 150
 
 
+@pytest.mark.parametrize("most", [1 << 12, 1 << 26])
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_texts_that_no_pair_needs_stay_out_of_the_shuffle(spark, monkeypatch, kind, most):
+    monkeypatch.setattr(near_simhash, "MOST_KEY_BITS", most)
+    rows = spark.range(20_000).selectExpr(f"cast(id as {kind}) key", "concat('t', id) text").union(spark.createDataFrame([(None, "x")], f"key {kind}, text string"))
+    wanted = rows.filter("cast(key as long) % 50 = 0").select("key")
+    passed = near_simhash.maybe_wanted(rows, wanted)
+    assert passed.schema == rows.schema
+    assert {r.key for r in wanted.collect()} <= {r.key for r in passed.collect()}
+    assert all(r.text == f"t{r.key}" for r in passed.filter("key is not null").collect())
+    assert passed.count() < (2_000 if most > 1 << 12 else 4_000)
+    assert near_simhash.maybe_wanted(rows, wanted.limit(0)).count() <= 1
+
+
 def test_pairs_of_a_meeting_point():
     rng = np.random.default_rng(1)
     centres = rng.integers(0, 1 << 62, 5)
