@@ -29,7 +29,7 @@ from aerostrata.llm.common import table
 MARK = "▁"
 UNIT = re.compile(" +[^ ]*|[^ ]+")
 DROPOUT, SEED = 0.1, 5
-CACHED_UNITS = 400_000
+CACHED_UNITS = 1_200_000
 # Words up to LONG characters are segmented AT_ONCE side by side; texts are taken together up to so many characters.
 LONG, AT_ONCE, TOGETHER = 32, 1 << 13, 1 << 20
 WORD, STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
@@ -90,9 +90,12 @@ class Dropout:
         # A node is a step of an agenda. The next node follows if it is taken, `skipped` if not (-1: not
         # worked out yet). An agenda ends with a node of code -1 - number of the result.
         self.nodes = 0
-        self.code, self.skipped = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.int64)
-        self.agenda, self.depth = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.int64)
-        self.agendas: list[tuple[str, tuple[int, ...]]] = []  # word, numbers of the steps skipped
+        self.code, self.skipped, self.agenda = (np.zeros(1 << 20, np.int32) for _ in range(3))
+        self.depth = np.zeros(1 << 20, np.uint8)
+        # Of each agenda its word and the steps skipped, a bit each; a word of LONG characters has fewer than 3 * LONG steps.
+        self.agendas, self.agenda_word, self.agenda_skips = 0, np.zeros(1 << 16, np.int32), np.zeros((1 << 16, 2), np.uint64)
+        # The symbols of the words known.
+        self.word_start, self.word_size, self.symbols = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _key(self, occurrence: int) -> int:
         return mix(self.seed ^ occurrence & WORD)
@@ -160,16 +163,21 @@ class Dropout:
     def segment_many(self, units: list[str], occurrence: int) -> list[list[int]]:
         """Like `segment`, for many short words side by side."""
         key = np.uint64(self._key(occurrence))
-        flat, size, *_ = self._run(units, lambda r, step, code: mix(key ^ code) < np.uint64(self.limit))
+        flat, size, *_ = self._run(*self._spell(units), lambda r, step, code: mix(key ^ code) < np.uint64(self.limit))
         return [x.tolist() for x in np.split(flat, np.cumsum(size)[:-1])]
 
-    def _run(self, units: list[str], skips) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all words in a row, and how many each has, one agenda step of all words a round; skips(rows, step, codes)
+    def _spell(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all words in a row, and how many each has."""
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4")
+        return self.symbol[codes], np.fromiter(map(len, units), np.int64, len(units))
+
+    def _run(self, symbols: np.ndarray, lengths: np.ndarray, skips) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words, given as `_spell` does, in a row, and how many each has, one agenda step of all words a round; skips(rows, step, codes)
         tells which to skip. Also the codes of all steps by word, and how many each word has."""
-        rows, width = len(units), max(map(len, units)) + 1
-        inside = np.arange(width) < np.fromiter(map(len, units), np.int64, rows)[:, None]
+        rows, width = len(lengths), int(lengths.max()) + 1
+        inside = np.arange(width) < lengths[:, None]
         sym = np.full((rows, width), -1, np.int64)
-        sym[inside] = self.symbol[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4")]
+        sym[inside] = symbols
         after = np.tile(np.arange(1, width + 1), (rows, 1))
         before = np.tile(np.arange(-1, width - 1), (rows, 1))
         alive = inside.copy()
@@ -229,9 +237,10 @@ class Dropout:
         place = np.concatenate([np.zeros(0, np.uint64), *place])
         if self.variants:
             place %= np.uint64(self.variants)
-        new = [u for u in dict.fromkeys(units) if u not in self.known and len(u) <= LONG]
-        self.known.update(zip(new, self._learn([(u, ()) for u in new]), strict=True))
         node = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        unknown = np.flatnonzero(node < 0).tolist()
+        self._meet([u for u in dict.fromkeys(units[i] for i in unknown) if len(u) <= LONG])
+        node[unknown] = [self.known.get(units[i], -1) for i in unknown]
         idx = np.empty(len(units), np.int64)
         long = np.flatnonzero(node < 0)
         found = [self.segment(units[i], int(place[i])) for i in long.tolist()]
@@ -239,25 +248,39 @@ class Dropout:
         at = np.flatnonzero(node >= 0)
         node, key = node[at], mix(np.uint64(self.seed) ^ place[at])
         while len(at):
-            code = self.code[node]
-            done = code < 0
-            idx[at[done]] = -1 - code[done]
-            at, node, key, code = at[~done], node[~done], key[~done], code[~done]
-            skip = mix(key ^ code.astype(np.uint64)) < np.uint64(self.limit)
-            here = node[skip]
-            missing = np.unique(here[self.skipped[here] < 0])
-            self._follow(missing)
-            node = node + 1
-            node[skip] = self.skipped[here]
+            # All walk on until they end or a skip is new; then the agendas that are missing are worked out together.
+            waiting = []
+            while len(at):
+                code = self.code[node]
+                done = code < 0
+                idx[at[done]] = -1 - code[done]
+                at, node, key, code = at[~done], node[~done], key[~done], code[~done]
+                skip = mix(key ^ code.astype(np.uint64)) < np.uint64(self.limit)
+                after = node + 1
+                after[skip] = self.skipped[node[skip]]
+                new = after < 0
+                waiting.append((at[new], node[new], key[new]))
+                at, node, key = at[~new], after[~new], key[~new]
+            at, node, key = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            self._follow(np.unique(node))
+            node = self.skipped[node].astype(np.int64)
         return [self._gather(x) for x in np.split(idx, np.cumsum(sizes)[:-1])] if sizes else []
 
+    def _meet(self, units: list[str]):
+        """Work out the agendas of new words."""
+        symbols, sizes = self._spell(units)
+        word = len(self.word_size) + np.arange(len(units))
+        self.word_start = np.append(self.word_start, len(self.symbols) + np.cumsum(sizes) - sizes)
+        self.word_size, self.symbols = np.append(self.word_size, sizes), np.append(self.symbols, symbols.astype(np.int32))
+        starts = self._learn(word, np.zeros((len(units), 2), np.uint64), np.zeros(len(units), np.int64))
+        self.known.update(zip(units, starts.tolist(), strict=True))
+
     def _follow(self, nodes: np.ndarray):
         """Work out the agendas that follow when these steps are skipped too."""
-        made = []
-        for a, d in zip(self.agenda[nodes].tolist(), self.depth[nodes].tolist(), strict=True):
-            unit, skips = self.agendas[a]
-            made.append((unit, (*skips, d)))
-        starts = self._learn(made)
+        a, depth = self.agenda[nodes], self.depth[nodes].astype(np.int64)
+        skips = self.agenda_skips[a]
+        skips[np.arange(len(nodes)), depth >> 6] |= np.uint64(1) << (depth & 63).astype(np.uint64)
+        starts = self._learn(self.agenda_word[a], skips, depth + 1)
         self.skipped[nodes] = starts
 
     def _gather(self, idx: np.ndarray) -> np.ndarray:
@@ -265,22 +288,21 @@ class Dropout:
         ends = np.cumsum(n)
         return self.pool[np.repeat(self.starts[idx] - ends + n, n) + np.arange(ends[-1])] if len(idx) else np.zeros(0, np.int32)
 
-    def _learn(self, agendas: list[tuple[str, tuple[int, ...]]]) -> np.ndarray:
-        """Add the agendas, from behind the last skipped step on; their first nodes."""
-        starts = np.zeros(len(agendas), np.int64)
-        order = np.argsort(np.fromiter((len(u) for u, _ in agendas), np.int64, len(agendas)), kind="stable").tolist()
+    def _learn(self, words: np.ndarray, skips: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Add the agendas of these words with these skips, from the step `base` on; their first nodes."""
+        starts = np.zeros(len(words), np.int64)
+        order = np.argsort(self.word_size[words], kind="stable")
         for low in range(0, len(order), AT_ONCE):
             part = order[low:low + AT_ONCE]
-            own = [agendas[i] for i in part]
-            base = np.array([s[-1] + 1 if s else 0 for _, s in own], np.int64)
-            forced = np.zeros((len(own), int(base.max()) + 1), bool)
-            skips = np.fromiter((len(s) for _, s in own), np.int64, len(own))
-            forced[np.repeat(np.arange(len(own)), skips), np.fromiter(chain.from_iterable(s for _, s in own), np.int64)] = True
-            flat, sizes, steps, n = self._run([u for u, _ in own], lambda r, step, code, f=forced: f[r, min(step, f.shape[1] - 1)])
-            size = n - base + 1  # with the node of the result
+            own, forced, first = words[part], skips[part], base[part]
+            lengths = self.word_size[own]
+            ends = np.cumsum(lengths)
+            symbols = self.symbols[np.repeat(self.word_start[own] - ends + lengths, lengths) + np.arange(ends[-1])]
+            flat, sizes, steps, n = self._run(symbols, lengths, lambda r, step, code, f=forced: (f[r, step >> 6] >> np.uint64(step & 63) & np.uint64(1)) > 0)
+            size = n - first + 1  # with the node of the result
             ends = np.cumsum(size)
             row = np.repeat(np.arange(len(own)), size)
-            depth = np.arange(int(ends[-1])) - np.repeat(ends - size, size) + base[row]
+            depth = np.arange(int(ends[-1])) - np.repeat(ends - size, size) + first[row]
             last = depth == n[row]
             code = np.empty(len(row), np.int64)
             code[last] = -1 - self._keep(flat, sizes)
@@ -288,10 +310,15 @@ class Dropout:
             while self.nodes + len(row) > len(self.code):
                 for name in ("code", "skipped", "agenda", "depth"):
                     setattr(self, name, np.concatenate([x := getattr(self, name), np.zeros_like(x)]))
+            while self.agendas + len(own) > len(self.agenda_word):
+                for name in ("agenda_word", "agenda_skips"):
+                    setattr(self, name, np.concatenate([x := getattr(self, name), np.zeros_like(x)]))
             at = slice(self.nodes, self.nodes + len(row))
-            self.code[at], self.skipped[at], self.agenda[at], self.depth[at] = code, -1, len(self.agendas) + row, depth
+            self.code[at], self.skipped[at], self.agenda[at], self.depth[at] = code, -1, self.agendas + row, depth
             starts[part] = self.nodes + ends - size
-            self.agendas += own
+            at = slice(self.agendas, self.agendas + len(own))
+            self.agenda_word[at], self.agenda_skips[at] = own, forced
+            self.agendas += len(own)
             self.nodes += len(row)
         return starts
 

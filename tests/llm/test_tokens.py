@@ -172,3 +172,21 @@ def test_words_are_learned_side_by_side(monkeypatch):
     monkeypatch.setattr(piece_dropout.Dropout, "_symbols", lambda self, unit: calls.append(unit) or symbols(self, unit))
     assert coder.encode("".join(words * 40)[1:], 7).tolist() == [i for ids in want for i in ids]
     assert not calls
+
+
+def test_new_skips_of_all_words_are_worked_out_together(monkeypatch):
+    calls, learn = [], piece_dropout.Dropout._learn
+    monkeypatch.setattr(piece_dropout.Dropout, "_learn", lambda self, *a: calls.append(len(a[0])) or learn(self, *a))
+    coder, text = piece_dropout.Dropout(piece_dropout.model_path()), " ".join(f"{a}{b}ation" for a in ("walk", "sing", "house", "night") for b in ("er", "ing", "less", "ful") * 100)
+    assert coder.decode(coder.encode(text, 3)) == text
+    assert len(calls) <= 8
+
+
+@pytest.mark.parametrize("dropout", [0.5, 0.95])
+def test_long_words_with_many_skips(dropout):
+    coder = piece_dropout.Dropout(piece_dropout.model_path(), dropout)
+    units = [" " + (w * 32)[:31] for w in ("the", "station", "aeiou", "internationalization")]
+    assert coder.segment_many(units, 7) == [coder.segment(u, 7) for u in units]
+    for key in range(50):
+        own = [i for n, u in enumerate(units) for i in coder.segment(u, (n * piece_dropout.STEP + piece_dropout.mix(key)) & piece_dropout.WORD)]
+        assert coder.encode("".join(units)[1:], key).tolist() == own
