@@ -6,8 +6,9 @@ in both. Extending a phrase by a word on the left is a step in the one transform
 other, and moves the rows of both; how often the phrase goes on with each word are the counts of the
 longer phrases. A phrase is extended only if it is frequent in the whole corpus, and an extension
 counts only if its words without the first, and without the last, are frequent as well. So there is one
-exchange for each length: shards send the counts of their extensions, which are summed by a shuffle,
-and get back which of their extensions are frequent. Places that no frequent phrase covers leave the shard.
+exchange for each length: shards send the counts of their extensions, dealt by a hash of the phrase into
+buckets, sorted and packed, so that one takes a few bytes; a bucket sums them, and its shards get back which
+are frequent. Places that no frequent phrase covers leave the shard.
 
 Rows need only be sorted as many words deep as the phrases are long.
 """
@@ -24,9 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostrata.llm.common import A_Z, LOWER_A_Z, stored, table
+from aerostrata.llm.piece_dropout import mix
 
 MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 SHARD_WORDS = 1 << 20
+# A bucket gets about so many extensions of all shards, at most.
+BUCKET_ENTRIES = 1 << 21
 # A text is read in parts of about so many bytes, cut where a piece ends.
 PART = 1 << 22
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -49,6 +53,20 @@ def unpack_ints(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
+def pack_entries(prefix: np.ndarray, suffix: np.ndarray, n: np.ndarray) -> bytes:
+    """Rows sorted by prefix; what differs from the prefix before, the suffix and the count, by significance of their bytes, compressed."""
+    planes = [np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T) for x in (np.diff(prefix, prepend=0), suffix, n)]
+    return len(n).to_bytes(8, "little") + pa.compress(np.concatenate(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_entries(b: bytes) -> np.ndarray:
+    """Prefixes, suffixes and counts, a row of the result each."""
+    n = int.from_bytes(b[:8], "little")
+    planes = np.frombuffer(pa.decompress(b[8:], 24 * n, codec="zstd", asbytes=True), np.uint8).reshape(3, 8, n)
+    differences, suffix, count = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8").reshape(3, n)
+    return np.stack([np.cumsum(differences), suffix, count])
+
+
 class Words:
     """The words of one shard while they are gathered; number 0 is a break between pieces."""
 
@@ -177,28 +195,43 @@ def collapsed(ids: np.ndarray) -> np.ndarray:
     return (ids > 0) | np.append(True, ids[:-1] > 0)
 
 
-STEP = "shard long, ids binary, starts binary, names array<long>, prefix long, suffix long, spot long, n long"
+STEP = "shard long, ids binary, starts binary, names array<long>, bucket long, entries binary"
+FOUND = "bucket long, shard long, at binary, names binary, name long, prefix long, suffix long, f long"
+
 
+def _dealt(names: np.ndarray, prefix: np.ndarray, suffix: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of extensions by bucket and then by the names of their prefix and suffix, and where each bucket begins."""
+    bucket = (mix(names.astype(np.uint64)[prefix] * np.uint64(0x9E3779B97F4A7C15) + names.astype(np.uint64)[suffix]) % np.uint64(buckets)).astype(np.int64)
+    rank = np.empty(len(names), np.int64)
+    rank[np.argsort(names)] = np.arange(len(names))
+    order = np.argsort((bucket * len(names) + rank[prefix]) * len(names) + rank[suffix])
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
-def _advance(words: int):
+
+def _advance(words: int, buckets: int):
     """Takes a shard and which of its phrases of `words` words are frequent, with their names; gives the shard with only these,
-    as one row, and its extensions, a row each."""
+    as one row, and its extensions, a row for each bucket."""
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("shard", pa.int64()), ("ids", pa.binary()), ("starts", pa.binary()), ("names", pa.list_(pa.int64())),
-                            ("prefix", pa.int64()), ("suffix", pa.int64()), ("spot", pa.int64()), ("n", pa.int64())])
+                            ("bucket", pa.int64()), ("entries", pa.binary())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         ids, shard = unpack_ints(left.column("ids")[0].as_py()), key[0].as_py()
-        order = pc.sort_indices(right.column("node"))
-        node, names = right.column("node").take(order).to_numpy(), right.column("name").take(order).to_numpy()
         if words == 1:
+            order = pc.sort_indices(right.column("node"))
+            node, names = right.column("node").take(order).to_numpy(), right.column("name").take(order).to_numpy()
             ids = (lambda new: new[ids])(_numbers(node + 1, int(ids.max()) + 1))
             covered = ids > 0
             starts_of = lambda kept: np.unique(kept, return_index=True)[1][1:]
         else:
             index = Index(ids, words - 1)
             e = extensions(index, index.nodes(unpack_ints(left.column("starts")[0].as_py())), words % 2 == 0)
+            order, begins = _dealt(left.column("names")[0].values.to_numpy(), e["prefix"], e["suffix"], buckets)
+            node = np.concatenate([order[begins[bucket] + unpack_ints(at)] for bucket, at in zip(right.column("bucket").to_pylist(), right.column("at").to_pylist(), strict=True)])
+            names = np.concatenate([unpack_entries(x)[0] for x in right.column("names").to_pylist()])
+            by_node = np.argsort(node)
+            node, names = node[by_node], names[by_node]
             chosen = np.append(_numbers(node, len(e["count"])) - 1, -1)[e["of"]]
             at, chosen = e["start"][chosen >= 0], chosen[chosen >= 0]
             covered = np.zeros(len(ids), bool)
@@ -213,16 +246,52 @@ def _advance(words: int):
         starts = starts_of(ids) if starts_of else (np.cumsum(stays) - 1)[first]
         index = Index(ids, words)
         e = extensions(index, index.nodes(starts), words % 2 == 1)
-        n = len(e["count"])
+        order, begins = _dealt(names, e["prefix"], e["suffix"], buckets)
+        prefix, suffix, count = names[e["prefix"]][order], names[e["suffix"]][order], e["count"][order]
+        full = np.flatnonzero(np.diff(begins)).tolist()
+        packed = [pack_entries(*(x[begins[i]:begins[i + 1]] for x in (prefix, suffix, count))) for i in full]
+        n = len(full)
         head = pa.table([pa.array([shard]), pa.array([pack_ints(ids)], pa.binary()), pa.array([pack_ints(starts)], pa.binary()),
-                         pa.array([names], pa.list_(pa.int64())), *[pa.nulls(1, pa.int64())] * 4], schema=schema)
+                         pa.array([names], pa.list_(pa.int64())), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())], schema=schema)
         body = pa.table([pa.array(np.full(n, shard, np.int64)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())),
-                         pa.array(names[e["prefix"]]), pa.array(names[e["suffix"]]), pa.array((shard << NODE_BITS) + np.arange(n)), pa.array(e["count"])], schema=schema)
+                         pa.array(full, pa.int64()), pa.array(packed, pa.binary())], schema=schema)
         return pa.concat_tables([head, body])
 
     return run
 
 
+def _summed(min_count: int):
+    """Takes a bucket's extensions, packed by shard; gives those whose counts sum to min_count or more, a row each with a name and
+    the sum f, and for each shard at which places of its list these are, with their names."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        bucket, shards = rows.column("bucket")[0].as_py(), rows.column("shard").to_pylist()
+        parts = [unpack_entries(x) for x in rows.column("entries").to_pylist()]
+        prefix, suffix, n = np.concatenate(parts, axis=1)
+        ends = np.cumsum([x.shape[1] for x in parts])
+        order = np.lexsort((suffix, prefix))
+        p, s = prefix[order], suffix[order]
+        starts = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (s[1:] != s[:-1])))
+        f = np.add.reduceat(n[order], starts)
+        good = f >= min_count
+        name = np.where(good, (bucket << 32) + np.cumsum(good) - 1, -1)
+        named = np.empty(len(order), np.int64)
+        named[order] = np.repeat(name, np.diff(starts, append=len(order)))
+        at, names, found = [], [], []
+        for shard, begin, end in zip(shards, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            some = np.flatnonzero(named[begin:end] >= 0)
+            if len(some):
+                own, zero = named[begin + some], np.zeros(len(some), np.int64)
+                found.append(shard), at.append(pack_ints(some)), names.append(pack_entries(own, zero, zero))
+        long, m, k = pa.int64(), len(found), int(good.sum())
+        columns = ["bucket", "shard", "at", "names", "name", "prefix", "suffix", "f"]
+        marks = [pa.array([bucket] * m, long), pa.array(found, long), pa.array(at, pa.binary()), pa.array(names, pa.binary()), *[pa.nulls(m, long)] * 4]
+        new = [pa.nulls(k, long), pa.nulls(k, long), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), *(pa.array(x[good]) for x in (name, p[starts], s[starts], f))]
+        return pa.concat_tables([pa.table(x, names=columns) for x in (marks, new)])
+
+    return run
+
+
 def _numbers(chosen: np.ndarray, n: int) -> np.ndarray:
     """1, 2, ... at the chosen places of n, else 0."""
     out = np.zeros(n, np.int64)
@@ -254,13 +323,15 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", mi
     found = stored(_frequent(each, ["lang", "phrase"], min_count), "phrase-words")
     none = F.array().cast("array<long>")
     levels = [stored(found.filter("spot = name").select("name", "lang", "phrase", F.col("phrase").alias("last"), "f", none.alias("firsts"), none.alias("lasts")), "phrases-1")]
-    state, longer = cut.select("shard", "ids", F.lit(None).cast("binary").alias("starts")), []
+    state, longer = cut.select("shard", "ids", F.lit(None).cast("binary").alias("starts"), none.alias("names")), []
+    marks = found.select(F.shiftright("spot", NODE_BITS).alias("shard"), F.col("spot").bitwiseAND((1 << NODE_BITS) - 1).alias("node"), "name")
+    buckets = max(1, -(-(cut.agg(F.sum("n")).first()[0] or 0) // BUCKET_ENTRIES))
     for words in range(1, max_words):
-        marks = found.select(F.shiftright("spot", NODE_BITS).alias("shard"), F.col("spot").bitwiseAND((1 << NODE_BITS) - 1).alias("node"), "name")
-        step = stored(state.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(_advance(words), STEP), f"phrase-step-{words}")
-        state = step.filter("ids is not null").select("shard", "ids", "starts")
-        found = stored(_frequent(step.filter("ids is null").select("prefix", "suffix", "spot", "n"), ["prefix", "suffix"], min_count), f"phrase-found-{words}")
-        new = found.filter("spot = name").select("name", "prefix", "suffix", "f")
+        step = stored(state.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(_advance(words, buckets), STEP), f"phrase-step-{words}")
+        state = step.filter("ids is not null").select("shard", "ids", "starts", "names")
+        found = stored(step.filter("ids is null").select("bucket", "shard", "entries").groupBy("bucket").applyInArrow(_summed(min_count), FOUND), f"phrase-found-{words}")
+        marks = found.filter("shard is not null").select("shard", "bucket", "at", "names")
+        new = found.filter("name is not null").select("name", "prefix", "suffix", "f")
         before = levels[-1]
         p = before.select(F.col("name").alias("prefix"), "lang", F.col("phrase").alias("head"), F.col("f").alias("pf"), "firsts")
         s = before.select(F.col("name").alias("suffix"), "last", F.col("f").alias("sf"), "lasts")

@@ -90,3 +90,22 @@ def test_long_texts_in_parts(spark, monkeypatch):
     df = spark.createDataFrame(rows, "lang string, text string")
     whole = report(df, min_count=2)
     assert whole == plain(rows, 2, 5, 2000)
+
+
+def test_packed_extensions():
+    prefix, suffix, n = np.array([3, 3, 1 << 45, (1 << 45) + 7]), np.array([9, 1 << 50, 2, 0]), np.array([1, 1 << 40, 2, 3])
+    assert co.unpack_entries(co.pack_entries(prefix, suffix, n)).tolist() == [prefix.tolist(), suffix.tolist(), n.tolist()]
+    assert co.unpack_entries(co.pack_entries(prefix[:0], suffix[:0], n[:0])).shape == (3, 0)
+    rng = np.random.default_rng(1)
+    prefix = np.sort(rng.integers(0, 50_000, 100_000))
+    assert len(co.pack_entries(prefix, rng.integers(0, 50_000, 100_000), np.ones(100_000, np.int64))) < 4 * 100_000
+
+
+def test_extensions_in_many_buckets(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.5, 60) % 30) + "." for _ in range(300)]
+    docs = spark.createDataFrame([(t, ("en", "de")[i % 2]) for i, t in enumerate(texts)], "text string, lang string").repartition(4)
+    how = {"min_count": 8, "shard_words": 500}
+    whole = report(docs, **how)
+    monkeypatch.setattr(co, "BUCKET_ENTRIES", 400)
+    assert report(docs, **how) == whole
